@@ -144,3 +144,129 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Facets + average over messages parsed from the events table."""
     p = parsed_events(spark, sf_dir)
     return serving.multi_facet(p, ["user_id", "k"], "value", 10)
+
+
+# ---------------------------------------------------------------- feature preparation
+
+from tidewater.operators import prep, quality  # noqa: E402
+from tidewater.operators.quantiles import exact_quantiles  # noqa: E402
+
+_LI_SRC = S.LINEITEM_FEATURES_SQL
+_LI_F = S.LINEITEM_FEATURES
+_LI_CLIP = S.LINEITEM_CLIP
+_LI_DERIVED = ("qty_x_price", "disc_per_tax")
+_PROBS = [0.1, 0.25, 0.5, 0.75, 0.9]
+
+
+def _r6(df: DataFrame, cols) -> DataFrame:
+    cs = set(cols)
+    return df.select(*[F.round(F.col(c), 6).alias(c) if c in cs else F.col(c) for c in df.columns])
+
+
+@register("exact_quantiles", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, CAST({p} AS DOUBLE) AS p, round(quantile_cont({c}, {p}), 6) AS value FROM ({_LI_SRC})"
+    for c in _LI_F for p in _PROBS) + ")")
+def q_exact_quantiles(spark, sf_dir):
+    """Exact linear quantiles of four columns (distributed order statistics)."""
+    q = exact_quantiles(S.lineitem_features(spark, sf_dir), _LI_F, _PROBS)
+    rows = [(c, p, round(v, 6)) for c in _LI_F for p, v in zip(_PROBS, q[c])]
+    return spark.createDataFrame(rows, "column_name string, p double, value double")
+
+
+def _impute_sql() -> str:
+    meds = ", ".join(f"median({c}) AS m_{c}" for c in _LI_F)
+    sel = ", ".join(f"coalesce({c}, m_{c}) AS {c}" for c in _LI_F)
+    return f"src AS ({_LI_SRC}), med AS (SELECT {meds} FROM src), imp AS (SELECT {sel}, target FROM src, med)"
+
+
+@register("impute_median", "WITH " + _impute_sql() + " SELECT " +
+          ", ".join(f"round({c}, 6) AS {c}" for c in _LI_F) + ", target FROM imp")
+def q_impute_median(spark, sf_dir):
+    out = prep.impute_median(S.lineitem_features(spark, sf_dir), _LI_F)
+    return _r6(out, _LI_F)
+
+
+@register("dedupe", "SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem")
+def q_dedupe(spark, sf_dir):
+    li = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    return prep.dedupe(li)
+
+
+def _clip_sql(src: str, k: float) -> str:
+    qs = ", ".join(f"quantile_cont({c}, 0.25) AS q1_{c}, quantile_cont({c}, 0.75) AS q3_{c}" for c in _LI_CLIP)
+    sel = []
+    for c in _LI_F:
+        if c in _LI_CLIP:
+            sel.append(f"CASE WHEN {c} IS NULL THEN NULL ELSE least(greatest({c}, q1_{c} - {k} * (q3_{c} - q1_{c})), "
+                       f"q3_{c} + {k} * (q3_{c} - q1_{c})) END AS {c}")
+        else:
+            sel.append(c)
+    return f"q AS (SELECT {qs} FROM {src}), cl AS (SELECT {', '.join(sel)}, target FROM {src}, q)"
+
+
+@register("winsorize_iqr", f"WITH src AS ({_LI_SRC}), " + _clip_sql("src", 0.5) + " SELECT " +
+          ", ".join(f"round({c}, 6) AS {c}" for c in _LI_F) + ", target FROM cl")
+def q_winsorize_iqr(spark, sf_dir):
+    """IQR clipping with k=0.5 so the bounds bite; NULLs stay NULL, no row dropped."""
+    out = prep.winsorize_iqr(S.lineitem_features(spark, sf_dir), _LI_CLIP, k=0.5)
+    return _r6(out, _LI_F)
+
+
+def _std_sql(src: str, cols) -> str:
+    st = ", ".join(f"avg({c}) AS u_{c}, stddev_pop({c}) AS s_{c}" for c in cols)
+    return f"st AS (SELECT {st} FROM {src})"
+
+
+def _std_select(src: str, cols, tail: str) -> str:
+    sel = ", ".join(f"round(({c} - u_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END, 6) AS {c}" for c in cols)
+    return f"SELECT {sel}{tail} FROM {src}, st"
+
+
+@register("standardize", f"WITH src AS (SELECT * FROM lineitem), " +
+          _std_sql("src", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]) + " " +
+          _std_select("src", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], ", l_orderkey, l_linenumber"))
+def q_standardize(spark, sf_dir):
+    cols = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    li = S.table(spark, sf_dir, "lineitem").select(*cols, "l_orderkey", "l_linenumber")
+    return _r6(prep.standardize(li, cols), cols)
+
+
+_CURATE_COLS = _LI_F + list(_LI_DERIVED)
+_CURATE_SQL = ("WITH " + _impute_sql() + ", dd AS (SELECT DISTINCT * FROM imp), " + _clip_sql("dd", 3.0) +
+               ", fe AS (SELECT *, l_quantity * l_extendedprice AS qty_x_price, "
+               "l_discount / (l_tax + 1) AS disc_per_tax FROM cl), " + _std_sql("fe", _CURATE_COLS) + " " +
+               _std_select("fe", _CURATE_COLS, ", target"))
+
+
+def curated_lineitem(spark, sf_dir, **kw):
+    return prep.curate(S.lineitem_features(spark, sf_dir), features=_LI_F, label=S.LINEITEM_LABEL,
+                       clip_cols=_LI_CLIP, k=3.0, product=("l_quantity", "l_extendedprice"),
+                       ratio=("l_discount", "l_tax"), derived=_LI_DERIVED, **kw)
+
+
+@register("curate", _CURATE_SQL)
+def q_curate(spark, sf_dir):
+    """impute -> dedupe -> winsorize -> derived features -> standardize."""
+    return _r6(curated_lineitem(spark, sf_dir), _CURATE_COLS)
+
+
+_QUALITY_SQL = f"""
+WITH src AS ({_LI_SRC}),
+pc AS (SELECT target AS cls, count(*) AS n,
+              sum({' + '.join(f"CAST({c} IS NULL OR isnan({c}) AS BIGINT)" for c in _LI_F)}
+                  + CAST(target IS NULL AS BIGINT)) AS miss
+       FROM src GROUP BY target),
+r AS (SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS total_records, CAST(4 AS INTEGER) AS total_features,
+             CAST(coalesce(sum(miss), 0) AS BIGINT) AS missing_cells,
+             min(CASE WHEN cls IS NOT NULL THEN n END) AS min_class_count FROM pc)
+SELECT *, total_records >= 100 AS min_records, total_features >= 10 AS min_features,
+       missing_cells = 0 AS no_missing, coalesce(min_class_count >= 30, false) AS balanced_target,
+       (total_records >= 100 AND total_features >= 10 AND missing_cells = 0
+        AND coalesce(min_class_count >= 30, false)) AS is_valid
+FROM r
+"""
+
+
+@register("quality_report", _QUALITY_SQL)
+def q_quality_report(spark, sf_dir):
+    return quality.quality_report(S.lineitem_features(spark, sf_dir), label=S.LINEITEM_LABEL)
