@@ -19,9 +19,13 @@ def code_label(c: Column | str, code=1, if_match: str = "Male", otherwise: str =
 
 
 def version_string(ts: Column | str, accuracy: Column | str) -> Column:
-    """``v_<yyyyMMdd_HHmmss>_acc_<accuracy %.4f>`` with every '.' replaced by '_'."""
+    """``v_<yyyyMMdd_HHmmss>_acc_<accuracy to 4 places>`` with every '.' replaced by '_'.
+
+    ``format_number`` with a plain pattern rounds the exact binary value (like
+    Python's ``:.4f``); ``format_string('%.4f')`` would round the shortest decimal
+    text half-up and differ at ties such as 0.40595."""
     s = F.concat(F.lit("v_"), F.date_format(_c(ts), "yyyyMMdd_HHmmss"), F.lit("_acc_"),
-                 F.format_string("%.4f", _c(accuracy)))
+                 F.call_function("format_number", _c(accuracy), F.lit("0.0000")))
     return F.replace(s, F.lit("."), F.lit("_"))
 
 

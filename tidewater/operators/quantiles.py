@@ -18,7 +18,7 @@ the k-th smallest value of each group is found by histogram refinement:
 
 The interval table is tiny (two rows per wanted rank) and is broadcast after its
 size is checked.  Ranks are 0-based over non-NULL, non-NaN values (NaN counts as
-missing, as in pandas).
+missing, as in pandas).  ``x`` may be double or long (exact for 64-bit keys).
 """
 
 from __future__ import annotations
@@ -74,12 +74,13 @@ def order_statistics(long_df: DataFrame, targets: dict[Hashable, Iterable[int]],
                 state[(g, r)] = [lo, hi, 0, n]
 
     gid_type = long_df.schema["gid"].dataType.simpleString()
+    x_type = long_df.schema["x"].dataType.simpleString()
     for _ in range(max_rounds):
         if not state:
             break
         small = {k: v for k, v in state.items() if v[3] <= collect_limit}
         if small:
-            _finish(long_df, small, result, gid_type)
+            _finish(long_df, small, result, gid_type, x_type)
             for k in small:
                 del state[k]
         if not state:
@@ -87,7 +88,7 @@ def order_statistics(long_df: DataFrame, targets: dict[Hashable, Iterable[int]],
         # one interval per distinct (gid, lo, hi)
         ivals = sorted({(k[0], v[0], v[1]) for k, v in state.items()}, key=repr)
         iid = {iv: i for i, iv in enumerate(ivals)}
-        hist = _histogram(long_df, ivals, bins, gid_type)
+        hist = _histogram(long_df, ivals, bins, gid_type, x_type)
         for k, v in list(state.items()):
             buckets = hist[iid[(k[0], v[0], v[1])]]
             want = k[1] - v[2]
@@ -108,21 +109,22 @@ def order_statistics(long_df: DataFrame, targets: dict[Hashable, Iterable[int]],
     return result
 
 
-def _interval_df(spark, ivals, gid_type):
+def _interval_df(spark, ivals, gid_type, x_type):
+    xt = T._parse_datatype_string(x_type)
     schema = T.StructType([T.StructField("iid", T.IntegerType()),
                            T.StructField("gid", T._parse_datatype_string(gid_type)),
-                           T.StructField("lo", T.DoubleType()), T.StructField("hi", T.DoubleType())])
+                           T.StructField("lo", xt), T.StructField("hi", xt)])
     df = spark.createDataFrame([(i, g, lo, hi) for i, (g, lo, hi) in enumerate(ivals)], schema)
     # size checked: broadcast only a bounded interval table, else let the planner shuffle
     return F.broadcast(df) if len(ivals) <= BROADCAST_MAX_INTERVALS else df
 
 
-def _histogram(long_df, ivals, bins, gid_type):
+def _histogram(long_df, ivals, bins, gid_type, x_type):
     spark = long_df.sparkSession
-    iv = _interval_df(spark, ivals, gid_type)
+    iv = _interval_df(spark, ivals, gid_type, x_type)
     j = long_df.join(iv, "gid").where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
-    width = F.col("hi") - F.col("lo")
-    b = F.floor((F.col("x") - F.col("lo")) / width * F.lit(bins)).cast("int")
+    width = (F.col("hi") - F.col("lo")).cast("double")
+    b = F.floor((F.col("x") - F.col("lo")).cast("double") / width * F.lit(bins)).cast("int")
     b = F.least(F.greatest(b, F.lit(0)), F.lit(bins - 1))
     rows = (j.groupBy("iid", b.alias("b"))
              .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"), F.max("x").alias("bmax"))
@@ -135,11 +137,11 @@ def _histogram(long_df, ivals, bins, gid_type):
     return out
 
 
-def _finish(long_df, small, result, gid_type):
+def _finish(long_df, small, result, gid_type, x_type):
     """Fetch the few values left in each small interval and read ranks exactly."""
     ivals = sorted({(k[0], v[0], v[1]) for k, v in small.items()}, key=repr)
     iid = {iv: i for i, iv in enumerate(ivals)}
-    iv = _interval_df(long_df.sparkSession, ivals, gid_type)
+    iv = _interval_df(long_df.sparkSession, ivals, gid_type, x_type)
     rows = (long_df.join(iv, "gid")
                    .where((F.col("x") >= F.col("lo")) & (F.col("x") <= F.col("hi")))
                    .select("iid", "x").collect())

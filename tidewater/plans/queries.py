@@ -270,3 +270,124 @@ FROM r
 @register("quality_report", _QUALITY_SQL)
 def q_quality_report(spark, sf_dir):
     return quality.quality_report(S.lineitem_features(spark, sf_dir), label=S.LINEITEM_LABEL)
+
+
+# ---------------------------------------------------------------- split / metrics
+
+from tidewater.functions.scalar import argmax, normalize_vector, version_string  # noqa: E402
+from tidewater.operators import metrics, split  # noqa: E402
+
+_H32 = "('0x' || substr(md5(concat_ws('|', '42', CAST({k} AS VARCHAR))), 1, 8))::BIGINT"
+_H60 = "('0x' || substr(md5(concat_ws('|', '42', CAST({k} AS VARCHAR))), 1, 15))::BIGINT"
+
+
+@register("split_hash", f"""
+SELECT event_id, event_type, {_H32.format(k='event_id')} < {int(0.2 * 2 ** 32)} AS is_test FROM events
+""")
+def q_split_hash(spark, sf_dir):
+    ev = S.table(spark, sf_dir, "events").select("event_id", "event_type")
+    return split.split_hash(ev, "event_id", 0.2, 42)
+
+
+@register("split_exact", f"""
+SELECT o_orderkey, o_orderstatus, rn <= floor(n * 0.2 + 0.5) AS is_test
+FROM (SELECT o_orderkey, o_orderstatus,
+             row_number() OVER (PARTITION BY o_orderstatus ORDER BY h, o_orderkey) AS rn,
+             count(*) OVER (PARTITION BY o_orderstatus) AS n
+      FROM (SELECT *, {_H60.format(k='o_orderkey')} AS h FROM orders))
+""")
+def q_split_exact(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return split.split_exact(o, "o_orderstatus", "o_orderkey", 0.2, 42)
+
+
+_RULE_SQL = """CASE WHEN value < 50 THEN 'view' WHEN value < 100 THEN 'click'
+     WHEN value < 150 THEN 'signup' WHEN value < 200 THEN 'purchase' ELSE 'error' END"""
+
+
+def _rule_predictions(spark, sf_dir):
+    """Deterministic rule-based predictions of ``event_type`` from ``value``."""
+    ev = S.table(spark, sf_dir, "events")
+    return ev.select(F.col("event_type").alias("label"), F.expr(_RULE_SQL).alias("prediction"))
+
+
+@register("confusion", f"""
+SELECT event_type AS label, {_RULE_SQL} AS prediction, count(*) AS count FROM events GROUP BY 1, 2
+""")
+def q_confusion(spark, sf_dir):
+    return metrics.confusion(_rule_predictions(spark, sf_dir))
+
+
+@register("metrics", f"""
+WITH c AS (SELECT event_type AS label, {_RULE_SQL} AS prediction, count(*) AS cnt FROM events GROUP BY 1, 2),
+s AS (SELECT label, sum(cnt) AS support FROM c GROUP BY label),
+p AS (SELECT prediction AS label, sum(cnt) AS predicted FROM c GROUP BY prediction),
+t AS (SELECT label, sum(cnt) AS tp FROM c WHERE label = prediction GROUP BY label),
+per AS (SELECT coalesce(s.label, p.label) AS label, coalesce(support, 0) AS support,
+               coalesce(predicted, 0) AS predicted, coalesce(tp, 0) AS tp
+        FROM s FULL JOIN p ON s.label = p.label LEFT JOIN t ON coalesce(s.label, p.label) = t.label)
+SELECT CAST(sum(support) AS BIGINT) AS n, round(sum(tp) / sum(support), 6) AS accuracy,
+       round(sum(support * CASE WHEN support + predicted = 0 THEN 0 ELSE 2.0 * tp / (support + predicted) END)
+             / sum(support), 6) AS weighted_f1
+FROM per
+""")
+def q_metrics(spark, sf_dir):
+    m = metrics.classification_metrics(metrics.confusion(_rule_predictions(spark, sf_dir)))
+    return m.select("n", F.round("accuracy", 6).alias("accuracy"), F.round("weighted_f1", 6).alias("weighted_f1"))
+
+
+# ---------------------------------------------------------------- set ops / scalar
+
+@register("union_by_name", """
+SELECT event_id, ts, event_type, value, NULL::BIGINT AS user_id FROM events WHERE event_type <= 'purchase'
+UNION ALL
+SELECT event_id, ts, event_type, NULL::DOUBLE AS value, user_id FROM events WHERE event_type > 'purchase'
+""")
+def q_union_by_name(spark, sf_dir):
+    """Frames with different column sets concatenated by name (missing -> NULL)."""
+    ev = S.table(spark, sf_dir, "events")
+    a = ev.where(F.col("event_type") <= "purchase").select("event_id", "ts", "event_type", "value")
+    b = ev.where(F.col("event_type") > "purchase").select("user_id", "event_type", "ts", "event_id")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@register("version_string", """
+SELECT o_orderkey,
+       replace('v_' || strftime(o_orderdate, '%Y%m%d_%H%M%S') || '_acc_' || printf('%.4f', o_totalprice / 1000000.0),
+               '.', '_') AS model_version
+FROM orders
+""")
+def q_version_string(spark, sf_dir):
+    o = S.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", version_string("o_orderdate", F.col("o_totalprice") / 1e6).alias("model_version"))
+
+
+@register("normalize_vector", """
+SELECT vec_id, CAST(i - 1 AS INTEGER) AS pos, round((embedding[i] - 0.1307::DOUBLE) / 0.3081::DOUBLE, 6) AS value
+FROM (SELECT vec_id, embedding, generate_subscripts(embedding, 1) AS i FROM embeddings)
+""")
+def q_normalize_vector(spark, sf_dir):
+    e = S.table(spark, sf_dir, "embeddings")
+    n = e.select("vec_id", F.posexplode(normalize_vector("embedding", 0.1307, 0.3081)).alias("pos", "value"))
+    return n.withColumn("value", F.round("value", 6))
+
+
+@register("argmax", """
+SELECT vec_id, label, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS argmax FROM embeddings
+""")
+def q_argmax(spark, sf_dir):
+    e = S.table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", "label", argmax("embedding").alias("argmax"))
+
+
+@register("event_time_facets", """
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+       event_type, count(*) AS doc_count
+FROM events GROUP BY 1, 2, 3
+""")
+def q_event_time_facets(spark, sf_dir):
+    """Hourly event-time buckets per facet value (batch form of the live facet)."""
+    ev = S.table(spark, sf_dir, "events")
+    g = ev.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("doc_count"))
+    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                    "event_type", "doc_count")
