@@ -391,3 +391,45 @@ def q_event_time_facets(spark, sf_dir):
     g = ev.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count(F.lit(1)).alias("doc_count"))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
                     "event_type", "doc_count")
+
+
+# ---------------------------------------------------------------- streaming ingest / lake
+
+from tidewater.config import Config  # noqa: E402
+from tidewater.session import work_dir  # noqa: E402
+from tidewater.sinks.writers import write_lake, write_messages  # noqa: E402
+from tidewater.sources.files import read_lake  # noqa: E402
+from tidewater.streaming.ingest import run_ingest  # noqa: E402
+
+
+def ingest_events(spark: SparkSession, sf_dir: str, files: int = 4) -> Config:
+    """Publish every event as a message file, run the ingest stream to completion
+    (``availableNow``, one file per micro-batch) and return the folders it wrote."""
+    wd = work_dir(spark, "ingest")
+    write_messages(S.event_messages(spark, sf_dir, keep=("event_id",)), "text", path=f"{wd}/topic",
+                   num_files=files, order_by="event_id")
+    cfg = Config(source_format="text", source_path=f"{wd}/topic", lake_path=f"{wd}/lake",
+                 serving_path=f"{wd}/serving", dead_letter_path=f"{wd}/dead",
+                 checkpoint_path=f"{wd}/checkpoint", on_error="raise")
+    q = run_ingest(spark, cfg, fields=S.EVENT_FIELDS, int_fields=S.EVENT_INT_FIELDS,
+                   available_now=True, max_per_trigger=1)
+    q.awaitTermination()
+    if q.exception():
+        raise RuntimeError(str(q.exception()))
+    return cfg
+
+
+@register("stream_ingest", _PARSED_SQL)
+def q_stream_ingest(spark, sf_dir):
+    """Stream all events through the dual sink and read the lake back."""
+    cfg = ingest_events(spark, sf_dir)
+    return _final_parsed(read_lake(spark, cfg.lake_path))
+
+
+@register("lake_prune", _PARSED_SQL.replace("FROM events", "FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15'"))
+def q_lake_prune(spark, sf_dir):
+    """Write the date/hour lake, then read it with a partition filter (pruned scan)."""
+    wd = work_dir(spark, "lake")
+    write_lake(parsed_events(spark, sf_dir).drop("processed_at"), f"{wd}/lake")
+    lake = read_lake(spark, f"{wd}/lake")
+    return _final_parsed(lake.where(F.col("date") >= F.lit("2024-01-15").cast("date")))
