@@ -540,3 +540,23 @@ def q_tune(spark, sf_dir):
     d = _embedding_frame(spark, sf_dir).where(~F.col("is_test"))
     trials, _, _ = M.tune_mlp(spark, d, 64, 10, max_iter=10)
     return trials
+
+
+# ---------------------------------------------------------------- synthesis (rows-only checks)
+
+from tidewater.operators import synth  # noqa: E402
+
+
+@register("profile_columns")
+def q_profile_columns(spark, sf_dir):
+    p = synth.profile_columns(S.lineitem_features(spark, sf_dir), categorical=["target"])
+    return spark.createDataFrame(p, "name string, role string, lo double, hi double, digits int, ndv long")
+
+
+@register("copula_sample")
+def q_copula_sample(spark, sf_dir):
+    """Fit on the lineitem features and draw as many rows as the table has."""
+    src = S.lineitem_features(spark, sf_dir)
+    model = synth.copula_fit(src, categorical=["target"])
+    n = src.count()
+    return synth.copula_sample(model, spark.range(n), "id", seed=42)
