@@ -37,8 +37,11 @@ def processed_stream(spark: SparkSession, cfg: Config, fields: Sequence[str] = F
     if dedupe_within:
         # producer retries and reused ids: keep the first copy of a record id seen
         # within the watermark; state is bounded by the watermark delay
-        parsed = (parsed.withWatermark("event_timestamp", dedupe_within)
-                        .dropDuplicatesWithinWatermark(["record_id"]))
+        # (watermarks need an LTZ timestamp; the NTZ event time is kept as is)
+        parsed = (parsed.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
+                        .withWatermark("_event_time", dedupe_within)
+                        .dropDuplicatesWithinWatermark(["record_id"])
+                        .drop("_event_time"))
     return parsed
 
 
