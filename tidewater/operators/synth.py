@@ -5,9 +5,10 @@ Fit (a few aggregates, results are small):
     approximate distinct count per column, in one aggregate;
   * numeric marginals: a 101-point ``percentile_approx`` grid (bounded sketches);
   * categorical marginals: category frequencies (``groupBy``, few categories);
-  * dependence: Spearman correlation (MLlib, rank-based and distributed) turned into
-    the normal-copula correlation ``2 sin(pi rho / 6)``, then a Cholesky factor of
-    the d x d matrix (d = column count) with a small ridge if needed.
+  * dependence: each value is mapped to a normal score ``Phi^-1(F(x))`` through its
+    fitted marginal (mid-rank for ties) with column expressions, and all pairwise
+    Pearson correlations of the scores come from one aggregate; the d x d matrix
+    (d = column count) gets a Cholesky factor, with a small ridge if needed.
 
 Sample (one map-only stage over any id column, e.g. ``spark.range(n)`` or a stream's
 record ids): per id and dimension, two uniforms from ``xxhash64(id, seed, k)``,
@@ -23,8 +24,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,6 +52,15 @@ class CopulaModel:
     types: dict[str, str]
 
 
+def _decimal_digits(x: Column, cap: int = 10) -> Column:
+    """Fewest decimal places that represent ``x`` (up to ``cap``), by arithmetic."""
+    out = F.lit(cap)
+    for k in range(cap - 1, -1, -1):
+        y = x * F.lit(10.0 ** k)
+        out = F.when(F.abs(y - F.round(y)) <= F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(y)), F.lit(k)).otherwise(out)
+    return F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(out)
+
+
 def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
                     categorical: Sequence[str] = (), max_categories: int = 20) -> list[dict]:
     """Role detection (+ override), min, max, decimal digits, approx distinct count."""
@@ -59,9 +68,8 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        frac = F.regexp_extract(F.call_function("format_number", x, F.lit("0.##########")), r"\.(\d+)$", 1)
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.max(F.length(frac)).alias(f"{c}__digits"),
+                 F.max(_decimal_digits(x)).alias(f"{c}__digits"),
                  F.approx_count_distinct(c).alias(f"{c}__ndv")]
     row = df.agg(*aggs).first()
     out = []
@@ -75,12 +83,6 @@ def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
     return out
 
 
-def _nearest_corr(rho: np.ndarray) -> np.ndarray:
-    r = np.nan_to_num(rho, nan=0.0)
-    np.fill_diagonal(r, 1.0)
-    return r
-
-
 def _cholesky(c: np.ndarray) -> np.ndarray:
     ridge = 0.0
     for _ in range(12):
@@ -120,27 +122,121 @@ def copula_fit(df: DataFrame, cols: Sequence[str] | None = None, categorical: Se
                                       categories=[r[c] for r in freq], cumulative=cum))
         else:
             models.append(ColumnModel(c, "numeric", p["lo"], p["hi"], p["digits"], grid=grids[c]))
-    # Spearman on the raw columns (NULLs filled by the median grid point)
-    fill = {m.name: (m.grid[50] if m.role == "numeric" and m.grid else
-                     (m.categories[0] if m.categories else 0)) for m in models}
-    vec = VectorAssembler(inputCols=[f"_{c}" for c in cols], outputCol="v")
-    dd = d.select(*[F.coalesce(F.col(c).cast("double"), F.lit(float(fill[c] or 0))).alias(f"_{c}")
-                    for c in cols])
-    rho = np.array(Correlation.corr(vec.transform(dd), "v", "spearman").first()[0].toArray())
-    corr = 2.0 * np.sin(math.pi * _nearest_corr(rho) / 6.0)
-    np.fill_diagonal(corr, 1.0)
+    # normal scores through the fitted marginals (missing cells score 0, the median),
+    # computed in staged projections so each score is evaluated once per row, then
+    # every pairwise Pearson correlation in one partial aggregate
+    k = len(models)
+    corr = np.eye(k)
+    if k > 1:
+        sc = d.select(*[F.col(m.name).cast("double").alias(f"_x{i}") for i, m in enumerate(models)])
+        for i, m in enumerate(models):
+            sc = _inv_phi_stages(_cdf_stages(sc, m, f"_x{i}", f"_p{i}"), f"_p{i}", f"_z{i}")
+        z = sc.select(*[F.coalesce(F.col(f"_z{i}"), F.lit(0.0)).alias(f"z{i}") for i in range(k)])
+        pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
+        row = z.agg(*[F.corr(f"z{i}", f"z{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+        for i, j in pairs:
+            v = row[f"c{i}_{j}"]
+            corr[i, j] = corr[j, i] = 0.0 if v is None or math.isnan(v) else float(v)
     L = _cholesky(corr)
     types = {c: df.schema[c].dataType.simpleString() for c in cols}
     return CopulaModel(models, L.tolist(), types)
 
 
+def _count_below(x: Column, grid: Sequence[float], strict: bool = True) -> Column:
+    """Number of sorted ``grid`` points ``< x`` (``<= x`` if not ``strict``), as a
+    balanced CASE tree: about log2(len) codegen'd comparisons per value, no lambdas.
+    Meant for short arrays (category cumulative frequencies)."""
+    def node(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        go_right = (x > F.lit(float(grid[mid]))) if strict else (x >= F.lit(float(grid[mid])))
+        return F.when(go_right, node(mid + 1, hi)).otherwise(node(lo, mid))
+    return node(0, len(grid))
+
+
+def _inv_phi_stages(df: DataFrame, p: str, out: str) -> DataFrame:
+    """Standard normal quantile of column ``p`` (Acklam's rational approximation,
+    relative error < 1.2e-9), computed in two projections so each intermediate is
+    evaluated once per row."""
+    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
+         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
+    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
+         6.680131188771972e+01, -1.328068155288572e+01]
+    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
+         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
+    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
+
+    def horner(coef, x):
+        acc = F.lit(coef[0])
+        for k in coef[1:]:
+            acc = acc * x + F.lit(k)
+        return acc
+
+    pc = F.col(p)
+    tail_p = F.least(pc, F.lit(1.0) - pc)               # distance to the nearer tail
+    df = df.withColumn(f"{out}_t", F.sqrt(F.lit(-2.0) * F.log(tail_p))) \
+           .withColumn(f"{out}_q", pc - F.lit(0.5))
+    t, q = F.col(f"{out}_t"), F.col(f"{out}_q")
+    df = df.withColumn(f"{out}_r", q * q)
+    r = F.col(f"{out}_r")
+    central = horner(a, r) * q / (horner(b, r) * r + F.lit(1.0))
+    tail = horner(c, t) / (horner(d, t) * t + F.lit(1.0))   # lower-tail value
+    lo = F.lit(0.02425)
+    z = (F.when(pc.isNull(), F.lit(None))
+          .when(pc < lo, tail).when(pc > F.lit(1.0) - lo, -tail).otherwise(central))
+    return df.withColumn(out, z).drop(f"{out}_t", f"{out}_q", f"{out}_r")
+
+
+def _cdf_stages(df: DataFrame, m: ColumnModel, x: str, out: str) -> DataFrame:
+    """Mid-rank CDF of column ``x`` under the fitted marginal, kept inside (0, 1)."""
+    xc = F.col(x)
+    ok = xc.isNotNull() & ~F.isnan(xc)
+    if m.role == "categorical":
+        cats = F.array(*[F.lit(float(v)) for v in m.categories])
+        cum = F.array(*[F.lit(float(v)) for v in m.cumulative])
+        prev = F.array(*[F.lit(float(v)) for v in [0.0] + m.cumulative[:-1]])
+        df = df.withColumn(f"{out}_i", F.array_position(cats, xc).cast("int"))
+        i = F.col(f"{out}_i")
+        u = F.when(ok & (i > 0), (F.element_at(prev, i) + F.element_at(cum, i)) / 2)
+        df = df.withColumn(out, u).drop(f"{out}_i")
+    elif not m.grid:
+        df = df.withColumn(out, F.lit(None).cast("double"))
+    else:
+        # rank of x among the grid points by a JVM binary search (Bucketizer over the
+        # distinct grid values), then literal lookups for ties -> mid-rank
+        g = [float(v) for v in m.grid]
+        uniq = sorted(set(g))
+        lt = [0] + [sum(1 for v in g if v < u_) for u_ in uniq]     # grid points < value
+        le = [0] + [sum(1 for v in g if v <= u_) for u_ in uniq]    # grid points <= value
+        bk = Bucketizer(splits=[-math.inf] + uniq + [math.inf], inputCol=f"{out}_x",
+                        outputCol=f"{out}_j", handleInvalid="keep")
+        df = bk.transform(df.withColumn(f"{out}_x", F.when(ok, xc).otherwise(F.lit(0.0))))
+        j = F.col(f"{out}_j").cast("int") + 1                        # 1-based lookup index
+        uval = F.array(*[F.lit(v) for v in [math.nan] + uniq])
+        ltc, lec = F.array(*[F.lit(v) for v in lt]), F.array(*[F.lit(v) for v in le])
+        df = df.withColumn(f"{out}_b", F.when(xc == F.element_at(uval, j), F.element_at(ltc, j))
+                                        .otherwise(F.element_at(lec, j))) \
+               .withColumn(f"{out}_e", F.element_at(lec, j))
+        below, upto = F.col(f"{out}_b"), F.col(f"{out}_e")
+        grid = F.array(*[F.lit(v) for v in g])
+        i = F.greatest(below, F.lit(1))
+        g0, g1 = F.element_at(grid, i), F.element_at(grid, F.least(i + 1, F.lit(len(g))))
+        interp = (F.least(below, F.lit(len(g) - 1)) - 1
+                  + F.coalesce(F.try_divide(xc - g0, g1 - g0), F.lit(0.0))) / F.lit(len(g) - 1.0)
+        u = F.when(upto > below, (below + upto - 1) / F.lit(2.0 * (len(g) - 1))).otherwise(interp)
+        df = df.withColumn(out, F.when(ok, u)).drop(f"{out}_x", f"{out}_j", f"{out}_b", f"{out}_e")
+    return df.withColumn(out, F.least(F.greatest(F.col(out), F.lit(1e-6)), F.lit(1 - 1e-6)))
+
+
 def _uniform(id_col: Column, seed: int, k: int, j: int) -> Column:
     h = F.xxhash64(id_col, F.lit(seed), F.lit(k), F.lit(j))
     return (F.pmod(h, F.lit(2 ** 53)).cast("double") + F.lit(0.5)) / F.lit(TWO53)
 
 
 def _phi(x: Column) -> Column:
-    """Standard normal CDF via an erf approximation (absolute error < 1.5e-7)."""
+    """Standard normal CDF via an erf approximation (absolute error < 1.5e-7);
+    ``x`` should be a column reference (it is used several times)."""
     z = F.abs(x) / F.lit(math.sqrt(2.0))
     t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.3275911) * z)
     poly = t * (F.lit(0.254829592) + t * (F.lit(-0.284496736) + t * (F.lit(1.421413741)
@@ -149,24 +245,24 @@ def _phi(x: Column) -> Column:
     return F.when(x >= 0, (F.lit(1.0) + erf) / 2).otherwise((F.lit(1.0) - erf) / 2)
 
 
-def _inverse_marginal(m: ColumnModel, u: Column, out_type: str) -> Column:
+def _inverse_marginal_stages(df: DataFrame, m: ColumnModel, u: str, out: str, out_type: str) -> DataFrame:
+    uc = F.col(u)
     if m.role == "categorical":
-        cum = F.array(*[F.lit(float(x)) for x in m.cumulative])
         cats = F.array(*[F.lit(x) for x in m.categories])
-        idx = F.size(F.filter(cum, lambda c: c < u))
-        idx = F.least(idx, F.lit(len(m.categories) - 1))
-        return F.element_at(cats, idx + 1).cast(out_type)
+        idx = F.least(_count_below(uc, m.cumulative, strict=True), F.lit(len(m.categories) - 1))
+        return df.withColumn(out, F.element_at(cats, idx + 1).cast(out_type))
     if not m.grid:
-        return F.lit(None).cast(out_type)
+        return df.withColumn(out, F.lit(None).cast(out_type))
+    n = len(m.grid) - 1
     grid = F.array(*[F.lit(float(x)) for x in m.grid])
-    pos = u * F.lit(100.0)
-    i = F.least(F.floor(pos).cast("int"), F.lit(99))
-    w = pos - i
-    lo = F.element_at(grid, i + 1)
-    hi = F.element_at(grid, i + 2)
-    v = lo + (hi - lo) * w
+    df = df.withColumn(f"{out}_i", F.least(F.floor(uc * F.lit(float(n))).cast("int"), F.lit(n - 1)))
+    i = F.col(f"{out}_i")
+    df = df.withColumn(f"{out}_lo", F.element_at(grid, i + 1)) \
+           .withColumn(f"{out}_hi", F.element_at(grid, i + 2))
+    lo, hi = F.col(f"{out}_lo"), F.col(f"{out}_hi")
+    v = lo + (hi - lo) * (uc * F.lit(float(n)) - i)
     v = F.least(F.greatest(v, F.lit(float(m.lo))), F.lit(float(m.hi)))
-    return F.round(v, m.digits).cast(out_type)
+    return df.withColumn(out, F.round(v, m.digits).cast(out_type)).drop(f"{out}_i", f"{out}_lo", f"{out}_hi")
 
 
 def copula_sample(model: CopulaModel, ids: DataFrame, id_col: str = "id", seed: int = 42,
@@ -178,7 +274,7 @@ def copula_sample(model: CopulaModel, ids: DataFrame, id_col: str = "id", seed:
     for k in range(d):
         u1, u2 = _uniform(rid, seed, k, 0), _uniform(rid, seed, k, 1)
         zs.append(F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2))
-    z = ids.select(*keep, rid.alias("_id"), *[zk.alias(f"_z{k}") for k, zk in enumerate(zs)])
+    df = ids.select(*keep, rid.alias("_id"), *[zk.alias(f"_z{k}") for k, zk in enumerate(zs)])
     L = model.cholesky
     xs = []
     for i in range(d):
@@ -186,8 +282,9 @@ def copula_sample(model: CopulaModel, ids: DataFrame, id_col: str = "id", seed:
         acc = terms[0] if terms else F.lit(0.0)
         for t in terms[1:]:
             acc = acc + t
-        xs.append(acc)
-    out = []
+        xs.append(acc.alias(f"_x{i}"))
+    df = df.select(*keep, "_id", *xs)
+    df = df.select(*keep, "_id", *[_phi(F.col(f"_x{i}")).alias(f"_u{i}") for i in range(d)])
     for i, m in enumerate(model.columns):
-        out.append(_inverse_marginal(m, _phi(xs[i]), model.types[m.name]).alias(m.name))
-    return z.select(*keep, F.col("_id").alias(id_col), *out)
+        df = _inverse_marginal_stages(df, m, f"_u{i}", m.name, model.types[m.name])
+    return df.select(*keep, F.col("_id").alias(id_col), *[m.name for m in model.columns])
