@@ -34,3 +34,13 @@ def classification_metrics(conf: DataFrame) -> DataFrame:
 def evaluate(df: DataFrame, label: str = "label", prediction: str = "prediction") -> dict:
     row = classification_metrics(confusion(df, label, prediction)).first()
     return {"n": row["n"], "accuracy": row["accuracy"], "weighted_f1": row["weighted_f1"]}
+
+
+def mean_log_loss(pred: DataFrame, label: str = "label", probability: str = "probability",
+                  eps: float = 1e-15) -> DataFrame:
+    """One row ``log_loss``: mean of ``-log p(true class)`` over a prediction frame
+    with an MLlib probability vector and 0-based numeric labels."""
+    from pyspark.ml.functions import vector_to_array
+    p = F.element_at(vector_to_array(F.col(probability)), F.col(label).cast("int") + 1)
+    p = F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
+    return pred.agg(F.avg(-F.log(p)).alias("log_loss"))

@@ -77,3 +77,14 @@ def run_scoring(spark: SparkSession, df: DataFrame, model_root: str, name: str,
                 by: str = "mtime", keep: Sequence[str] = ()) -> DataFrame:
     """Score a batch or streaming DataFrame with the latest registered model."""
     return score(df, load_latest(spark, model_root, name, by), keep)
+
+
+def await_or_stop(query, timeout: float | None = None) -> None:
+    """Block on a streaming query; stop it cleanly on interrupt or timeout and re-raise
+    a query failure (the checkpoint is then not advanced past the failed batch)."""
+    try:
+        finished = query.awaitTermination(timeout) if timeout else query.awaitTermination()
+        if timeout and not finished:
+            query.stop()
+    except KeyboardInterrupt:
+        query.stop()
