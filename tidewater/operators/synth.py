@@ -3,7 +3,8 @@
 Fit (a few aggregates, results are small):
   * ``profile_columns``: role (categorical / numeric), min, max, decimal digits and
     approximate distinct count per column, in one aggregate;
-  * numeric marginals: a 101-point ``percentile_approx`` grid (bounded sketches);
+  * numeric marginals: a 101-point ``percentile_approx`` grid (bounded sketches),
+    computed in the same aggregate as the profile;
   * categorical marginals: category frequencies (``groupBy``, few categories);
   * dependence: each value is mapped to a normal score ``Phi^-1(F(x))`` through its
     fitted marginal (mid-rank for ties) with column expressions, and all pairwise
@@ -29,6 +30,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import jit_sized_codegen
+
 GRID = [i / 100 for i in range(101)]
 TWO53 = float(2 ** 53)
 
@@ -53,36 +56,43 @@ class CopulaModel:
 
 
 def _decimal_digits(x: Column, cap: int = 10) -> Column:
-    """Fewest decimal places that represent ``x`` (up to ``cap``), by arithmetic."""
+    """Fewest decimal places that represent ``x`` (up to ``cap``), by arithmetic.
+    ``rint`` (not ``round``, which goes through BigDecimal for doubles) keeps the
+    tolerance test a few floating-point operations per value."""
     out = F.lit(cap)
     for k in range(cap - 1, -1, -1):
         y = x * F.lit(10.0 ** k)
-        out = F.when(F.abs(y - F.round(y)) <= F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(y)), F.lit(k)).otherwise(out)
+        out = F.when(F.abs(y - F.rint(y)) <= F.lit(1e-9) * F.greatest(F.lit(1.0), F.abs(y)), F.lit(k)).otherwise(out)
     return F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(out)
 
 
-def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
-                    categorical: Sequence[str] = (), max_categories: int = 20) -> list[dict]:
-    """Role detection (+ override), min, max, decimal digits, approx distinct count."""
-    cols = list(cols or df.columns)
+def _profile_aggs(cols: Sequence[str]) -> list[Column]:
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.max(_decimal_digits(x)).alias(f"{c}__digits"),
                  F.approx_count_distinct(c).alias(f"{c}__ndv")]
-    row = df.agg(*aggs).first()
+    return aggs
+
+
+def _profile_from(row, df: DataFrame, cols: Sequence[str], categorical: Sequence[str]) -> list[dict]:
     out = []
     for c in cols:
         integral = isinstance(df.schema[c].dataType, T.IntegralType) or (row[f"{c}__digits"] or 0) == 0
         role = "categorical" if (c in categorical or (integral and (row[f"{c}__ndv"] or 0) <= 2)) else "numeric"
-        if c in categorical:
-            role = "categorical"
         out.append({"name": c, "role": role, "lo": row[f"{c}__min"], "hi": row[f"{c}__max"],
                     "digits": int(row[f"{c}__digits"] or 0), "ndv": row[f"{c}__ndv"]})
     return out
 
 
+def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
+                    categorical: Sequence[str] = (), max_categories: int = 20) -> list[dict]:
+    """Role detection (+ override), min, max, decimal digits, approx distinct count."""
+    cols = list(cols or df.columns)
+    return _profile_from(df.agg(*_profile_aggs(cols)).first(), df, cols, categorical)
+
+
 def _cholesky(c: np.ndarray) -> np.ndarray:
     ridge = 0.0
     for _ in range(12):
@@ -97,14 +107,15 @@ def _cholesky(c: np.ndarray) -> np.ndarray:
 def copula_fit(df: DataFrame, cols: Sequence[str] | None = None, categorical: Sequence[str] = (),
                accuracy: int = 10_000, max_categories: int = 1000) -> CopulaModel:
     cols = list(cols or df.columns)
+    jit_sized_codegen(df.sparkSession)
     d = df.select(*cols)
-    prof = profile_columns(d, cols, categorical)
-    numeric = [p["name"] for p in prof if p["role"] == "numeric"]
-    grids = {}
-    if numeric:
-        row = d.agg(*[F.percentile_approx(F.col(c).cast("double"), GRID, accuracy).alias(c)
-                      for c in numeric]).first()
-        grids = {c: list(row[c]) if row[c] is not None else None for c in numeric}
+    # one pass for the profile and every grid: roles are only known afterwards, and a
+    # grid sketch is bounded, so computing it for a column that turns out categorical
+    # costs less than a second scan
+    row = d.agg(*_profile_aggs(cols), *[F.percentile_approx(F.col(c).cast("double"), GRID, accuracy)
+                                        .alias(f"{c}__grid") for c in cols]).first()
+    prof = _profile_from(row, d, cols, categorical)
+    grids = {c: list(row[f"{c}__grid"]) if row[f"{c}__grid"] is not None else None for c in cols}
     models = []
     for p in prof:
         c = p["name"]
@@ -268,6 +279,7 @@ def _inverse_marginal_stages(df: DataFrame, m: ColumnModel, u: str, out: str, ou
 def copula_sample(model: CopulaModel, ids: DataFrame, id_col: str = "id", seed: int = 42,
                   keep: Sequence[str] = ()) -> DataFrame:
     """One synthetic row per id (map-only; deterministic in ``(id, seed)``)."""
+    jit_sized_codegen(ids.sparkSession)
     rid = F.col(id_col)
     d = len(model.columns)
     zs = []

@@ -35,9 +35,21 @@ def get_session(app: str = "tidewater", master: str | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    jit_sized_codegen(spark)
     return spark
 
 
+def jit_sized_codegen(spark: SparkSession, limit: int = 8000) -> None:
+    """Cap whole-stage-codegen methods at HotSpot's JIT limit (Spark's documented
+    setting for HotSpot) unless the session already chose a value.  Wide per-row
+    arithmetic (copula scores and draws over many columns) otherwise fuses into one
+    method too large to be JIT-compiled and runs interpreted, several times slower;
+    above the cap Spark keeps that subtree on per-expression codegen instead."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if spark.conf.get(key, "65535") == "65535":
+        spark.conf.set(key, str(limit))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None)
