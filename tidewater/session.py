@@ -7,6 +7,8 @@ the session has none (tests, local runs)."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -50,6 +52,23 @@ def jit_sized_codegen(spark: SparkSession, limit: int = 8000) -> None:
         spark.conf.set(key, str(limit))
 
 
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Apply SQL settings for the actions run inside the block, then restore them.
+    For eager writes only (a lazily returned DataFrame plans after the block)."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``."""
     d = spark.conf.get("spark.checkpoint.dir", None)

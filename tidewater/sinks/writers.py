@@ -12,6 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewater.session import session_conf
+
+# AQE coalesces a rebalance shuffle down to this floor per task.  The rebalance on
+# the partition columns already fixes one writer per hour (a hot hour is split), so
+# a lower floor only spreads the hours of a small micro-batch over more writer tasks
+# instead of one task writing every hour's file in turn; large batches are far above it.
+LAKE_WRITE_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k"}
+
 
 def _idempotent(df: DataFrame, partition_cols: Sequence[str], batch_id: int | None):
     cols = list(partition_cols)
@@ -34,7 +42,8 @@ def write_lake(df: DataFrame, path: str, partition_cols: Sequence[str] = ("date"
         w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
         w = w.mode(mode)
-    (w.partitionBy(*cols) if cols else w).save(path)
+    with session_conf(df.sparkSession, LAKE_WRITE_CONF):
+        (w.partitionBy(*cols) if cols else w).save(path)
 
 
 def write_serving(df: DataFrame, path: str | None, fmt: str = "parquet",
