@@ -38,3 +38,17 @@ def test_metrics_match_mllib(spark):
     ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction")
     assert abs(m.accuracy - ev.evaluate(df, {ev.metricName: "accuracy"})) < 1e-12
     assert abs(m.weighted_f1 - ev.evaluate(df, {ev.metricName: "f1"})) < 1e-12
+
+
+def test_flagged_evaluation_equals_two_pass(spark):
+    from tidewater.operators import model as M
+    from tidewater.plans import standins as S
+
+    li = S.lineitem_features(spark, SF01).na.fill(0.0)
+    ks = split.split_hash(li.withColumn("rk", F.monotonically_increasing_id()), "rk", 0.2, 42)
+    feats = list(S.LINEITEM_FEATURES)
+    mdl = M.train_forest(ks.where(~F.col("is_test")), feats, "target", num_trees=5, max_depth=4)
+    one = M.evaluate_flagged(mdl, ks, "is_test", "target")
+    two = M.evaluate_split(mdl, ks.where(~F.col("is_test")), ks.where(F.col("is_test")), "target")
+    assert one == two
+    assert one["train_rows"] + one["test_rows"] == li.count()

@@ -64,6 +64,24 @@ def evaluate_split(model: PipelineModel, train: DataFrame, test: DataFrame,
             "train_rows": tr["n"], "test_rows": te["n"]}
 
 
+def evaluate_flagged(model: PipelineModel, df: DataFrame, flag: str = "is_test",
+                     label: str = "target") -> dict:
+    """``evaluate_split`` for a table whose rows carry a test flag: one prediction
+    pass over both sides, one confusion table keyed by the flag (at most
+    2 x classes^2 rows, cached while both sides' metrics are read from it)."""
+    conf = (predict(model, df, label)
+            .groupBy(F.col(flag).alias("_test"), F.col("label"), F.col("prediction"))
+            .agg(F.count(F.lit(1)).alias("count"))).cache()
+    try:
+        tr = classification_metrics(conf.where(~F.col("_test")).drop("_test")).first()
+        te = classification_metrics(conf.where(F.col("_test")).drop("_test")).first()
+    finally:
+        conf.unpersist()
+    return {"train_accuracy": tr["accuracy"], "test_accuracy": te["accuracy"],
+            "eval_accuracy": te["accuracy"], "eval_f1_score": te["weighted_f1"],
+            "train_rows": tr["n"], "test_rows": te["n"]}
+
+
 def feature_importance(spark: SparkSession, model: PipelineModel, names: Sequence[str],
                        top: int = 5) -> DataFrame:
     """Top ``top`` features by forest importance (importances sum to 1)."""

@@ -58,10 +58,9 @@ def run_training(spark: SparkSession, raw: DataFrame, spec: TrainSpec = TrainSpe
                              min_features=spec.min_features, min_class=spec.min_class)
     ks = split.split_exact(keyed(curated), spec.label, "row_key", spec.test_frac, spec.seed)
     ks = prep.materialize(ks, "checkpoint")
-    train, test = ks.where(~F.col("is_test")), ks.where(F.col("is_test"))
-    mdl = M.train_forest(train, feat_cols, spec.label, spec.num_trees, spec.max_depth,
+    mdl = M.train_forest(ks.where(~F.col("is_test")), feat_cols, spec.label, spec.num_trees, spec.max_depth,
                          spec.min_instances_per_node, spec.seed)
-    metrics = M.evaluate_split(mdl, train, test, spec.label)
+    metrics = M.evaluate_flagged(mdl, ks, "is_test", spec.label)
     out = {"model": mdl, "metrics": metrics, "scaler": stats,
            "importance": M.feature_importance(spark, mdl, feat_cols, 5)}
     if model_root:
