@@ -58,3 +58,15 @@ def test_live_facets_stream(spark, tmp):
     q.awaitTermination()
     got = spark.table("live_f").agg(F.sum("doc_count")).first()[0]
     assert got == 1000
+
+
+def test_session_conf_restores_settings(spark):
+    from tidewater.session import session_conf
+
+    key = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+    before = spark.conf.get(key)
+    with session_conf(spark, {key: "128k", "spark.sql.shuffle.partitions": "3"}):
+        assert spark.conf.get(key) == "128k"
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert spark.conf.get(key) == before
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
