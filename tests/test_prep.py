@@ -34,6 +34,20 @@ def test_order_statistics_hot_value_and_long_keys(spark):
     assert got[(1, 0)] == 2 ** 60 - 49 and got[(1, 49)] == 2 ** 60
 
 
+@pytest.mark.parametrize("limit", [2, 100_000])
+def test_order_statistics_signs_zeros_infinities_and_extremes(spark, limit):
+    """Every rank of a column mixing signs, +-0, infinities, subnormals and huge
+    magnitudes equals the sorted values (first-round buckets are by magnitude)."""
+    rng = np.random.default_rng(11)
+    vals = ([0.0, -0.0, 0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 1e308, -1e308,
+             1.0, 1.0 + 2 ** -52, -1.0, 2.0, 0.5, 3.0] + list(rng.normal(size=300) * 10.0 ** rng.integers(-8, 8, 300))
+            + [7.25] * 200)
+    df = spark.createDataFrame([(0, float(v)) for v in vals], "gid int, x double")
+    got = order_statistics(df, {0: list(range(len(vals)))}, bins=4, collect_limit=limit)
+    srt = sorted(vals)
+    assert [got[(0, r)] for r in range(len(vals))] == srt
+
+
 def test_nan_and_null_count_as_missing(spark):
     df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (None,), (10.0,)], "a double")
     assert exact_quantiles(df, ["a"], [0.5])["a"] == [2.0]

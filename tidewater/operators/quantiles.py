@@ -4,8 +4,10 @@ Spark's ``percentile``/``median`` aggregates merge a value->count map per group
 one task, which does not scale to a column with billions of distinct values.  Here
 the k-th smallest value of each group is found by histogram refinement:
 
-1. one aggregate gives ``count, min, max`` per group;
-2. each round, every open search interval ``[lo, hi]`` is cut into ``bins``
+1. the first aggregate needs no bounds: values are bucketed by sign and magnitude
+   (``PER_OCTAVE`` log-scale slices per power of two, a monotone map), and the same
+   ``groupBy(group, bucket)`` gives ``count, min, max`` per group as totals;
+2. each later round, every open search interval ``[lo, hi]`` is cut into ``bins``
    equal-width buckets and one ``groupBy(interval, bucket)`` (partial aggregation
    map-side, so the shuffle carries at most intervals x bins rows per task) returns
    bucket counts and exact bucket min/max;
@@ -27,11 +29,14 @@ import math
 from collections import defaultdict
 from collections.abc import Hashable, Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_MAX_INTERVALS = 100_000
+# first-round buckets per power of two; the bucket count per group is bounded by the
+# octaves the values span (at most about 2 x 2100 x PER_OCTAVE), not by the row count
+PER_OCTAVE = 64
 
 
 def _numeric(df: DataFrame, c: str) -> bool:
@@ -51,13 +56,56 @@ def group_stats(long_df: DataFrame) -> dict[Hashable, tuple[int, float, float]]:
     return {r["gid"]: (r["n"], r["lo"], r["hi"]) for r in rows}
 
 
+def _magnitude_bucket(x: Column, per_octave: int = PER_OCTAVE) -> Column:
+    """Monotone bucket id from sign and magnitude: 0 for zero, +-(slice of log2|x|)
+    otherwise, +-top for infinities.  Equal values always share a bucket."""
+    ax = F.abs(x).cast("double")
+    base = 1100 * per_octave                 # |log2| < 1100 for every nonzero double
+    inner = F.floor(F.log2(ax) * F.lit(float(per_octave))) + F.lit(base + 1)
+    pos = F.when(ax == F.lit(math.inf), F.lit(2 * base + 2)).otherwise(inner)
+    return F.when(x > 0, pos).when(x < 0, -pos).otherwise(F.lit(0)).cast("long")
+
+
+def first_histogram(long_df: DataFrame, per_octave: int = PER_OCTAVE) -> dict[Hashable, list]:
+    """Per group, sorted ``(bucket, count, min, max)`` over magnitude buckets: one
+    partially aggregated pass that needs no prior bounds."""
+    rows = (long_df.groupBy("gid", _magnitude_bucket(F.col("x"), per_octave).alias("b"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("bmin"), F.max("x").alias("bmax"))
+                   .collect())
+    out: dict[Hashable, list] = defaultdict(list)
+    for r in rows:
+        out[r["gid"]].append((r["b"], r["n"], r["bmin"], r["bmax"]))
+    for v in out.values():
+        v.sort()
+    return dict(out)
+
+
+def stats_from(hist: dict[Hashable, list]) -> dict[Hashable, tuple[int, float, float]]:
+    return {g: (sum(b[1] for b in v), v[0][2], v[-1][3]) for g, v in hist.items()}
+
+
+def _locate(buckets: list, want: int) -> tuple[int, int, float, float]:
+    """(values before, count, min, max) of the bucket holding 0-based rank ``want``."""
+    cum = 0
+    for _, cnt, bmin, bmax in buckets:
+        if want < cum + cnt:
+            return cum, cnt, bmin, bmax
+        cum += cnt
+    raise RuntimeError("rank not found in histogram")  # pragma: no cover
+
+
 def order_statistics(long_df: DataFrame, targets: dict[Hashable, Iterable[int]],
                      stats: dict[Hashable, tuple[int, float, float]] | None = None,
                      bins: int = 4096, collect_limit: int = 4096,
-                     max_rounds: int = 64) -> dict[tuple[Hashable, int], float]:
-    """Exact ``rank``-th smallest ``x`` per ``gid`` for every wanted (gid, rank)."""
-    spark = long_df.sparkSession
-    stats = stats if stats is not None else group_stats(long_df)
+                     max_rounds: int = 64, first: dict[Hashable, list] | None = None
+                     ) -> dict[tuple[Hashable, int], float]:
+    """Exact ``rank``-th smallest ``x`` per ``gid`` for every wanted (gid, rank).
+    ``first`` is a ``first_histogram`` of ``long_df`` (computed here if neither it
+    nor ``stats`` is given); the search then starts inside its buckets."""
+    if first is None and stats is None:
+        first = first_histogram(long_df)
+    if stats is None:
+        stats = stats_from(first)
     # open search state per target: [lo, hi, below, count]
     state: dict[tuple, list] = {}
     result: dict[tuple, float] = {}
@@ -70,6 +118,12 @@ def order_statistics(long_df: DataFrame, targets: dict[Hashable, Iterable[int]],
                 raise ValueError(f"rank {r} outside 0..{n - 1} for group {g}")
             if lo == hi:
                 result[(g, r)] = lo
+            elif first is not None and g in first:
+                below, cnt, bmin, bmax = _locate(first[g], r)
+                if bmin == bmax:
+                    result[(g, r)] = bmin
+                else:
+                    state[(g, r)] = [bmin, bmax, below, cnt]
             else:
                 state[(g, r)] = [lo, hi, 0, n]
 
@@ -90,20 +144,12 @@ def order_statistics(long_df: DataFrame, targets: dict[Hashable, Iterable[int]],
         iid = {iv: i for i, iv in enumerate(ivals)}
         hist = _histogram(long_df, ivals, bins, gid_type, x_type)
         for k, v in list(state.items()):
-            buckets = hist[iid[(k[0], v[0], v[1])]]
-            want = k[1] - v[2]
-            cum = 0
-            for _, cnt, bmin, bmax in buckets:
-                if want < cum + cnt:
-                    if bmin == bmax:
-                        result[k] = bmin
-                        del state[k]
-                    else:
-                        state[k] = [bmin, bmax, v[2] + cum, cnt]
-                    break
-                cum += cnt
-            else:  # pragma: no cover - counts always cover the interval
-                raise RuntimeError("rank not found in histogram")
+            cum, cnt, bmin, bmax = _locate(hist[iid[(k[0], v[0], v[1])]], k[1] - v[2])
+            if bmin == bmax:
+                result[k] = bmin
+                del state[k]
+            else:
+                state[k] = [bmin, bmax, v[2] + cum, cnt]
     if state:
         raise RuntimeError(f"order statistics did not converge for {len(state)} targets")
     return result
@@ -169,14 +215,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     A column with no non-missing value gives ``None`` for every probability."""
     cols = list(cols)
     lv = long_values(df, cols)
-    stats = group_stats(lv)
+    first = first_histogram(lv)
+    stats = stats_from(first)
     targets: dict[int, set] = defaultdict(set)
     for i in range(len(cols)):
         if i in stats:
             for p in probs:
                 a, b, _ = linear_positions(stats[i][0], p)
                 targets[i].update((a, b))
-    got = order_statistics(lv, targets, stats, **kw)
+    got = order_statistics(lv, targets, stats, first=first, **kw)
     out: dict[str, list] = {}
     for i, c in enumerate(cols):
         if i not in stats:

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.operators.quantiles import BROADCAST_MAX_INTERVALS, group_stats, order_statistics
+from tidewater.operators.quantiles import (BROADCAST_MAX_INTERVALS, first_histogram, order_statistics,
+                                          stats_from)
 
 
 def _c(x):
@@ -44,11 +45,12 @@ def split_exact(df: DataFrame, label: str, key: str, frac: float = 0.2, seed: in
                 out: str = "is_test") -> DataFrame:
     spark = df.sparkSession
     h = df.select(F.col(label).alias("gid"), key_hash60(key, seed).alias("x"), F.col(key).alias("k"))
-    # class sizes and hash ranges in one aggregate; the search starts from them
-    stats = group_stats(h.select("gid", "x"))
-    want = {g: test_counts(n, frac) for g, (n, _, _) in stats.items()}
-    targets = {g: [k - 1] for g, k in want.items() if k > 0 and g is not None}
-    got = order_statistics(h.where(F.col("gid").isNotNull()).select("gid", "x"), targets, stats)
+    # class sizes come from the search's first histogram (one aggregate for both)
+    hx_df = h.where(F.col("gid").isNotNull()).select("gid", "x")
+    first = first_histogram(hx_df)
+    want = {g: test_counts(n, frac) for g, (n, _, _) in stats_from(first).items()}
+    targets = {g: [k - 1] for g, k in want.items() if k > 0}
+    got = order_statistics(hx_df, targets, first=first)
     thresholds = []
     if targets:
         t_rows = spark.createDataFrame([(g, got[(g, targets[g][0])]) for g in targets],
