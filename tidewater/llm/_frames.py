@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import work_dir
+from tidewater.session import session_conf, work_dir
 
+#: Rows of an Arrow batch between the JVM and a Python worker: whole texts are wide rows, and
+#: both sides hold several copies of a batch.
+BATCH_ROWS = 500
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -19,7 +22,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     lineage with files that all executors share, so a lost executor costs no rework."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    df.write.parquet(path)
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

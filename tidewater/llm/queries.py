@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import repeats
+from . import repeats, simhash
 
 QUERIES = {
+    "op6_simhash_pivots": simhash.op6_simhash_pivots,
     "op9_suffix_repeats": repeats.op9_suffix_repeats,
 }
 

@@ -273,8 +273,8 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return removed(read(spark, sf_dir, "documents")).mapInPandas(
-        _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return stage(removed(read(spark, sf_dir, "documents")).mapInPandas(
+        _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "rep-result")
 
 
 def drop_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
