@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import repeats, simhash
+from . import repeats, simhash, toxicity
 
 QUERIES = {
     "op6_simhash_pivots": simhash.op6_simhash_pivots,
+    "op8_toxicity_weak": toxicity.op8_toxicity_weak,
     "op9_suffix_repeats": repeats.op9_suffix_repeats,
 }
 
