@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.session import session_conf, work_dir
@@ -62,3 +62,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     root = pairs.groupBy("b").agg(F.min("a").alias("root"))
     return nodes.join(root, nodes.node == root.b, "left").select("node", F.coalesce("root", "node").alias("root"))
 
+
+
+def ordered(df: DataFrame, by: list, value: str, name: str) -> DataFrame:
+    """``df`` with ``pos`` (1, 2, ... in the order ``by``) and ``before`` (the sum of column
+    ``value`` over all earlier rows), without a single-task window: rows are range-partitioned
+    and written out with their partition's number, running sums are taken inside each
+    partition, and the totals of the partitions (one small row each) are added on top."""
+    parts = stage(df.repartitionByRange(*by).withColumn("part", F.spark_partition_id()), name)
+    totals = parts.groupBy("part").agg(F.count("*").alias("n"), F.sum(value).alias("v"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(F.col("part"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n0"),
+                           F.coalesce(F.sum("v").over(earlier), F.lit(0)).alias("v0"))
+    inside = Window.partitionBy("part").orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    return (parts.withColumn("pos", F.row_number().over(Window.partitionBy("part").orderBy(*by)))
+            .withColumn("before", F.coalesce(F.sum(value).over(inside), F.lit(0)))
+            .join(F.broadcast(totals), "part")  # one row per partition
+            .withColumn("pos", F.col("pos") + F.col("n0")).withColumn("before", F.col("before") + F.col("v0"))
+            .drop("part", "n0", "v0"))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import repeats, simhash, toxicity
+from . import mixing, repeats, simhash, toxicity
 
 QUERIES = {
     "op6_simhash_pivots": simhash.op6_simhash_pivots,
+    "op7_mix_curriculum": mixing.op7_mix_curriculum,
     "op8_toxicity_weak": toxicity.op8_toxicity_weak,
     "op9_suffix_repeats": repeats.op9_suffix_repeats,
 }
