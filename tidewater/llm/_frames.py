@@ -17,12 +17,12 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back: cuts the
     lineage with files that all executors share, so a lost executor costs no rework."""
     spark = df.sparkSession
     path = work_dir(spark, name)
-    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS)}):
+    with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import mixing, repeats, simhash, toxicity
+from . import mixing, pieces, repeats, simhash, simple8b, toxicity
 
 QUERIES = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
+    "op5_simple8b": simple8b.op5_simple8b,
     "op6_simhash_pivots": simhash.op6_simhash_pivots,
     "op7_mix_curriculum": mixing.op7_mix_curriculum,
     "op8_toxicity_weak": toxicity.op8_toxicity_weak,
