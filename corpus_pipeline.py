@@ -1,20 +1,51 @@
-"""A corpus pipeline of five operators; each stage is written as Parquet and read again."""
+"""A corpus pipeline of five operators; each stage is written as Parquet and read again.
+
+1. toxicity: documents that the weakly supervised classifier scores 0.5 or more go.
+2. simhash: one document of each group of near-duplicates stays, the one of smallest id.
+3. suffix_repeats: byte strings that occur more than once are cut out; documents stay.
+4. mixing: each document as often as the target weights take it, in training order.
+5. sentencepiece: the token ids of every document, with the round trip checked.
+
+All stages but the last return the columns of their input.  Nulls, empty and very long
+texts, repeated rows, empty tables and extra columns are handled as each operator says.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import repeats
+from tidewater.llm import mixing, pieces, repeats, simhash, toxicity
 from tidewater.llm._frames import read, stage
 
 
-def suffix_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut byte strings that occur more than once; every document stays."""
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return toxicity.drop_toxic(docs, toxicity.labels_of(spark, sf_dir))
+
+
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one(docs)
+
+
+def suffix_repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repeats.drop_repeats(docs)
 
 
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(docs, pieces.default_model())
+    return encoded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_ids"), "ids")
+
+
 STAGES = [
-    ("suffix_repeats", suffix_repeats),
+    ("toxicity", toxicity_stage),
+    ("simhash", simhash_stage),
+    ("suffix_repeats", suffix_repeats_stage),
+    ("mixing", mixing_stage),
+    ("sentencepiece", sentencepiece_stage),
 ]
 
 #: The toxicity stage is a trained classifier: SQL can't express the rows.
