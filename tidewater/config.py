@@ -17,7 +17,7 @@ def _env(name: str, default: str | None = None) -> str | None:
 @dataclass(frozen=True)
 class Config:
     # message source / sink
-    source_format: str = "kafka"            # "kafka", or "text" / "json" files for tests
+    source_format: str = "kafka"            # "kafka", or "text" / "parquet" files for tests
     bootstrap_servers: str | None = None
     topic: str = "events-stream"
     source_path: str | None = None          # folder of message files when not kafka
@@ -28,7 +28,7 @@ class Config:
     serving_path: str | None = None         # serving table location
     serving_format: str = "parquet"         # a search-index connector format may be named here
     serving_options: dict = field(default_factory=dict)
-    dead_letter_path: str | None = None
+    dead_letter_path: str | None = None     # required: malformed messages and failed batches
     checkpoint_path: str | None = None      # one per streaming query
     trigger_seconds: int = 5
     on_error: str = "raise"                 # "raise" | "isolate"

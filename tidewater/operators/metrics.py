@@ -16,18 +16,23 @@ def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction
 
 
 def classification_metrics(conf: DataFrame) -> DataFrame:
-    """One row: ``n, accuracy, weighted_f1`` (support-weighted F1, zero_division=0)."""
-    support = conf.groupBy("label").agg(F.sum("count").alias("support"))
-    predicted = conf.groupBy(F.col("prediction").alias("label")).agg(F.sum("count").alias("predicted"))
-    tp = (conf.where(F.col("label") == F.col("prediction"))
-              .groupBy("label").agg(F.sum("count").alias("tp")))
-    per = (support.join(predicted, "label", "full").join(tp, "label", "left")
-                  .na.fill(0, ["support", "predicted", "tp"]))
+    """One row: ``n, accuracy, weighted_f1`` (support-weighted F1, zero_division=0).
+
+    Each confusion row is counted for its label and for its prediction; one aggregate by
+    class then holds support, predicted and hits, so the predictions are scanned once."""
+    n = F.col("count")
+    hit = F.when(F.col("label") == F.col("prediction"), n).otherwise(0)
+    per = (conf.select(F.explode(F.array(
+        F.struct(F.col("label").alias("cls"), n.alias("support"), F.lit(0).cast("long").alias("predicted"), hit.alias("tp")),
+        F.struct(F.col("prediction").alias("cls"), F.lit(0).cast("long").alias("support"), n.alias("predicted"),
+                 F.lit(0).cast("long").alias("tp")))).alias("r"))
+        .groupBy("r.cls").agg(F.sum("r.support").alias("support"), F.sum("r.predicted").alias("predicted"),
+                              F.sum("r.tp").alias("tp")))
     f1 = F.coalesce(F.try_divide(2.0 * F.col("tp"), F.col("support") + F.col("predicted")), F.lit(0.0))
     return per.agg(
         F.sum("support").cast("long").alias("n"),
-        (F.sum("tp") / F.sum("support")).alias("accuracy"),
-        (F.sum(F.col("support") * f1) / F.sum("support")).alias("weighted_f1"),
+        F.try_divide(F.sum("tp"), F.sum("support")).alias("accuracy"),
+        F.try_divide(F.sum(F.col("support") * f1), F.sum("support")).alias("weighted_f1"),
     )
 
 

@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from tidewater.operators.metrics import classification_metrics, confusion
 
 # --- fixed values: default forest and search space of the training job ---
-FOREST_DEFAULTS = {"num_trees": 100, "max_depth": 10, "min_samples_split": 5, "min_samples_leaf": 2, "seed": 42}
-SEARCH_SPACE = {"learning_rate": (0.001, 0.1, 0.001), "batch_size": (16, 128, 16)}
+SEARCH_SPACE = {"learning_rate": (0.001, 0.1, 0.001), "hidden": (16, 128, 16)}
 MAX_TRIALS = 10
 PARALLEL_TRIALS = 2
 # --- end fixed values ---
@@ -130,7 +129,8 @@ def sample_grid(space: dict = SEARCH_SPACE, max_trials: int = MAX_TRIALS, seed:
 def tune_mlp(spark: SparkSession, df: DataFrame, n_features: int, n_classes: int,
              space: dict = SEARCH_SPACE, max_trials: int = MAX_TRIALS, parallelism: int = PARALLEL_TRIALS,
              max_iter: int = 20, seed: int = 42, train_ratio: float = 0.8):
-    """Search learning rate x batch size, maximizing validation accuracy.
+    """Search learning rate x hidden units, maximizing validation accuracy.  (MLlib's
+    perceptron trains on full batches, so a batch size would change nothing.)
 
     Returns ``(trials DataFrame, best params dict, best model)``; trials run
     ``parallelism`` at a time through ``TrainValidationSplit``."""
@@ -140,14 +140,14 @@ def tune_mlp(spark: SparkSession, df: DataFrame, n_features: int, n_classes: int
     maps = []
     for p in points:
         b = ParamGridBuilder().addGrid(mlp.stepSize, [float(p["learning_rate"])]) \
-                              .addGrid(mlp.blockSize, [int(p["batch_size"])]).build()
+                              .addGrid(mlp.layers, [[n_features, int(p["hidden"]), n_classes]]).build()
         maps.extend(b)
     ev = MulticlassClassificationEvaluator(metricName="accuracy")
     tvs = TrainValidationSplit(estimator=mlp, estimatorParamMaps=maps, evaluator=ev,
                                trainRatio=train_ratio, parallelism=parallelism, seed=seed)
     fitted = tvs.fit(df)
-    rows = [(i, float(p["learning_rate"]), int(p["batch_size"]), float(m))
+    rows = [(i, float(p["learning_rate"]), int(p["hidden"]), float(m))
             for i, (p, m) in enumerate(zip(points, fitted.validationMetrics))]
-    trials = spark.createDataFrame(rows, "trial int, learning_rate double, batch_size int, accuracy double")
+    trials = spark.createDataFrame(rows, "trial int, learning_rate double, hidden int, accuracy double")
     best_i = max(range(len(rows)), key=lambda i: rows[i][3])
     return trials, points[best_i], fitted.bestModel

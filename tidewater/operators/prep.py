@@ -7,7 +7,9 @@ stage, no join).  NaN counts as missing, like pandas."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -16,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidewater.operators.quantiles import quantiles
 from tidewater.schemas import CLIP_COLUMNS, FEATURES, LABEL
+from tidewater.session import work_dir
 
 
 def _fractional(df: DataFrame, c: str) -> bool:
@@ -28,18 +31,22 @@ def missing(df: DataFrame, c: str) -> Column:
     return (col.isNull() | F.isnan(col)) if _fractional(df, c) else col.isNull()
 
 
+def medians(df: DataFrame, cols: Sequence[str], method: str = "exact") -> dict[str, float | None]:
+    return {c: v[0] for c, v in quantiles(df, cols, [0.5], method=method).items()} if cols else {}
+
+
 def impute_median(df: DataFrame, cols: Sequence[str] = FEATURES, exclude: Sequence[str] = (),
-                  method: str = "exact") -> DataFrame:
-    """Fill NULL/NaN cells with the column's exact median (pandas ``median``).
+                  method: str = "exact", values: dict[str, float | None] | None = None) -> DataFrame:
+    """Fill NULL/NaN cells with the column's exact median (pandas ``median``), or with
+    ``values`` found earlier.
 
     Integer columns take the median as a double, as pandas does.  An all-missing
     column stays missing."""
-    cols = [c for c in cols if c not in set(exclude)]
-    med = quantiles(df, cols, [0.5], method=method) if cols else {}
+    med = values if values is not None else medians(df, [c for c in cols if c not in set(exclude)], method)
     out = []
     for c in df.columns:
-        m = med.get(c, [None])[0] if c in med else None
-        if c in med and m is not None:
+        m = med.get(c)
+        if m is not None:
             out.append(F.when(missing(df, c), F.lit(m)).otherwise(F.col(c).cast("double")).alias(c))
         else:
             out.append(F.col(c))
@@ -130,10 +137,13 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: dict | DataFrame | No
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Cut lineage before a table is re-read by several statistics passes.
 
-    ``checkpoint`` writes to the shared ``spark.checkpoint.dir`` (survives executor
-    loss); ``persist`` keeps blocks on executors (recomputed from lineage if lost)."""
+    ``checkpoint`` writes Parquet under the shared ``spark.checkpoint.dir`` (survives
+    executor loss, and later passes read only their columns); ``persist`` keeps blocks on
+    executors (recomputed from lineage if lost)."""
     if how == "checkpoint":
-        return df.checkpoint(eager=True)
+        path = work_dir(df.sparkSession, "table")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
@@ -144,17 +154,64 @@ def curate(df: DataFrame, features: Sequence[str] = FEATURES[:-1], label: str =
            product: tuple[str, str] = ("age", "thalach"), ratio: tuple[str, str] = ("chol", "thalach"),
            derived: tuple[str, str] = ("age_x_thalach", "bmi_proxy"),
            impute_label: bool = False, method: str = "exact",
-           materialize_as: str = "checkpoint", return_stats: bool = False):
+           materialize_as: str = "checkpoint", return_preparation: bool = False,
+           fit_on: Callable[[DataFrame], DataFrame] | None = None):
     """select -> impute median -> dedupe -> winsorize -> derived features -> standardize.
 
     Returns features (double, standardized) followed by the unscaled label.  The
-    label is not imputed unless ``impute_label`` (a median label can be 0.5)."""
+    label is not imputed unless ``impute_label`` (a median label can be 0.5).
+
+    ``fit_on`` adds columns to the table before it is scaled and among them a boolean
+    ``is_test``; the scaler is then fitted on the other rows only, and the added columns
+    are returned too.  ``return_preparation`` also returns the fitted :class:`Preparation`,
+    which prepares raw rows in the same way at scoring time."""
     base = df.select(*features, label)
-    imp = impute_median(base, list(features) + ([label] if impute_label else []), method=method)
-    dd = materialize(dedupe(imp), materialize_as)
-    cl = winsorize_iqr(dd, clip_cols, k, method)
-    fe = add_features(cl, product, ratio, derived)
+    to_fill = list(features) + ([label] if impute_label else [])
+    med = medians(base, to_fill, method)
+    dd = materialize(dedupe(impute_median(base, values=med)), materialize_as)
+    bounds = iqr_bounds(dd, clip_cols, k, method)
+    fe = add_features(clip(dd, bounds), product, ratio, derived)
     feat_cols = list(features) + list(derived)
-    stats = scaler_stats(fe, feat_cols).first().asDict()
-    out = standardize(fe, feat_cols, stats).select(*feat_cols, label)
-    return (out, stats) if return_stats else out
+    if fit_on is not None:
+        fe = materialize(fit_on(fe), materialize_as)
+    stats = scaler_stats(fe.where(~F.col("is_test")) if fit_on is not None else fe, feat_cols).first().asDict()
+    extra = [c for c in fe.columns if c not in feat_cols and c != label]
+    out = standardize(fe, feat_cols, stats).select(*feat_cols, label, *extra)
+    if not return_preparation:
+        return out
+    return out, Preparation(features=list(features), medians={c: med.get(c) for c in features},
+                            bounds={c: None if b is None else list(b) for c, b in bounds.items()},
+                            product=list(product), ratio=list(ratio), derived=list(derived), scaler=stats)
+
+
+@dataclass
+class Preparation:
+    """What ``curate`` learned, as plain values: applied to raw rows it gives the features
+    the model was trained on.  Saved as JSON beside the model."""
+
+    features: list[str]
+    medians: dict[str, float | None]
+    bounds: dict[str, list[float] | None]
+    product: list[str]
+    ratio: list[str]
+    derived: list[str]
+    scaler: dict[str, float | None]
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        """impute -> clip -> derive -> standardize; one projection chain, no row is dropped
+        and other columns stay, so it works on streams too."""
+        filled = impute_median(df, values=self.medians)
+        clipped = clip(filled, {c: None if b is None else tuple(b) for c, b in self.bounds.items()})
+        return standardize(add_features(clipped, tuple(self.product), tuple(self.ratio), tuple(self.derived)),
+                           self.feature_columns, self.scaler)
+
+    @property
+    def feature_columns(self) -> list[str]:
+        return [*self.features, *self.derived]
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self))
+
+    @staticmethod
+    def from_json(text: str) -> "Preparation":
+        return Preparation(**json.loads(text))

@@ -39,10 +39,6 @@ BROADCAST_MAX_INTERVALS = 100_000
 PER_OCTAVE = 64
 
 
-def _numeric(df: DataFrame, c: str) -> bool:
-    return isinstance(df.schema[c].dataType, T.NumericType)
-
-
 def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Stack columns into ``(gid, x double)`` rows, dropping NULL and NaN."""
     parts = ", ".join(f"{i}, CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
@@ -50,12 +46,6 @@ def long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return out.where(F.col("x").isNotNull() & ~F.isnan("x"))
 
 
-def group_stats(long_df: DataFrame) -> dict[Hashable, tuple[int, float, float]]:
-    rows = long_df.groupBy("gid").agg(F.count("x").alias("n"), F.min("x").alias("lo"),
-                                      F.max("x").alias("hi")).collect()
-    return {r["gid"]: (r["n"], r["lo"], r["hi"]) for r in rows}
-
-
 def _magnitude_bucket(x: Column, per_octave: int = PER_OCTAVE) -> Column:
     """Monotone bucket id from sign and magnitude: 0 for zero, +-(slice of log2|x|)
     otherwise, +-top for infinities.  Equal values always share a bucket."""

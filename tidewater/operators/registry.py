@@ -10,36 +10,46 @@ by the best recorded metric."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.scalar import uri, version_string
+from tidewater.functions.scalar import version_string
+from tidewater.operators.prep import Preparation
 from tidewater.schemas import REGISTRY
 from tidewater.sources.files import list_objects
 
 
 def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str,
                    metrics: dict, hyperparameters: dict, model_type: str = "RandomForestClassifier",
-                   framework: str = "pyspark.ml", dataset: str | None = None) -> dict:
-    """Save the model under a new version and append its metadata row.
+                   framework: str = "pyspark.ml", dataset: str | None = None,
+                   preparation: Preparation | None = None) -> dict:
+    """Save the model under a new version and append its metadata row, which also holds the
+    fitted preparation of raw rows as JSON.
 
     Version: ``v_<yyyyMMdd_HHmmss>_acc_<eval accuracy>`` with dots as underscores,
-    computed by Spark from the registration time."""
+    computed by Spark from the registration time.  Models registered in the same second with
+    the same accuracy share a version, so each is saved in a folder of its own."""
     meta = spark.range(1).select(
         F.current_timestamp().alias("ts"), F.lit(float(metrics["eval_accuracy"])).alias("acc"))
     meta = meta.select(version_string("ts", "acc").alias("model_version"),
                        F.date_format("ts", "yyyyMMdd_HHmmss").alias("timestamp")).first()
     version = meta["model_version"]
-    model_uri = f"{root.rstrip('/')}/models/{name}/{version}/model"
-    model.write().overwrite().save(model_uri)
+    model_uri = f"{root.rstrip('/')}/models/{name}/{version}-{uuid.uuid4().hex[:8]}/model"
+    model.write().save(model_uri)
+    known = REGISTRY["hyperparameters"].dataType.names
+    unknown = set(hyperparameters) - set(known)
+    if unknown:
+        raise ValueError(f"hyperparameters without a registry field: {sorted(unknown)}")
     row = {
-        "model_version": version, "timestamp": meta["timestamp"],
-        "hyperparameters": {k: str(v) for k, v in hyperparameters.items()},
+        "name": name, "model_version": version, "timestamp": meta["timestamp"],
+        "hyperparameters": {k: hyperparameters.get(k) for k in known},
         "metrics": {k: float(metrics[k]) for k in ("train_accuracy", "test_accuracy",
                                                     "eval_accuracy", "eval_f1_score")},
         "model_type": model_type, "framework": framework, "dataset": dataset or name,
-        "model_uri": model_uri,
+        "model_uri": model_uri, "preparation": preparation.to_json() if preparation else None,
     }
     spark.createDataFrame([row], REGISTRY).write.mode("append").parquet(f"{root.rstrip('/')}/registry")
     return row
@@ -51,7 +61,7 @@ def registry_table(spark: SparkSession, root: str) -> DataFrame:
 
 def latest_model_uri(spark: SparkSession, root: str, name: str, by: str = "mtime") -> DataFrame:
     """One row ``model_uri, modified`` (``by='mtime'``) or the registry row with the
-    best ``eval_accuracy`` (``by='eval_accuracy'``)."""
+    best ``eval_accuracy`` (``by='eval_accuracy'``), among the models called ``name``."""
     if by == "mtime":
         files = list_objects(spark, f"{root.rstrip('/')}/models/{name}", "part-*")
         files = files.where(F.col("path").contains("/model/metadata/"))
@@ -59,18 +69,20 @@ def latest_model_uri(spark: SparkSession, root: str, name: str, by: str = "mtime
                               F.col("modificationTime").alias("modified"))
         return (models.groupBy("model_uri").agg(F.max("modified").alias("modified"))
                       .orderBy(F.desc("modified"), F.desc("model_uri")).limit(1))
-    reg = registry_table(spark, root).where(F.col("dataset").isNotNull())
+    reg = registry_table(spark, root).where(F.col("name") == name)
     return (reg.select("model_uri", F.col(f"metrics.{by}").alias(by))
                .orderBy(F.desc(by), F.desc("model_uri")).limit(1))
 
 
-def load_latest(spark: SparkSession, root: str, name: str, by: str = "mtime") -> PipelineModel:
+def load_latest(spark: SparkSession, root: str, name: str, by: str = "mtime"
+                ) -> tuple[PipelineModel, Preparation | None]:
+    """The latest model called ``name`` and the preparation saved with it."""
     rows = latest_model_uri(spark, root, name, by).collect()
     if not rows:
         raise FileNotFoundError(f"no model registered under {root}/models/{name}")
     path = rows[0]["model_uri"]
-    return PipelineModel.load(path.replace("file:", "", 1) if path.startswith("file:") else path)
-
-
-def model_path(root: str, name: str, version: str):
-    return uri(root, "models", name, version, "model")
+    folder = path.rstrip("/").split("/")[-2]                 # each model has a folder of its own
+    saved = registry_table(spark, root).where((F.col("name") == name) & F.col("model_uri").contains(f"/{folder}/")) \
+        .select("preparation").first()
+    prepared = Preparation.from_json(saved["preparation"]) if saved and saved["preparation"] else None
+    return PipelineModel.load(path.replace("file:", "", 1) if path.startswith("file:") else path), prepared

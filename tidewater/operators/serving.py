@@ -39,8 +39,9 @@ def term_count(df: DataFrame, field: str, value) -> DataFrame:
 
 
 def terms_facet(df: DataFrame, field: str, size: int = 10) -> DataFrame:
-    """Top ``size`` buckets ``(key, doc_count)``: count desc, then key asc."""
-    return (df.groupBy(F.col(field).alias("key")).agg(F.count(F.lit(1)).alias("doc_count"))
+    """Top ``size`` buckets ``(key, doc_count)``: count desc, then key asc.  Rows without a
+    value are in no bucket."""
+    return (df.where(F.col(field).isNotNull()).groupBy(F.col(field).alias("key")).agg(F.count(F.lit(1)).alias("doc_count"))
               .orderBy(F.desc("doc_count"), F.asc("key")).limit(size))
 
 
@@ -49,8 +50,9 @@ def multi_facet(df: DataFrame, facets: Sequence[str], metric: str | None = None,
     """Several terms facets and one average in one scan.
 
     Output rows ``facet, key, doc_count, avg_<metric>, rank``: ``size`` top buckets per
-    facet (keys as strings, count desc then key asc) plus one ``facet='_all'`` row
-    holding the grand total and the overall average.
+    facet (keys as strings, count desc then typed key asc: 9 before 10) plus one
+    ``facet='_all'`` row holding the grand total and the overall average.  Rows without a
+    value of a facet are in none of its buckets, but in the total.
     """
     facets = list(facets)
     sets = [[f] for f in facets] + [[]]
@@ -66,10 +68,12 @@ def multi_facet(df: DataFrame, facets: Sequence[str], metric: str | None = None,
         gid = full ^ (1 << (nf - 1 - i))        # only facet i is grouped
         facet_name = F.when(F.col("_gid") == gid, F.lit(f)).otherwise(facet_name)
         key = F.when(F.col("_gid") == gid, F.col(f).cast("string")).otherwise(key)
-    g = g.select(facet_name.alias("facet"), key.alias("key"), *[c for c in g.columns
-                 if c not in facets and c != "_gid"])
-    w = Window.partitionBy("facet").orderBy(F.desc("doc_count"), F.asc_nulls_first("key"))
-    return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= size)
+    typed = [F.col(f).alias(f"_typed_{f}") for f in facets]     # NULL outside the own facet
+    g = g.select(facet_name.alias("facet"), key.alias("key"), *typed, *[c for c in g.columns
+                 if c not in facets and c != "_gid"]).where((F.col("facet") == "_all") | F.col("key").isNotNull())
+    w = Window.partitionBy("facet").orderBy(F.desc("doc_count"), *[F.asc_nulls_first(f"_typed_{f}") for f in facets])
+    g = g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= size)
+    return g.drop(*[f"_typed_{f}" for f in facets])
 
 
 def to_serving(df: DataFrame, keyword_fields: Sequence[str] = KEYWORD_FIELDS) -> DataFrame:

@@ -6,16 +6,17 @@
   the ones with the smallest ``(hash60, key)``.  Instead of a per-class window
   (which sorts a whole class in one task), the per-class threshold hash is found by
   the distributed order-statistic search, then a broadcast of one threshold row per
-  class marks the rows in a map-only pass.  Keys must be unique.
+  class marks the rows in a map-only pass.  Keys must be unique, and are checked.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.operators.quantiles import (BROADCAST_MAX_INTERVALS, first_histogram, order_statistics,
-                                          stats_from)
+from tidewater.operators.quantiles import first_histogram, order_statistics, stats_from
+
+MAX_CLASSES = 10_000          # one threshold row per class is sent to every task
 
 
 def _c(x):
@@ -41,37 +42,45 @@ def test_counts(n: int, frac: float) -> int:
     return int((n * frac) + 0.5)
 
 
+def unique_key(df: DataFrame, key: str = "row_key") -> DataFrame:
+    """A key for each row: a hash of all values (NULLs are told apart from absent and from
+    text) and a number among identical rows, so it is unique whatever the table holds."""
+    whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    w = Window.partitionBy("_whole").orderBy("_whole")
+    return (df.withColumn("_whole", whole)
+              .withColumn(key, F.concat_ws("-", F.col("_whole"), F.row_number().over(w).cast("string")))
+              .drop("_whole"))
+
+
 def split_exact(df: DataFrame, label: str, key: str, frac: float = 0.2, seed: int = 42,
                 out: str = "is_test") -> DataFrame:
+    """Raises ``ValueError`` when a key repeats (see :func:`unique_key`) or when there are
+    more than ``MAX_CLASSES`` classes.  Rows without a label are never test rows."""
     spark = df.sparkSession
     h = df.select(F.col(label).alias("gid"), key_hash60(key, seed).alias("x"), F.col(key).alias("k"))
+    if not h.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise ValueError(f"split_exact needs unique keys; {key!r} repeats")
+    if h.select("gid").distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"split_exact takes at most {MAX_CLASSES} classes")
     # class sizes come from the search's first histogram (one aggregate for both)
     hx_df = h.where(F.col("gid").isNotNull()).select("gid", "x")
     first = first_histogram(hx_df)
     want = {g: test_counts(n, frac) for g, (n, _, _) in stats_from(first).items()}
     targets = {g: [k - 1] for g, k in want.items() if k > 0}
-    got = order_statistics(hx_df, targets, first=first)
-    thresholds = []
-    if targets:
-        t_rows = spark.createDataFrame([(g, got[(g, targets[g][0])]) for g in targets],
-                                       f"gid {h.schema['gid'].dataType.simpleString()}, t long")
-        # rows strictly below and tie keys at the threshold, per class (tiny)
-        ties = (h.join(F.broadcast(t_rows), "gid").where(F.col("x") <= F.col("t"))
-                 .groupBy("gid", "t").agg(F.sum((F.col("x") < F.col("t")).cast("long")).alias("below"),
-                                          F.collect_list(F.when(F.col("x") == F.col("t"), F.col("k"))).alias("tie"))
-                 .collect())
-        for r in ties:
-            take = targets[r["gid"]][0] - r["below"]       # 0-based index into the tie group
-            tie = sorted(r["tie"])
-            if take >= len(tie):
-                raise RuntimeError("tie group shorter than expected; is the key unique?")
-            thresholds.append((r["gid"], r["t"], tie[take]))
-    if not thresholds:
+    if not targets:
         return df.withColumn(out, F.lit(False))
-    th = spark.createDataFrame(thresholds, f"_g {h.schema['gid'].dataType.simpleString()}, _t long, "
-                                           f"_k {h.schema['k'].dataType.simpleString()}")
-    th = F.broadcast(th) if len(thresholds) <= BROADCAST_MAX_INTERVALS else th
+    got = order_statistics(hx_df, targets, first=first)
+    gid_type = h.schema["gid"].dataType.simpleString()
+    t_rows = F.broadcast(spark.createDataFrame(             # one row per class
+        [(g, got[(g, targets[g][0])], want[g]) for g in targets], f"gid {gid_type}, t long, want long"))
+    near = h.join(t_rows, "gid").where(F.col("x") <= F.col("t"))
+    below = near.groupBy("gid").agg(F.sum((F.col("x") < F.col("t")).cast("long")).alias("below"))
+    # unique keys that share the 60-bit threshold hash: one, but for hash collisions
+    rank = F.row_number().over(Window.partitionBy("gid").orderBy("k"))
+    last = (near.where(F.col("x") == F.col("t")).withColumn("rn", rank).join(below, "gid")
+                .where(F.col("rn") == F.col("want") - F.col("below"))
+                .select(F.col("gid").alias("_g"), F.col("t").alias("_t"), F.col("k").alias("_k")))
     hx = key_hash60(key, seed)
-    j = df.join(th, df[label].eqNullSafe(th["_g"]), "left")
+    j = df.join(F.broadcast(last), df[label].eqNullSafe(F.col("_g")), "left")
     flag = F.coalesce((hx < F.col("_t")) | ((hx == F.col("_t")) & (F.col(key) <= F.col("_k"))), F.lit(False))
     return j.select(*[df[c] for c in df.columns], flag.alias(out))

@@ -23,6 +23,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewater.session import jit_sized_codegen
+from tidewater.session import JIT_SIZED_CODEGEN, session_conf
 
 GRID = [i / 100 for i in range(101)]
 TWO53 = float(2 ** 53)
@@ -46,6 +47,7 @@ class ColumnModel:
     grid: list | None = None        # numeric: 101 quantiles
     categories: list | None = None  # categorical: values (sorted)
     cumulative: list | None = None  # categorical: cumulative frequencies
+    missing: float = 0.0            # share of NULL (or NaN) cells
 
 
 @dataclass
@@ -66,11 +68,18 @@ def _decimal_digits(x: Column, cap: int = 10) -> Column:
     return F.when(x.isNull() | F.isnan(x), F.lit(None)).otherwise(out)
 
 
-def _profile_aggs(cols: Sequence[str]) -> list[Column]:
+def _number(df: DataFrame, c: str) -> Column:
+    """The column as a double; NULL for text columns, whose values are only categories."""
+    return F.lit(None).cast("double") if isinstance(df.schema[c].dataType, T.StringType) else F.col(c).cast("double")
+
+
+def _profile_aggs(df: DataFrame, cols: Sequence[str]) -> list[Column]:
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
+        x = _number(df, c)
+        absent = F.col(c).isNull() | F.coalesce(F.isnan(x), F.lit(False))
+        aggs += [F.avg(absent.cast("double")).alias(f"{c}__missing"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
                  F.max(_decimal_digits(x)).alias(f"{c}__digits"),
                  F.approx_count_distinct(c).alias(f"{c}__ndv")]
     return aggs
@@ -80,17 +89,20 @@ def _profile_from(row, df: DataFrame, cols: Sequence[str], categorical: Sequence
     out = []
     for c in cols:
         integral = isinstance(df.schema[c].dataType, T.IntegralType) or (row[f"{c}__digits"] or 0) == 0
-        role = "categorical" if (c in categorical or (integral and (row[f"{c}__ndv"] or 0) <= 2)) else "numeric"
+        text = isinstance(df.schema[c].dataType, T.StringType)
+        role = "categorical" if (text or c in categorical or (integral and (row[f"{c}__ndv"] or 0) <= 2)) else "numeric"
         out.append({"name": c, "role": role, "lo": row[f"{c}__min"], "hi": row[f"{c}__max"],
-                    "digits": int(row[f"{c}__digits"] or 0), "ndv": row[f"{c}__ndv"]})
+                    "digits": int(row[f"{c}__digits"] or 0), "ndv": row[f"{c}__ndv"],
+                    "missing": float(row[f"{c}__missing"] or 0.0)})
     return out
 
 
 def profile_columns(df: DataFrame, cols: Sequence[str] | None = None,
-                    categorical: Sequence[str] = (), max_categories: int = 20) -> list[dict]:
-    """Role detection (+ override), min, max, decimal digits, approx distinct count."""
+                    categorical: Sequence[str] = ()) -> list[dict]:
+    """Role detection (+ override; text is categorical), min, max, decimal digits, approx
+    distinct count, share of missing cells."""
     cols = list(cols or df.columns)
-    return _profile_from(df.agg(*_profile_aggs(cols)).first(), df, cols, categorical)
+    return _profile_from(df.agg(*_profile_aggs(df, cols)).first(), df, cols, categorical)
 
 
 def _cholesky(c: np.ndarray) -> np.ndarray:
@@ -101,18 +113,17 @@ def _cholesky(c: np.ndarray) -> np.ndarray:
             return np.linalg.cholesky(m / (1.0 + ridge))
         except np.linalg.LinAlgError:
             ridge = 1e-6 if ridge == 0 else ridge * 10
-    return np.eye(len(c))
+    raise ValueError("the correlation matrix cannot be made positive definite")
 
 
 def copula_fit(df: DataFrame, cols: Sequence[str] | None = None, categorical: Sequence[str] = (),
                accuracy: int = 10_000, max_categories: int = 1000) -> CopulaModel:
     cols = list(cols or df.columns)
-    jit_sized_codegen(df.sparkSession)
     d = df.select(*cols)
     # one pass for the profile and every grid: roles are only known afterwards, and a
     # grid sketch is bounded, so computing it for a column that turns out categorical
     # costs less than a second scan
-    row = d.agg(*_profile_aggs(cols), *[F.percentile_approx(F.col(c).cast("double"), GRID, accuracy)
+    row = d.agg(*_profile_aggs(d, cols), *[F.percentile_approx(_number(d, c), GRID, accuracy)
                                         .alias(f"{c}__grid") for c in cols]).first()
     prof = _profile_from(row, d, cols, categorical)
     grids = {c: list(row[f"{c}__grid"]) if row[f"{c}__grid"] is not None else None for c in cols}
@@ -130,21 +141,23 @@ def copula_fit(df: DataFrame, cols: Sequence[str] | None = None, categorical: Se
                 acc += r["n"]
                 cum.append(acc / tot)
             models.append(ColumnModel(c, "categorical", p["lo"], p["hi"], 0,
-                                      categories=[r[c] for r in freq], cumulative=cum))
+                                      categories=[r[c] for r in freq], cumulative=cum, missing=p["missing"]))
         else:
-            models.append(ColumnModel(c, "numeric", p["lo"], p["hi"], p["digits"], grid=grids[c]))
+            models.append(ColumnModel(c, "numeric", p["lo"], p["hi"], p["digits"], grid=grids[c], missing=p["missing"]))
     # normal scores through the fitted marginals (missing cells score 0, the median),
     # computed in staged projections so each score is evaluated once per row, then
     # every pairwise Pearson correlation in one partial aggregate
     k = len(models)
     corr = np.eye(k)
     if k > 1:
-        sc = d.select(*[F.col(m.name).cast("double").alias(f"_x{i}") for i, m in enumerate(models)])
+        sc = d.select(*[(F.col(m.name) if m.role == "categorical" else F.col(m.name).cast("double")).alias(f"_x{i}")
+                        for i, m in enumerate(models)])
         for i, m in enumerate(models):
-            sc = _inv_phi_stages(_cdf_stages(sc, m, f"_x{i}", f"_p{i}"), f"_p{i}", f"_z{i}")
+            sc = _normal_score(_cdf_stages(sc, m, f"_x{i}", f"_p{i}"), f"_p{i}", f"_z{i}")
         z = sc.select(*[F.coalesce(F.col(f"_z{i}"), F.lit(0.0)).alias(f"z{i}") for i in range(k)])
         pairs = [(i, j) for i in range(k) for j in range(i + 1, k)]
-        row = z.agg(*[F.corr(f"z{i}", f"z{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+        with session_conf(df.sparkSession, JIT_SIZED_CODEGEN):
+            row = z.agg(*[F.corr(f"z{i}", f"z{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
         for i, j in pairs:
             v = row[f"c{i}_{j}"]
             corr[i, j] = corr[j, i] = 0.0 if v is None or math.isnan(v) else float(v)
@@ -166,45 +179,28 @@ def _count_below(x: Column, grid: Sequence[float], strict: bool = True) -> Colum
     return node(0, len(grid))
 
 
-def _inv_phi_stages(df: DataFrame, p: str, out: str) -> DataFrame:
-    """Standard normal quantile of column ``p`` (Acklam's rational approximation,
-    relative error < 1.2e-9), computed in two projections so each intermediate is
-    evaluated once per row."""
-    a = [-3.969683028665376e+01, 2.209460984245205e+02, -2.759285104469687e+02,
-         1.383577518672690e+02, -3.066479806614716e+01, 2.506628277459239e+00]
-    b = [-5.447609879822406e+01, 1.615858368580409e+02, -1.556989798598866e+02,
-         6.680131188771972e+01, -1.328068155288572e+01]
-    c = [-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e+00,
-         -2.549732539343734e+00, 4.374664141464968e+00, 2.938163982698783e+00]
-    d = [7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e+00, 3.754408661907416e+00]
-
-    def horner(coef, x):
-        acc = F.lit(coef[0])
-        for k in coef[1:]:
-            acc = acc * x + F.lit(k)
-        return acc
-
-    pc = F.col(p)
-    tail_p = F.least(pc, F.lit(1.0) - pc)               # distance to the nearer tail
-    df = df.withColumn(f"{out}_t", F.sqrt(F.lit(-2.0) * F.log(tail_p))) \
-           .withColumn(f"{out}_q", pc - F.lit(0.5))
-    t, q = F.col(f"{out}_t"), F.col(f"{out}_q")
-    df = df.withColumn(f"{out}_r", q * q)
-    r = F.col(f"{out}_r")
-    central = horner(a, r) * q / (horner(b, r) * r + F.lit(1.0))
-    tail = horner(c, t) / (horner(d, t) * t + F.lit(1.0))   # lower-tail value
-    lo = F.lit(0.02425)
-    z = (F.when(pc.isNull(), F.lit(None))
-          .when(pc < lo, tail).when(pc > F.lit(1.0) - lo, -tail).otherwise(central))
-    return df.withColumn(out, z).drop(f"{out}_t", f"{out}_q", f"{out}_r")
+# normal scores at the grid's probabilities; the outermost two stand for the tails
+Z_GRID = [NormalDist().inv_cdf(min(max(q, 5e-4), 1 - 5e-4)) for q in GRID]
+
+
+def _normal_score(df: DataFrame, p: str, out: str) -> DataFrame:
+    """Standard normal score of the probability ``p``: linear between the literal scores of
+    the 101 grid probabilities (two look-ups, so many columns stay small as code)."""
+    at = F.col(p) * F.lit(float(len(GRID) - 1))
+    df = df.withColumn(f"{out}_i", F.least(F.floor(at).cast("int"), F.lit(len(GRID) - 2)))
+    i, z = F.col(f"{out}_i"), F.array(*[F.lit(v) for v in Z_GRID])
+    lo, hi = F.element_at(z, i + 1), F.element_at(z, i + 2)
+    return df.withColumn(out, lo + (hi - lo) * (at - i)).drop(f"{out}_i")
 
 
 def _cdf_stages(df: DataFrame, m: ColumnModel, x: str, out: str) -> DataFrame:
     """Mid-rank CDF of column ``x`` under the fitted marginal, kept inside (0, 1)."""
     xc = F.col(x)
-    ok = xc.isNotNull() & ~F.isnan(xc)
     if m.role == "categorical":
-        cats = F.array(*[F.lit(float(v)) for v in m.categories])
+        ok = xc.isNotNull()
+        if not m.categories:
+            return df.withColumn(out, F.lit(None).cast("double"))
+        cats = F.array(*[F.lit(v) for v in m.categories])
         cum = F.array(*[F.lit(float(v)) for v in m.cumulative])
         prev = F.array(*[F.lit(float(v)) for v in [0.0] + m.cumulative[:-1]])
         df = df.withColumn(f"{out}_i", F.array_position(cats, xc).cast("int"))
@@ -214,6 +210,7 @@ def _cdf_stages(df: DataFrame, m: ColumnModel, x: str, out: str) -> DataFrame:
     elif not m.grid:
         df = df.withColumn(out, F.lit(None).cast("double"))
     else:
+        ok = xc.isNotNull() & ~F.isnan(xc)
         # rank of x among the grid points by a JVM binary search (Bucketizer over the
         # distinct grid values), then literal lookups for ties -> mid-rank
         g = [float(v) for v in m.grid]
@@ -259,6 +256,8 @@ def _phi(x: Column) -> Column:
 def _inverse_marginal_stages(df: DataFrame, m: ColumnModel, u: str, out: str, out_type: str) -> DataFrame:
     uc = F.col(u)
     if m.role == "categorical":
+        if not m.categories:
+            return df.withColumn(out, F.lit(None).cast(out_type))
         cats = F.array(*[F.lit(x) for x in m.categories])
         idx = F.least(_count_below(uc, m.cumulative, strict=True), F.lit(len(m.categories) - 1))
         return df.withColumn(out, F.element_at(cats, idx + 1).cast(out_type))
@@ -279,7 +278,6 @@ def _inverse_marginal_stages(df: DataFrame, m: ColumnModel, u: str, out: str, ou
 def copula_sample(model: CopulaModel, ids: DataFrame, id_col: str = "id", seed: int = 42,
                   keep: Sequence[str] = ()) -> DataFrame:
     """One synthetic row per id (map-only; deterministic in ``(id, seed)``)."""
-    jit_sized_codegen(ids.sparkSession)
     rid = F.col(id_col)
     d = len(model.columns)
     zs = []
@@ -299,4 +297,7 @@ def copula_sample(model: CopulaModel, ids: DataFrame, id_col: str = "id", seed:
     df = df.select(*keep, "_id", *[_phi(F.col(f"_x{i}")).alias(f"_u{i}") for i in range(d)])
     for i, m in enumerate(model.columns):
         df = _inverse_marginal_stages(df, m, f"_u{i}", m.name, model.types[m.name])
+        if m.missing:
+            absent = _uniform(F.col("_id"), seed, i, 2) < F.lit(m.missing)
+            df = df.withColumn(m.name, F.when(~absent, F.col(m.name)))
     return df.select(*keep, F.col("_id").alias(id_col), *[m.name for m in model.columns])

@@ -4,7 +4,7 @@ scoring (J5).  Plain function chains over the operators."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,47 +35,43 @@ class TrainSpec:
     min_records: int = 100
     min_features: int = 10
     min_class: int = 30
-    quality_kw: dict = field(default_factory=dict)
-
-
-def keyed(df: DataFrame, key: str = "row_key") -> DataFrame:
-    """A row key from all values; unique on a de-duplicated table."""
-    return df.withColumn(key, F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns]))
 
 
 def run_training(spark: SparkSession, raw: DataFrame, spec: TrainSpec = TrainSpec(),
-                 model_root: str | None = None, name: str = "model", gate: bool = True) -> dict:
-    """curate -> quality gate -> exact stratified split -> forest -> evaluate -> register.
+                 model_root: str | None = None, name: str = "model") -> dict:
+    """curate -> exact stratified split -> scale by the training side -> quality gate ->
+    forest -> evaluate -> register.
 
-    Returns a dict with the model, metrics, importances (DataFrame) and, when
-    ``model_root`` is given, the registry row."""
-    curated, stats = prep.curate(raw, features=spec.features, label=spec.label, clip_cols=spec.clip_cols,
-                                 k=spec.k, product=spec.product, ratio=spec.ratio, derived=spec.derived,
-                                 return_stats=True)
-    feat_cols = list(spec.features) + list(spec.derived)
-    if gate:
-        quality.quality_gate(curated, label=spec.label, min_records=spec.min_records,
-                             min_features=spec.min_features, min_class=spec.min_class)
-    ks = split.split_exact(keyed(curated), spec.label, "row_key", spec.test_frac, spec.seed)
+    Returns a dict with the model, its preparation, metrics, importances (DataFrame) and,
+    when ``model_root`` is given, the registry row."""
+    ks, prepared = prep.curate(
+        raw, features=spec.features, label=spec.label, clip_cols=spec.clip_cols, k=spec.k, product=spec.product,
+        ratio=spec.ratio, derived=spec.derived, return_preparation=True,
+        fit_on=lambda t: split.split_exact(split.unique_key(t), spec.label, "row_key", spec.test_frac, spec.seed))
+    feat_cols = prepared.feature_columns
     ks = prep.materialize(ks, "checkpoint")
+    quality.quality_gate(ks.select(*feat_cols, spec.label), label=spec.label, min_records=spec.min_records,
+                         min_features=spec.min_features, min_class=spec.min_class)
     mdl = M.train_forest(ks.where(~F.col("is_test")), feat_cols, spec.label, spec.num_trees, spec.max_depth,
                          spec.min_instances_per_node, spec.seed)
     metrics = M.evaluate_flagged(mdl, ks, "is_test", spec.label)
-    out = {"model": mdl, "metrics": metrics, "scaler": stats,
+    out = {"model": mdl, "metrics": metrics, "preparation": prepared, "table": ks,
            "importance": M.feature_importance(spark, mdl, feat_cols, 5)}
     if model_root:
         out["registry"] = register_model(
             spark, mdl, model_root, name, metrics,
             {"n_estimators": spec.num_trees, "max_depth": spec.max_depth,
              "min_instances_per_node": spec.min_instances_per_node, "seed": spec.seed,
-             "test_frac": spec.test_frac})
+             "test_frac": spec.test_frac}, preparation=prepared)
     return out
 
 
-def run_scoring(spark: SparkSession, df: DataFrame, model_root: str, name: str,
+def run_scoring(spark: SparkSession, raw: DataFrame, model_root: str, name: str,
                 by: str = "mtime", keep: Sequence[str] = ()) -> DataFrame:
-    """Score a batch or streaming DataFrame with the latest registered model."""
-    return score(df, load_latest(spark, model_root, name, by), keep)
+    """Prepare raw rows (batch or streaming) as the training rows were, and score them with
+    the latest registered model."""
+    model, prepared = load_latest(spark, model_root, name, by)
+    return score(prepared.apply(raw) if prepared else raw, model, keep)
 
 
 def await_or_stop(query, timeout: float | None = None) -> None:

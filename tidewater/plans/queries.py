@@ -91,28 +91,26 @@ def q_term_count(spark, sf_dir):
 
 
 @register("facet_terms", """
-SELECT user_id AS key, count(*) AS doc_count FROM events
+SELECT user_id AS key, count(*) AS doc_count FROM events WHERE user_id IS NOT NULL
 GROUP BY user_id ORDER BY doc_count DESC, key ASC LIMIT 10
 """)
 def q_facet_terms(spark, sf_dir):
     return serving.terms_facet(S.table(spark, sf_dir, "events"), "user_id", 10)
 
 
+# each facet by itself: rows with a value, most frequent first, equal counts by the typed key
 _FACET_MULTI_SQL = """
-WITH g AS (
-  SELECT event_type, user_id, GROUPING(event_type, user_id) AS gid,
-         count(*) AS doc_count, avg(value) AS avg_value
-  FROM events GROUP BY GROUPING SETS ((event_type), (user_id), ())
-), n AS (
-  SELECT CASE gid WHEN 1 THEN 'event_type' WHEN 2 THEN 'user_id' ELSE '_all' END AS facet,
-         CASE gid WHEN 1 THEN event_type WHEN 2 THEN CAST(user_id AS VARCHAR) END AS key,
-         doc_count, avg_value
-  FROM g
-)
-SELECT facet, key, doc_count, round(avg_value, 6) AS avg_value, CAST(rank AS INTEGER) AS rank
-FROM (SELECT *, row_number() OVER (PARTITION BY facet ORDER BY doc_count DESC, key ASC NULLS FIRST) AS rank
-      FROM n)
-WHERE rank <= 10
+SELECT 'event_type' AS facet, key, doc_count, avg_value, rank FROM (
+  SELECT event_type AS key, count(*) AS doc_count, round(avg(value), 6) AS avg_value,
+         CAST(row_number() OVER (ORDER BY count(*) DESC, event_type) AS INTEGER) AS rank
+  FROM events WHERE event_type IS NOT NULL GROUP BY event_type) WHERE rank <= 10
+UNION ALL
+SELECT 'user_id', CAST(key AS VARCHAR), doc_count, avg_value, rank FROM (
+  SELECT user_id AS key, count(*) AS doc_count, round(avg(value), 6) AS avg_value,
+         CAST(row_number() OVER (ORDER BY count(*) DESC, user_id) AS INTEGER) AS rank
+  FROM events WHERE user_id IS NOT NULL GROUP BY user_id) WHERE rank <= 10
+UNION ALL
+SELECT '_all', NULL, count(*), round(avg(value), 6), 1 FROM events
 """
 
 
@@ -396,23 +394,28 @@ def q_event_time_facets(spark, sf_dir):
 # ---------------------------------------------------------------- streaming ingest / lake
 
 from tidewater.config import Config  # noqa: E402
-from tidewater.session import work_dir  # noqa: E402
+from tidewater.session import JIT_SIZED_CODEGEN, session_conf, work_dir  # noqa: E402
 from tidewater.sinks.writers import write_lake, write_messages  # noqa: E402
 from tidewater.sources.files import read_lake  # noqa: E402
 from tidewater.streaming.ingest import run_ingest  # noqa: E402
 
 
-def ingest_events(spark: SparkSession, sf_dir: str, files: int = 4) -> Config:
-    """Publish every event as a message file, run the ingest stream to completion
-    (``availableNow``, one file per micro-batch) and return the folders it wrote."""
+FILES_PER_BATCH = 64          # message files of one micro-batch
+
+
+def ingest_events(spark: SparkSession, sf_dir: str, messages: DataFrame | None = None,
+                  dedupe_within: str | None = None) -> Config:
+    """Publish every event as messages (the writer's partitions are the files), run the
+    ingest stream to completion (``availableNow``) and return the folders it wrote."""
     wd = work_dir(spark, "ingest")
-    write_messages(S.event_messages(spark, sf_dir, keep=("event_id",)), "text", path=f"{wd}/topic",
-                   num_files=files, order_by="event_id")
+    if messages is None:
+        messages = S.event_messages(spark, sf_dir, keep=("event_id",))
+    write_messages(messages, "text", path=f"{wd}/topic")
     cfg = Config(source_format="text", source_path=f"{wd}/topic", lake_path=f"{wd}/lake",
                  serving_path=f"{wd}/serving", dead_letter_path=f"{wd}/dead",
                  checkpoint_path=f"{wd}/checkpoint", on_error="raise")
     q = run_ingest(spark, cfg, fields=S.EVENT_FIELDS, int_fields=S.EVENT_INT_FIELDS,
-                   available_now=True, max_per_trigger=1)
+                   available_now=True, max_per_trigger=FILES_PER_BATCH, dedupe_within=dedupe_within)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
@@ -426,6 +429,26 @@ def q_stream_ingest(spark, sf_dir):
     return _final_parsed(read_lake(spark, cfg.lake_path))
 
 
+@register("ingest_quarantine", """
+SELECT CAST(count(*) FILTER (event_id % 7 <> 0) AS BIGINT) AS good,
+       CAST(count(*) FILTER (event_id % 7 <> 0 AND event_id % 11 = 0) AS BIGINT) AS duplicates,
+       CAST(count(*) FILTER (event_id % 7 = 0) + count(*) FILTER (event_id % 7 = 0 AND event_id % 11 = 0) AS BIGINT) AS quarantined
+FROM events
+""")
+def q_ingest_quarantine(spark, sf_dir):
+    """Every 7th message broken, every 11th sent twice, de-duplication on: where each went.
+    Broken messages are all kept, twice if they were sent twice; only good ones are merged."""
+    sent = S.event_messages(spark, sf_dir, keep=("event_id",))
+    sent = sent.withColumn("value", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("broken "), "key")).otherwise(F.col("value")))
+    sent = sent.union(sent.where(F.col("event_id") % 11 == 0))
+    cfg = ingest_events(spark, sf_dir, sent.select("key", "value", "event_id"), dedupe_within="3650 days")
+    n = spark.read.text(cfg.source_path).agg(F.count("*").alias("sent"))
+    good = read_lake(spark, cfg.lake_path).agg(F.count("*").alias("good"), F.count_distinct("record_id").alias("ids"))
+    bad = spark.read.parquet(f"{cfg.dead_letter_path}/quarantine").agg(F.count("*").alias("quarantined"))
+    return n.join(good).join(bad).select(                   # three one-row tables
+        F.col("ids").alias("good"), (F.col("sent") - F.col("good") - F.col("quarantined")).alias("duplicates"), "quarantined")
+
+
 @register("lake_prune", _PARSED_SQL.replace("FROM events", "FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15'"))
 def q_lake_prune(spark, sf_dir):
     """Write the date/hour lake, then read it with a partition filter (pruned scan)."""
@@ -438,38 +461,73 @@ def q_lake_prune(spark, sf_dir):
 # ---------------------------------------------------------------- models (rows-only checks)
 
 from tidewater.operators import model as M  # noqa: E402
-from tidewater.operators.registry import latest_model_uri  # noqa: E402
+from tidewater.operators.registry import latest_model_uri, registry_table  # noqa: E402
 from tidewater.plans.jobs import TrainSpec, run_scoring, run_training  # noqa: E402
 
-# Registered forest size: smaller than the job default (100 trees, depth 10) so the
-# correctness run stays short; the job default is unchanged.
-_QUERY_FOREST = {"num_trees": 20, "max_depth": 6}
-_TRAINED: dict[tuple, dict] = {}
+FOREST = "lineitem-label"
 
 
 def _lineitem_spec() -> TrainSpec:
     return TrainSpec(features=tuple(_LI_F), label=S.LINEITEM_LABEL, clip_cols=tuple(_LI_CLIP), k=3.0,
                      product=("l_quantity", "l_extendedprice"), ratio=("l_discount", "l_tax"),
-                     derived=_LI_DERIVED, min_features=4, **_QUERY_FOREST)
+                     derived=_LI_DERIVED, min_features=len(_LI_F) + len(_LI_DERIVED))
 
 
 def trained(spark, sf_dir) -> dict:
-    """Train (and register) the stand-in model once per input folder."""
-    if sf_dir not in _TRAINED:
-        raw = S.lineitem_features(spark, sf_dir)
-        root = work_dir(spark, "models")
-        # the stand-in features carry injected NULLs, so the missing-cell check is
-        # reported by the quality_report query but not enforced here
-        t = run_training(spark, raw, _lineitem_spec(), model_root=root, name="lineitem-returns", gate=False)
-        t["root"] = root
-        _TRAINED[sf_dir] = t
-    return _TRAINED[sf_dir]
-
-
-@register("forest_train")
+    """Train and register the stand-in model: the job's default forest behind its gate."""
+    root = work_dir(spark, "models")
+    return {**run_training(spark, S.lineitem_features(spark, sf_dir), _lineitem_spec(), model_root=root, name=FOREST),
+            "root": root}
+
+
+_SPLIT_SIZES = ("WITH " + _impute_sql() + ", dd AS (SELECT DISTINCT * FROM imp), "
+                "c AS (SELECT target, count(*) AS n FROM dd GROUP BY target)")
+
+
+@register("forest_train", _SPLIT_SIZES + """
+SELECT CAST(sum(n - floor(n * 0.2 + 0.5)) AS BIGINT) AS train_rows, CAST(sum(floor(n * 0.2 + 0.5)) AS BIGINT) AS test_rows,
+       true AS beats_majority, true AS f1_above_majority FROM c
+""")
 def q_forest_train(spark, sf_dir):
-    m = trained(spark, sf_dir)["metrics"]
-    return spark.createDataFrame([m])
+    """Sizes of the split, and whether the forest is clearly better on the test rows than
+    always answering the larger class (half of its errors at most)."""
+    t = trained(spark, sf_dir)
+    m = t["metrics"]
+    share = t["table"].where("is_test").groupBy("target").agg(F.count("*").alias("n")) \
+        .agg((F.max("n") / F.sum("n")).alias("majority"))
+    return share.select(
+        F.lit(int(m["train_rows"])).cast("long").alias("train_rows"), F.lit(int(m["test_rows"])).cast("long").alias("test_rows"),
+        (F.lit(m["eval_accuracy"]) > 1 - (1 - F.col("majority")) / 2).alias("beats_majority"),
+        (F.lit(m["eval_f1_score"]) > 1 - (1 - F.col("majority")) / 2).alias("f1_above_majority"))
+
+
+@register("split_exact_curated", _SPLIT_SIZES + """
+SELECT target, CAST(n AS BIGINT) AS n, CAST(floor(n * 0.2 + 0.5) AS BIGINT) AS test_rows FROM c
+""")
+def q_split_exact_curated(spark, sf_dir):
+    """The exact split of the curated table, clipped so tightly that rows become equal."""
+    t = prep.curate(S.lineitem_features(spark, sf_dir), features=_LI_F, label=S.LINEITEM_LABEL, clip_cols=_LI_F, k=0.0,
+                    product=("l_quantity", "l_extendedprice"), ratio=("l_discount", "l_tax"), derived=_LI_DERIVED,
+                    fit_on=lambda d: split.split_exact(split.unique_key(d), S.LINEITEM_LABEL, "row_key", 0.2, 42))
+    return t.groupBy("target").agg(F.count("*").alias("n"), F.sum(F.col("is_test").cast("long")).alias("test_rows"))
+
+
+_PREPARED_SQL = ("WITH " + _impute_sql() + ", dd AS (SELECT DISTINCT * FROM imp), " + _clip_sql("dd", 3.0) +
+                 ", fe AS (SELECT *, l_quantity * l_extendedprice AS qty_x_price, l_discount / (l_tax + 1) AS disc_per_tax FROM cl), " +
+                 _std_sql("fe", _CURATE_COLS) + ", raw AS (SELECT " + ", ".join(
+                     f"least(greatest({c}, q1_{c} - 3.0 * (q3_{c} - q1_{c})), q3_{c} + 3.0 * (q3_{c} - q1_{c})) AS {c}"
+                     if c in _LI_CLIP else c for c in _LI_F) + ", target FROM imp, q), "
+                 "rf AS (SELECT *, l_quantity * l_extendedprice AS qty_x_price, l_discount / (l_tax + 1) AS disc_per_tax FROM raw) " +
+                 _std_select("rf", _CURATE_COLS, ", target"))
+
+
+@register("prepared_features", _PREPARED_SQL)
+def q_prepared_features(spark, sf_dir):
+    """Raw rows prepared for scoring with what curation learned: every row, no missing cell."""
+    raw = S.lineitem_features(spark, sf_dir)
+    _, prepared = curated_lineitem(spark, sf_dir, return_preparation=True)
+    saved = prep.Preparation.from_json(prepared.to_json())
+    return _r6(saved.apply(raw).select(*_CURATE_COLS, "target"), _CURATE_COLS)
 
 
 @register("forest_importance")
@@ -477,38 +535,31 @@ def q_forest_importance(spark, sf_dir):
     return trained(spark, sf_dir)["importance"]
 
 
-@register("latest_model")
+@register("latest_model", f"SELECT '{FOREST}' AS name, 100 AS n_estimators, 10 AS max_depth, true AS has_preparation")
 def q_latest_model(spark, sf_dir):
-    return latest_model_uri(spark, trained(spark, sf_dir)["root"], "lineitem-returns", "mtime")
+    """The registry's row of the newest model folder of that name."""
+    root = trained(spark, sf_dir)["root"]
+    newest = latest_model_uri(spark, root, FOREST, "mtime").select(F.regexp_extract("model_uri", "([^/]+)/model$", 1).alias("folder"))
+    reg = registry_table(spark, root).withColumn("folder", F.regexp_extract("model_uri", "([^/]+)/model$", 1))
+    return reg.join(newest, "folder").select("name", "hyperparameters.n_estimators", "hyperparameters.max_depth",
+                                             F.col("preparation").isNotNull().alias("has_preparation"))
 
 
 @register("score_batch")
 def q_score_batch(spark, sf_dir):
-    t = trained(spark, sf_dir)
-    root = t["root"]
-    cur = prep.standardize(prep.add_features(S.lineitem_features(spark, sf_dir),
-                                             ("l_quantity", "l_extendedprice"), ("l_discount", "l_tax"),
-                                             _LI_DERIVED), _CURATE_COLS, t["scaler"])
-    return run_scoring(spark, cur, root, "lineitem-returns", keep=["target"])
+    """All raw rows, prepared and scored with the registered forest."""
+    return run_scoring(spark, S.lineitem_features(spark, sf_dir), trained(spark, sf_dir)["root"], FOREST, keep=["target"])
 
 
 @register("score_stream")
 def q_score_stream(spark, sf_dir):
-    """The same model applied to a streaming read of the lineitem table."""
-    t = trained(spark, sf_dir)
-    root = t["root"]
+    """The same model and preparation applied to a streaming read of the raw table."""
+    root = trained(spark, sf_dir)["root"]
     wd = work_dir(spark, "score_stream")
     src = S.table(spark, sf_dir, "lineitem")
     stream = (spark.readStream.schema(src.schema).option("pathGlobFilter", "lineitem.parquet")
               .parquet(sf_dir))
-    feats = stream.select(
-        F.when(F.col("l_linenumber") == 7, None).otherwise(F.col("l_quantity")).alias("l_quantity"),
-        "l_extendedprice",
-        F.when(F.col("l_linenumber") == 6, None).otherwise(F.col("l_discount")).alias("l_discount"),
-        "l_tax", (F.col("l_returnflag") == "R").cast("int").alias("target"))
-    cur = prep.standardize(prep.add_features(feats, ("l_quantity", "l_extendedprice"),
-                                             ("l_discount", "l_tax"), _LI_DERIVED), _CURATE_COLS, t["scaler"])
-    scored = run_scoring(spark, cur, root, "lineitem-returns", keep=["target"])
+    scored = run_scoring(spark, S.feature_rows(stream), root, FOREST, keep=["target"])
     q = (scored.writeStream.format("parquet").option("path", f"{wd}/out")
          .option("checkpointLocation", f"{wd}/checkpoint").trigger(availableNow=True).start())
     q.awaitTermination()
@@ -525,7 +576,7 @@ def q_mlp(spark, sf_dir):
     """64 -> 128 -> 10 perceptron on the embeddings; train/test accuracy."""
     d = _embedding_frame(spark, sf_dir)
     train, test = d.where(~F.col("is_test")), d.where(F.col("is_test"))
-    mdl = M.train_mlp(train, 64, 10, max_iter=50)
+    mdl = M.train_mlp(train, 64, 10)
     tr = metrics.classification_metrics(metrics.confusion(mdl.transform(train))).first()
     te = metrics.classification_metrics(metrics.confusion(mdl.transform(test))).first()
     return spark.createDataFrame([(float(tr["accuracy"]), float(te["accuracy"]), int(tr["n"]), int(te["n"]),
@@ -536,10 +587,12 @@ def q_mlp(spark, sf_dir):
 
 @register("tune")
 def q_tune(spark, sf_dir):
-    """Seeded search over learning rate x batch size, two trials at a time."""
-    d = _embedding_frame(spark, sf_dir).where(~F.col("is_test"))
-    trials, _, _ = M.tune_mlp(spark, d, 64, 10, max_iter=10)
-    return trials
+    """Seeded search over learning rate x hidden units, two trials at a time; the best
+    model's accuracy on the held-out rows is given with every trial."""
+    d = _embedding_frame(spark, sf_dir)
+    trials, _, best = M.tune_mlp(spark, d.where(~F.col("is_test")), 64, 10)
+    held = metrics.classification_metrics(metrics.confusion(best.transform(d.where(F.col("is_test"))))).first()
+    return trials.withColumn("best_held_out_accuracy", F.lit(float(held["accuracy"])))
 
 
 # ---------------------------------------------------------------- synthesis (rows-only checks)
@@ -550,7 +603,7 @@ from tidewater.operators import synth  # noqa: E402
 @register("profile_columns")
 def q_profile_columns(spark, sf_dir):
     p = synth.profile_columns(S.lineitem_features(spark, sf_dir), categorical=["target"])
-    return spark.createDataFrame(p, "name string, role string, lo double, hi double, digits int, ndv long")
+    return spark.createDataFrame([tuple(x[k] for k in ("name", "role", "lo", "hi", "digits", "ndv", "missing")) for x in p], "name string, role string, lo double, hi double, digits int, ndv long, missing double")
 
 
 @register("copula_sample")
@@ -559,4 +612,5 @@ def q_copula_sample(spark, sf_dir):
     src = S.lineitem_features(spark, sf_dir)
     model = synth.copula_fit(src, categorical=["target"])
     n = src.count()
-    return synth.copula_sample(model, spark.range(n), "id", seed=42)
+    with session_conf(spark, JIT_SIZED_CODEGEN):            # the draws are one wide projection
+        return prep.materialize(synth.copula_sample(model, spark.range(n), "id", seed=42))

@@ -12,7 +12,6 @@ FEATURES = [
     "age", "sex", "cp", "trestbps", "chol", "fbs", "restecg",
     "thalach", "exang", "oldpeak", "slope", "ca", "thal", "target",
 ]
-CATEGORICAL = ["sex", "cp", "fbs", "restecg", "exang", "slope", "ca", "thal", "target"]
 FLOAT_FIELDS = ["oldpeak"]
 CLIP_COLUMNS = ["age", "trestbps", "chol", "thalach", "oldpeak"]
 LABEL = "target"
@@ -73,9 +72,16 @@ def serving_schema(fields: list[str] = FEATURES, keyword: list[str] = KEYWORD_FI
 SERVING = serving_schema()
 
 REGISTRY = T.StructType([
+    T.StructField("name", T.StringType()),
     T.StructField("model_version", T.StringType()),
     T.StructField("timestamp", T.StringType()),
-    T.StructField("hyperparameters", T.MapType(T.StringType(), T.StringType())),
+    T.StructField("hyperparameters", T.StructType([
+        T.StructField("n_estimators", T.IntegerType()),
+        T.StructField("max_depth", T.IntegerType()),
+        T.StructField("min_instances_per_node", T.IntegerType()),
+        T.StructField("seed", T.LongType()),
+        T.StructField("test_frac", T.DoubleType()),
+    ])),
     T.StructField("metrics", T.StructType([
         T.StructField("train_accuracy", T.DoubleType()),
         T.StructField("test_accuracy", T.DoubleType()),
@@ -86,4 +92,5 @@ REGISTRY = T.StructType([
     T.StructField("framework", T.StringType()),
     T.StructField("dataset", T.StringType()),
     T.StructField("model_uri", T.StringType()),
+    T.StructField("preparation", T.StringType()),
 ])

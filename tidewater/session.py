@@ -37,19 +37,13 @@ def get_session(app: str = "tidewater", master: str | None = None,
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    jit_sized_codegen(spark)
     return spark
 
 
-def jit_sized_codegen(spark: SparkSession, limit: int = 8000) -> None:
-    """Cap whole-stage-codegen methods at HotSpot's JIT limit (Spark's documented
-    setting for HotSpot) unless the session already chose a value.  Wide per-row
-    arithmetic (copula scores and draws over many columns) otherwise fuses into one
-    method too large to be JIT-compiled and runs interpreted, several times slower;
-    above the cap Spark keeps that subtree on per-expression codegen instead."""
-    key = "spark.sql.codegen.hugeMethodLimit"
-    if spark.conf.get(key, "65535") == "65535":
-        spark.conf.set(key, str(limit))
+# Cap of whole-stage-codegen methods at HotSpot's JIT limit (Spark's documented setting
+# for HotSpot).  Wide per-row arithmetic (copula scores over many columns) otherwise fuses
+# into one method too large to be JIT-compiled and runs interpreted, several times slower.
+JIT_SIZED_CODEGEN = {"spark.sql.codegen.hugeMethodLimit": "8000"}
 
 
 @contextmanager
@@ -80,9 +74,12 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, default: str = LOCAL_FALLBACK_DIR) -> str:
-    """Use the session's checkpoint folder; set ``default`` only where none is set."""
+    """Use the session's checkpoint folder; set ``default`` only where none is set and all
+    tasks run on this machine (``local[*]``).  A cluster must name a shared folder."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.conf.set("spark.checkpoint.dir", default)
         d = default
     if not spark.sparkContext.getCheckpointDir():

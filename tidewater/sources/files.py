@@ -9,21 +9,10 @@ from pyspark.sql import types as T
 from tidewater.schemas import RAW
 
 
-def read_lake(spark: SparkSession, path: str, max_files: int | None = None,
-              merge_schema: bool = False) -> DataFrame:
-    """Partition-discovering Parquet scan (``date``/``hour`` come back typed).
-
-    Frames with different column sets combine by name (``mergeSchema``).  The
-    optional ``max_files`` keeps the first files in path order, re-read with the
-    same ``basePath`` so partition columns survive; it is off by default."""
-    r = spark.read.option("mergeSchema", str(merge_schema).lower())
-    df = r.parquet(path)
-    if max_files:
-        files = sorted(df.inputFiles())[:max_files]
-        if not files:
-            raise FileNotFoundError(f"no data under {path}")
-        df = r.option("basePath", path).parquet(*files)
-    return df
+def read_lake(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:
+    """Partition-discovering Parquet scan of every file (``date``/``hour`` come back
+    typed).  Frames with different column sets combine by name (``mergeSchema``)."""
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).parquet(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = RAW,

@@ -1,5 +1,10 @@
-"""Streaming ingest: messages -> parse -> (quarantine | dedupe) -> foreachBatch
-writing the serving table and the date/hour lake.
+"""Streaming ingest: messages -> parse -> quarantine -> dedupe of well-formed rows ->
+foreachBatch writing the serving table and the date/hour lake.
+
+No message is lost without a word: malformed rows go to ``dead_letter_path``, which is
+required; they never take part in the de-duplication.  With ``dedupe_within``, rows later
+than the watermark are dropped by Spark and counted in the query's progress
+(:func:`late_rows`); choose a delay that covers the producers' retries.
 
 Per micro-batch the batch is persisted once and unpersisted in ``finally`` (one read
 and one parse per batch, not one per action), empty batches are skipped with
@@ -34,15 +39,24 @@ def processed_stream(spark: SparkSession, cfg: Config, fields: Sequence[str] = F
                         bootstrap_servers=cfg.bootstrap_servers, starting_offsets=cfg.starting_offsets,
                         fail_on_data_loss=cfg.fail_on_data_loss, max_per_trigger=max_per_trigger)
     parsed = parse_messages(raw, fields=fields, int_fields=int_fields, keep_raw=True)
-    if dedupe_within:
-        # producer retries and reused ids: keep the first copy of a record id seen
-        # within the watermark; state is bounded by the watermark delay
-        # (watermarks need an LTZ timestamp; the NTZ event time is kept as is)
-        parsed = (parsed.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-                        .withWatermark("_event_time", dedupe_within)
-                        .dropDuplicatesWithinWatermark(["record_id"])
-                        .drop("_event_time"))
-    return parsed
+    if not dedupe_within:
+        return parsed
+    # producer retries and reused ids: keep the first copy of a record id seen
+    # within the watermark; state is bounded by the watermark delay
+    # (watermarks need an LTZ timestamp; the NTZ event time is kept as is).
+    # Malformed rows have no id or time to compare, so all of them pass by.
+    good, bad = split_quarantine(parsed)
+    good = (good.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
+                .withWatermark("_event_time", dedupe_within)
+                .dropDuplicatesWithinWatermark(["record_id"])
+                .drop("_event_time"))
+    return good.unionByName(bad)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that came later than the watermark and were dropped, over the progress
+    reports that the query still holds."""
+    return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])
 
 
 def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
@@ -71,18 +85,17 @@ def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
                 try:
                     fn()
                 except Exception:
-                    if cfg.on_error == "raise" or not cfg.dead_letter_path:
+                    if cfg.on_error == "raise":
                         raise
                     log.exception("sink %s failed for batch %s; batch sent to dead letters", name, batch_id)
                     (b.select(F.lit(name).alias("failed_sink"), "raw_value")
                       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                       .parquet(f"{cfg.dead_letter_path}/failed/sink={name}/batch_id={batch_id}"))
-            if cfg.dead_letter_path:
-                q = bad.select("raw_value", "batch_number", "record_id")
-                if not q.isEmpty():
-                    (q.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                      .partitionBy("batch_id").parquet(f"{cfg.dead_letter_path}/quarantine"))
+            q = bad.select("raw_value", "batch_number", "record_id")
+            if not q.isEmpty():
+                (q.withColumn("batch_id", F.lit(batch_id).cast("long"))
+                  .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                  .partitionBy("batch_id").parquet(f"{cfg.dead_letter_path}/quarantine"))
         finally:
             b.unpersist()
 
@@ -99,6 +112,8 @@ def run_ingest(spark: SparkSession, cfg: Config, *, fields: Sequence[str] = FEAT
     backfills/tests).  Each query has its own checkpoint folder."""
     if not cfg.checkpoint_path:
         raise ValueError("cfg.checkpoint_path is required (one per streaming query)")
+    if not cfg.dead_letter_path:
+        raise ValueError("cfg.dead_letter_path is required: malformed messages are kept there")
     stream = processed_stream(spark, cfg, fields, int_fields, max_per_trigger, dedupe_within)
     w = (stream.writeStream.foreachBatch(dual_sink(cfg, serving_cols, serving_transform))
          .option("checkpointLocation", cfg.checkpoint_path).outputMode("append"))
