@@ -7,11 +7,6 @@ from tidewater.operators import prep
 from tidewater.operators.quantiles import exact_quantiles, order_statistics
 
 
-def _frame(spark, pdf, schema):
-    return spark.createDataFrame([tuple(None if (isinstance(v, float) and np.isnan(v) and False) else v
-                                        for v in row) for row in pdf.itertuples(index=False)], schema)
-
-
 @pytest.mark.parametrize("limit", [4, 100_000])
 def test_exact_quantiles_match_numpy(spark, limit):
     rng = np.random.default_rng(7)
@@ -105,3 +100,20 @@ def test_standardize_zero_std(spark):
     r = prep.standardize(df, ["a", "b"]).collect()
     assert [x.b for x in r] == [0.0, 0.0, 0.0]
     assert abs(sum(x.a for x in r)) < 1e-12
+
+
+def test_preparation_survives_its_json_and_fits_on_the_training_side(spark):
+    df = spark.createDataFrame([(float(i % 50), float(i % 7) if i % 9 else None, float(i % 3), float(i % 5), i % 2) for i in range(300)]
+                               + [(1e6, 1.0, 1.0, 1.0, 1)], "a double, b double, c double, d double, t int")
+    kw = dict(features=["a", "b", "c", "d"], label="t", clip_cols=["a"], product=("a", "b"), ratio=("c", "d"), derived=("ab", "cd"))
+    out, saved = prep.curate(df, **kw, return_preparation=True, fit_on=lambda t: t.withColumn("is_test", F.col("d") == 4.0))
+    again = prep.Preparation.from_json(saved.to_json())
+    assert again == saved
+    train = out.where("NOT is_test")
+    for c in saved.feature_columns:
+        m = train.agg(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).first()
+        assert abs(m.m) < 1e-9 and abs(m.s - 1) < 1e-9
+    raw = again.apply(df)
+    assert raw.count() == 301 and raw.where(" OR ".join(f"{c} IS NULL" for c in saved.feature_columns)).isEmpty()
+    # a prepared raw row is a row of the curated table
+    assert raw.select(*saved.feature_columns).distinct().exceptAll(out.select(*saved.feature_columns).distinct()).isEmpty()

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -52,3 +53,24 @@ def test_flagged_evaluation_equals_two_pass(spark):
     two = M.evaluate_split(mdl, ks.where(~F.col("is_test")), ks.where(F.col("is_test")), "target")
     assert one == two
     assert one["train_rows"] + one["test_rows"] == li.count()
+
+
+def test_split_exact_of_repeated_rows(spark):
+    rows = [(1, None, 0)] * 60 + [(None, 1, 0)] * 20 + [(i, i, 1) for i in range(100)] + [(5, 5, None)]
+    df = spark.createDataFrame(rows, "a int, b int, t int")
+    keyed = split.unique_key(df)
+    assert keyed.select("row_key").distinct().count() == len(rows)
+    for seed in (1, 2, 42):
+        got = split.split_exact(keyed, "t", "row_key", 0.2, seed)
+        per = {r.t: r.n for r in got.where("is_test").groupBy("t").agg(F.count("*").alias("n")).collect()}
+        assert per == {0: 16, 1: 20} and got.count() == len(rows)
+    with pytest.raises(ValueError, match="unique"):
+        split.split_exact(df.withColumn("k", F.lit("x")), "t", "k", 0.2, 1)
+
+
+def test_metrics_when_labels_and_predictions_differ(spark):
+    df = spark.createDataFrame([("a", "a"), ("a", "z"), ("b", "a")], "label string, prediction string")
+    m = metrics.classification_metrics(metrics.confusion(df)).first()
+    assert m.n == 3 and abs(m.accuracy - 1 / 3) < 1e-12 and abs(m.weighted_f1 - (2 / 3) * 0.5) < 1e-12
+    none = metrics.classification_metrics(metrics.confusion(df.limit(0))).first()
+    assert none.accuracy is None

@@ -51,19 +51,27 @@ def test_ingest_exact_totals_and_layout(spark, tmp):
     assert read_lake(spark, cfg.lake_path).count() == 1000
 
 
-def test_failed_batch_is_replayed_once(spark, tmp):
+def test_failed_batch_is_replayed_once(spark, tmp, monkeypatch):
+    """The lake fails after the serving table was written: the replay must not write the
+    serving rows a second time."""
+    from tidewater.streaming import ingest as I
     msgs = S.event_messages(spark, SF001, keep=("event_id",))
     write_messages(msgs, "text", path=f"{tmp}/topic", num_files=2, order_by="event_id")
-    bad = _cfg(tmp, serving_format="no-such-format")
-    q = _run(spark, bad)
+    cfg = _cfg(tmp)
+
+    def broken(*a, **k):
+        raise OSError("lake is away")
+    monkeypatch.setattr(I, "write_lake", broken)
+    q = _run(spark, cfg)
     assert q.exception() is not None                  # raise: checkpoint not advanced
-    ok = _cfg(tmp)
-    q = _run(spark, ok)
+    before = spark.read.parquet(cfg.serving_path).count()
+    assert 0 < before < 1000                          # the first batch was served, the lake has nothing
+    monkeypatch.undo()
+    q = _run(spark, cfg)
     assert q.exception() is None
-    # the lake part of the failed batch may have been written before the failure;
-    # the replay overwrote the same batch partition, so there are no duplicates
-    lake = read_lake(spark, ok.lake_path)
-    assert lake.count() == 1000 and lake.select("record_id").distinct().count() == 1000
+    for path in (cfg.lake_path, cfg.serving_path):
+        got = read_lake(spark, path)
+        assert got.count() == 1000 and got.select("record_id").distinct().count() == 1000
 
 
 def test_isolate_mode_dead_letters(spark, tmp):
@@ -77,13 +85,23 @@ def test_isolate_mode_dead_letters(spark, tmp):
     assert read_lake(spark, cfg.lake_path).count() == 1000
 
 
-def test_dedupe_within_watermark(spark, tmp):
+def test_dedupe_keeps_every_broken_message(spark, tmp):
     msgs = S.event_messages(spark, SF001)
     write_messages(msgs, "text", path=f"{tmp}/topic", num_files=1)
     write_messages(msgs, "text", path=f"{tmp}/topic", num_files=1)   # producer retry: every id twice
+    spark.createDataFrame([("not json",), ("not json",), ("{}",), ('{"record_id": 1, "timestamp": "bad"}',)], "value string") \
+        .write.mode("append").text(f"{tmp}/topic")
     cfg = _cfg(tmp)
-    _run(spark, cfg, dedupe_within="1 hour")
+    q = _run(spark, cfg, dedupe_within="1 hour")
     assert read_lake(spark, cfg.lake_path).count() == 1000
+    assert spark.read.parquet(f"{cfg.dead_letter_path}/quarantine").count() == 4
+    from tidewater.streaming.ingest import late_rows
+    assert late_rows(q) == 0
+
+
+def test_missing_dead_letter_folder_rejected(spark, tmp):
+    with pytest.raises(ValueError, match="dead_letter_path"):
+        run_ingest(spark, _cfg(tmp, dead_letter_path=None), available_now=True)
 
 
 def test_missing_checkpoint_rejected(spark, tmp):

@@ -1,4 +1,4 @@
-import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.config import Config
@@ -49,19 +49,49 @@ def test_paced_source_and_producer_batches(spark, tmp):
     assert paced_source(spark).isStreaming
 
 
+def test_producer_stops_after_its_batches(spark, tmp):
+    from tidewater.streaming.producer import produce
+    model = synth.copula_fit(spark.read.parquet(f"{SF001}/lineitem.parquet").select("l_quantity", "l_discount"))
+    cfg = Config(source_format="text", source_path=f"{tmp}/topic", checkpoint_path=f"{tmp}/checkpoint")
+    assert produce(spark, cfg, model, max_batches=3, rows_per_batch=10, interval_ms=500) == 30
+    sent = spark.read.text(f"{tmp}/topic").select(F.get_json_object("value", "$.record_id").cast("long").alias("id"))
+    assert sorted(r.id for r in sent.collect()) == list(range(30))
+
+
+def test_copula_with_text_and_missing_cells_at_14_columns(spark):
+    ev = spark.range(3000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("even")).when(F.col("id") % 3 == 0, F.lit("three")).alias("word"),
+        *[F.when(F.col("id") % 5 != 0, F.round(F.rand(k) * 100, 1)).alias(f"x{k}") for k in range(12)],
+        (F.col("id") % 2).cast("int").alias("y"))
+    model = synth.copula_fit(ev, categorical=["y"])
+    out = synth.copula_sample(model, spark.range(3000), "id", seed=3).toPandas()
+    assert list(out.columns) == ["id", *ev.columns]
+    assert set(out["word"].dropna()) == {"even", "three"} and set(out["y"]) <= {0, 1}
+    assert abs(out["word"].isna().mean() - 1 / 3) < 0.04
+    assert all(abs(out[f"x{k}"].isna().mean() - 0.2) < 0.04 for k in range(12))
+
+
 def test_multi_facet_matches_brute_force(spark):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
+    ev = ev.withColumn("user_id", F.when(F.col("user_id") % 4 != 0, F.col("user_id")))   # rows without a value
     f = serving.multi_facet(ev, ["event_type", "user_id"], "value", size=3).collect()
     pdf = ev.toPandas()
     for name in ["event_type", "user_id"]:
-        vc = pdf.groupby(pdf[name].astype(str)).size().reset_index(name="n")
+        vc = pdf.dropna(subset=[name]).groupby(name).size().reset_index(name="n")
         top = vc.sort_values(["n", name], ascending=[False, True]).head(3)
         got = sorted((r.key, r.doc_count) for r in f if r.facet == name)
-        assert got == sorted(zip(top[name], top["n"]))
+        assert got == sorted((str(int(k)) if name == "user_id" else k, n) for k, n in zip(top[name], top["n"]))
     total = [r for r in f if r.facet == "_all"][0]
     assert total.doc_count == len(pdf) and abs(total.avg_value - pdf["value"].mean()) < 1e-9
 
 
+def test_facet_ties_by_typed_key(spark):
+    df = spark.createDataFrame([(k,) for k in (9, 10, 100, None, None)], "k int")
+    assert [r.key for r in serving.terms_facet(df, "k", 2).collect()] == [9, 10]
+    got = serving.multi_facet(df, ["k"], size=2).where("facet = 'k'").orderBy("rank").collect()
+    assert [r.key for r in got] == ["9", "10"]
+
+
 def test_serving_report_and_labels(spark):
     p = spark.createDataFrame([(i, i % 2, 40 + i, f"2024-01-01 00:00:{i:02d}") for i in range(20)],
                               "record_id long, target int, age int, ts string") \
@@ -88,16 +118,22 @@ def test_registry_latest_by_time_and_metric(spark, tmp):
     m = Pipeline(stages=[VectorAssembler(inputCols=["x"], outputCol="features"),
                          LogisticRegression()]).fit(df)
     met = {"train_accuracy": 0.9, "test_accuracy": 0.8, "eval_accuracy": 0.8, "eval_f1_score": 0.7}
-    a = register_model(spark, m, tmp, "demo", met, {"n": 1})
+    a = register_model(spark, m, tmp, "demo", met, {"n_estimators": 1, "test_frac": 0.2})
     time.sleep(1.1)
-    b = register_model(spark, m, tmp, "demo", dict(met, eval_accuracy=0.6), {"n": 2})
+    b = register_model(spark, m, tmp, "demo", dict(met, eval_accuracy=0.6), {"max_depth": 2})
+    register_model(spark, m, tmp, "other", dict(met, eval_accuracy=0.99), {})
+    with pytest.raises(ValueError, match="registry field"):
+        register_model(spark, m, tmp, "demo", met, {"unheard_of": 1})
     assert a["model_version"].startswith("v_") and a["model_version"].endswith("_acc_0_8000")
     newest = latest_model_uri(spark, tmp, "demo").first().model_uri
     assert newest.endswith(b["model_uri"].split("/models/")[1])
     best = latest_model_uri(spark, tmp, "demo", by="eval_accuracy").first().model_uri
     assert best == a["model_uri"]
-    assert registry_table(spark, tmp).count() == 2
-    assert load_latest(spark, tmp, "demo").transform(df).count() == 40
+    reg = {r.model_uri: r for r in registry_table(spark, tmp).collect()}
+    assert len(reg) == 3 and reg[a["model_uri"]].hyperparameters.n_estimators == 1
+    assert reg[a["model_uri"]].hyperparameters.test_frac == 0.2 and reg[b["model_uri"]].hyperparameters.max_depth == 2
+    model, prepared = load_latest(spark, tmp, "demo")
+    assert model.transform(df).count() == 40 and prepared is None
     assert Config().on_error == "raise"
 
 
