@@ -27,9 +27,9 @@ a file ends after the document that fills it.
 
 from __future__ import annotations
 
-import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,7 +48,7 @@ RUN = 120                                 # zeros of selector 15
 BLOCK = 4096                              # ids of a block
 FILE_IDS = 1 << 20                        # ids after which a file ends
 MAGIC = b"S8B1"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 500_000
 END = 0
 
 
@@ -65,8 +65,12 @@ def _choose(ids: np.ndarray, left: np.ndarray) -> np.ndarray:
     """For each position the selector of a word that starts there: the one that takes most
     ids.  left: ids up to the end of the block; a last word may be filled with zeros."""
     out, at = np.zeros(len(ids), np.int8), np.arange(len(ids))
+    top = int(ids.max()).bit_length() if len(ids) else 0
     for k in range(len(WIDTHS), 0, -1):  # ever narrower: each keeps a part of the positions
         count, bits = WIDTHS[k - 1]
+        if bits >= top:
+            out[:] = k
+            continue
         at = at[ids[at] >> np.uint64(bits) == 0]
         if not len(at):
             return out
@@ -102,9 +106,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             words[to] = 15
         else:
             count, bits = WIDTHS[k - 1]
-            value, room = np.full(len(at), k, np.uint64), left[at]
+            value, last = np.full(len(at), k, np.uint64), np.flatnonzero(left[at] < count)
             for j in range(count):
-                value |= np.where(room > j, padded[at + j], np.uint64(0)) << np.uint64(4 + j * bits)
+                part = padded[at + j]
+                if len(last):
+                    part[last] *= left[at[last]] > j  # a block's last word is filled with zeros
+                value |= part << np.uint64(4 + j * bits)
             words[to] = value
     return words, place[starts % BLOCK == 0]
 
@@ -182,7 +189,6 @@ class ByteBpe:
     a text's ids are those of its words, each with the blank before it.  Texts with any other
     white space go to the library whole."""
 
-    _odd = re.compile(r"\s\s|[^\S \n]")
     _marks = ".,;:!?*&%$#|"
 
     def __init__(self, tokenizer_json: str, cached_words: int = CACHED_WORDS):
@@ -190,10 +196,10 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.words, self.parts = WordCache(cached_words), WordCache(cached_words)
+        self.words, self.parts = WordCache(cached_words), WordCache(3 * cached_words // 5)
 
     def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, np.uint32).tobytes()
+        return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
     def _split(self, word: str) -> list[str]:
@@ -208,39 +214,42 @@ class ByteBpe:
             return [core, text[len(core):]]
         return [text] if text else []
 
-    def _known(self, words: set[str]) -> dict[str, bytes]:
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of words that the cache's newer half does not hold."""
         out = {w: self.words.find(w) for w in words}
         new = {w: self._split(w) for w, ids in out.items() if ids is None}
-        if new:
-            parts = {p: self.parts.find(p) for ps in new.values() for p in ps}
-            lost = [p for p, ids in parts.items() if ids is None]
-            found = dict(zip(lost, self._library(lost)))
-            self.parts.put(found)
-            parts.update(found)
-            made = {w: b"".join([parts[p] for p in ps]) for w, ps in new.items()}
-            self.words.put(made)
-            out.update(made)
+        parts = {p: self.parts.find(p) for ps in new.values() for p in ps}
+        lost = [p for p, ids in parts.items() if ids is None]
+        found = dict(zip(lost, self._library(lost)))
+        self.parts.put(found)
+        parts.update(found)
+        made = {w: b"".join([parts[p] for p in ps]) for w, ps in new.items()}
+        self.words.put(made)
+        out.update(made)
         return out
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
-        split, whole, every = {}, [], set()
+        out, whole, wait, lost, known = [b""] * len(texts), [], {}, set(), self.words.get
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if self._odd.search(t):
+            words = t.replace("\n", " \n").split(" ")
+            if len(t.split()) != len(words):  # other white space, or two of them together
                 whole.append(i)
                 continue
-            words = t.replace("\n", " \n").split(" ")
             words[0] = "\r" + words[0]
-            split[i] = words
-            every.update(words)
-        out = [b""] * len(texts)
+            ids = list(map(known, words))
+            if None in ids:
+                lost.update([w for w, x in zip(words, ids) if x is None])
+                wait[i] = words, ids
+            else:
+                out[i] = b"".join(ids)
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
             out[i] = ids
-        of = self._known(every).__getitem__
-        for i, words in split.items():
-            out[i] = b"".join(map(of, words))
+        learnt = self._learn(lost)
+        for i, (words, ids) in wait.items():
+            out[i] = b"".join([learnt[w] if x is None else x for w, x in zip(words, ids)])
         return [np.frombuffer(x, np.uint32) for x in out]
 
 
@@ -301,7 +310,7 @@ def write_ids(docs: DataFrame, tokenizer_file: str, folder: str, id_col: str = "
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
-    return stage(rows.mapInPandas(run, "file string, n_docs long, n_ids long"), "s8b-files")
+    return stage(rows.mapInPandas(run, "file string, n_docs long, n_ids long"), "s8b-files", 1000)
 
 
 def _make(folder: str) -> None:
