@@ -10,6 +10,9 @@ from tidewater.session import session_conf, work_dir
 #: Rows of an Arrow batch between the JVM and a Python worker: whole texts are wide rows, and
 #: both sides hold several copies of a batch.
 BATCH_ROWS = 500
+#: Bytes of a row group of intermediate tables: a writer holds one in memory, and wide binary
+#: columns fill the default of 128 MB in every task.
+ROW_GROUP = 16 << 20
 WORDS = r"[^\x20\x09-\x0D]+"
 
 
@@ -23,7 +26,7 @@ def stage(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
     spark = df.sparkSession
     path = work_dir(spark, name)
     with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}):
-        df.write.parquet(path)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

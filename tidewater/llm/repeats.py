@@ -47,7 +47,7 @@ LENGTH = 400
 SPAN = 256                    # start offsets per window choice; q + SPAN - 1 = LENGTH
 Q = LENGTH - SPAN + 1
 OUTER = LENGTH + SPAN - 1
-PIECE = 1 << 20               # bytes hashed at a time in a task
+PIECE = 1 << 18               # bytes hashed at a time in a task
 LOCAL_BUCKET = 512            # rows of a bucket refined inside one task
 
 _ANCHOR = "k long, h long, o long, p long, lo int, hi int"
