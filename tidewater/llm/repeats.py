@@ -197,8 +197,8 @@ def _refine_hot(rows: DataFrame) -> DataFrame | None:
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """texts: (id, k, t binary) with k = xxhash64 of the text.  Returns (k, spans), spans an
-    array of (s, e) byte ranges covered by repeated strings, unmerged, one row per text."""
+    """texts: (id, k, t binary) with k = xxhash64 of the text.  Returns (k, spans), one row per
+    text: the byte ranges covered by repeated strings, packed and unmerged (see ``merge``)."""
     marks = stage(texts.where(F.octet_length("t") >= LENGTH).select("k", "t").mapInPandas(_anchors, _ANCHOR), "rep-anchors")
     marks = stage(marks.join(_twice(marks, ["h"], "rep-first"), "h"), "rep-buckets")
     whole = marks.where("o <> 0")
@@ -222,7 +222,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         F.collect_list(F.struct("h", "p", "lo", "hi", "open", "hot")).alias("marks"))
         .join(copies.select("k", "id"), "k"), "rep-wanted").withColumnRenamed("id", "first")
     near = texts.join(wanted, "k").where(F.col("id").eqNullSafe(F.col("first")))
-    ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx")
+    ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx", 100)
     cold = ctx.where("NOT hot").select("h", "k", "p", "lo", "hi", "open", "ctx").repartition("h").sortWithinPartitions("h")
     ranges = settled.union(cold.mapInPandas(_refine_local, _RANGE))
     hot = _refine_hot(ctx.where("hot"))
@@ -230,18 +230,21 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         ranges = ranges.union(hot)
     spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {LENGTH} AS e")
     spans = spans.union(copies.where("n > 1").select("k", F.lit(0).cast("long"), "size"))
-    return stage(spans.groupBy("k").agg(F.collect_list(F.struct("s", "e")).alias("spans")), "rep-spans")
+    # one number a range: a text of few distinct bytes has as many ranges as bytes
+    packed = F.shiftleft("s", 32).bitwiseOR(F.col("e") - F.col("s"))
+    return stage(spans.groupBy("k").agg(F.collect_set(packed).alias("spans")), "rep-spans")
 
 
-def merge(spans: list | None) -> list[tuple[int, int]]:
-    """Maximal runs of a list of (s, e) ranges; ranges that touch are one run."""
-    out: list[list[int]] = []
-    for s, e in sorted((x["s"], x["e"]) for x in ([] if spans is None else spans)):
-        if out and s <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e])
-    return [(s, e) for s, e in out]
+def merge(spans: np.ndarray | None) -> list[tuple[int, int]]:
+    """Maximal runs of packed ranges (start in the upper, length in the lower 32 bits);
+    ranges that touch are one run."""
+    if spans is None or not len(spans):
+        return []
+    spans = np.sort(np.asarray(spans, np.int64))
+    s, e = spans >> 32, (spans >> 32) + (spans & 0xFFFFFFFF)
+    reach = np.maximum.accumulate(e)
+    first = np.flatnonzero(np.append(True, s[1:] > reach[:-1]))
+    return list(zip(s[first].tolist(), reach[np.append(first[1:], len(s)) - 1].tolist()))
 
 
 def cut(text: bytes, runs: list[tuple[int, int]]) -> bytes:
@@ -257,7 +260,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, t (bytes, whole), spans (array of removed ranges,
+    """One row per row of ``docs``: id, t (bytes, whole), spans (packed removed ranges,
     unmerged, null if none)."""
     texts = _texts(docs, id_col, text_col)
     return texts.join(repeated_spans(texts), "k", "left").select("id", "t", "spans")
