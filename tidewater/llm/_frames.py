@@ -20,11 +20,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stage(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS) -> DataFrame:
+def stage(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, into: list | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back: cuts the
-    lineage with files that all executors share, so a lost executor costs no rework."""
+    lineage with files that all executors share, so a lost executor costs no rework.
+    into: gets the folder, for :func:`discard` once nothing reads the table any more."""
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if into is not None:
+        into.append(path)
     with session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(batch_rows)}):
         df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -67,6 +70,13 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 
+def discard(spark: SparkSession, paths: list) -> None:
+    """Delete staged tables."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def ordered(df: DataFrame, by: list, value: str, name: str) -> DataFrame:
     """``df`` with ``pos`` (1, 2, ... in the order ``by``) and ``before`` (the sum of column
     ``value`` over all earlier rows), without a single-task window: rows are range-partitioned

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ._bytes import gram_ids_pair, window_argmin
-from ._frames import read, stage
+from ._frames import discard, read, stage
 
 LENGTH = 400
 SPAN = 256                    # start offsets per window choice; q + SPAN - 1 = LENGTH
@@ -164,24 +164,24 @@ _RANGE = "k long, p long, lo int, hi int"
 _PLACE = "xxhash64(k, p)"
 
 
-def _twice(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+def _twice(df: DataFrame, keys: list[str], name: str, into: list) -> DataFrame:
     """Keys held by two or more places.  Written out, so that the join that follows has a
     plain exchange on both sides and AQE can split a hot key."""
     return stage(df.groupBy(*keys).agg(F.expr(f"min({_PLACE})").alias("x"), F.expr(f"max({_PLACE})").alias("y")).where("x <> y").select(*keys),
-                 name)
+                 name, into=into)
 
 
-def _refine_hot(rows: DataFrame) -> DataFrame | None:
+def _refine_hot(rows: DataFrame, into: list) -> DataFrame | None:
     """The rounds of ``_refine`` as Spark aggregates and joins, for buckets of any size."""
     found, level = None, SPAN
-    rows = stage(rows.selectExpr("k", "h", "p", "lo", "hi", "open", "ctx", "0 AS a", f"{SPAN - 1} AS b"), "rep-hot")
+    rows = stage(rows.selectExpr("k", "h", "p", "lo", "hi", "open", "ctx", "0 AS a", f"{SPAN - 1} AS b"), "rep-hot", into=into)
     while level >= 1 and not rows.isEmpty():
         keyed = rows.withColumn("i", F.expr(f"xxhash64(h, a, substring(ctx, hi - a + 1, {LENGTH} - (b - a)))"))
-        keyed = stage(keyed.join(_twice(keyed, ["i"], "rep-in"), "i").withColumn("whole", F.expr("lo <= a AND hi >= b"))
+        keyed = stage(keyed.join(_twice(keyed, ["i"], "rep-in", into), "i").withColumn("whole", F.expr("lo <= a AND hi >= b"))
                       .withColumn("w", F.expr(f"CASE WHEN whole THEN substring(ctx, hi - b + 1, {LENGTH} + b - a) END")),
-                      "rep-live")
-        shared = _twice(keyed.where("whole"), ["i", "w"], "rep-out").withColumn("s", F.lit(True))
-        keyed = stage(keyed.join(shared, ["i", "w"], "left"), "rep-round")
+                      "rep-live", into=into)
+        shared = _twice(keyed.where("whole"), ["i", "w"], "rep-out", into).withColumn("s", F.lit(True))
+        keyed = stage(keyed.join(shared, ["i", "w"], "left"), "rep-round", into=into)
         done = keyed.where("s AND open").selectExpr("k", "p", "a AS lo", "b AS hi")
         found = done if found is None else found.union(done)
         left = keyed.where("s IS NULL").unionByName(
@@ -191,7 +191,7 @@ def _refine_hot(rows: DataFrame) -> DataFrame | None:
             "k", F.col("i").alias("h"), "p", "lo", "hi", "open", "ctx", F.explode(F.array(
                 F.struct(F.col("a"), half.alias("b")),
                 F.struct((half + 1).alias("a"), F.col("b")))).alias("r"))
-            .select("k", "h", "p", "lo", "hi", "open", "ctx", "r.a", "r.b").where("lo <= b AND hi >= a"), "rep-half")
+            .select("k", "h", "p", "lo", "hi", "open", "ctx", "r.a", "r.b").where("lo <= b AND hi >= a"), "rep-half", into=into)
         level //= 2
     return found
 
@@ -199,40 +199,43 @@ def _refine_hot(rows: DataFrame) -> DataFrame | None:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """texts: (id, k, t binary) with k = xxhash64 of the text.  Returns (k, spans), one row per
     text: the byte ranges covered by repeated strings, packed and unmerged (see ``merge``)."""
-    marks = stage(texts.where(F.octet_length("t") >= LENGTH).select("k", "t").mapInPandas(_anchors, _ANCHOR), "rep-anchors")
-    marks = stage(marks.join(_twice(marks, ["h"], "rep-first"), "h"), "rep-buckets")
+    held: list = []
+    marks = stage(texts.where(F.octet_length("t") >= LENGTH).select("k", "t").mapInPandas(_anchors, _ANCHOR), "rep-anchors", into=held)
+    marks = stage(marks.join(_twice(marks, ["h"], "rep-first", held), "h"), "rep-buckets", into=held)
     whole = marks.where("o <> 0")
-    shared = _twice(whole, ["h", "o"], "rep-outer").withColumn("s", F.lit(True))
-    marks = stage(marks.join(shared, ["h", "o"], "left"), "rep-marks")
+    shared = _twice(whole, ["h", "o"], "rep-outer", held).withColumn("s", F.lit(True))
+    marks = stage(marks.join(shared, ["h", "o"], "left"), "rep-marks", into=held)
     settled = marks.where("s").select("k", "p", "lo", "hi")
 
     # what is still open, and one partner for each settled outer string of its bucket
     undecided = marks.where("s IS NULL").select("h", "k", "p", "lo", "hi", F.lit(True).alias("open"))
-    buckets = stage(undecided.groupBy("h").agg(F.count("*").alias("n")), "rep-open")
+    buckets = stage(undecided.groupBy("h").agg(F.count("*").alias("n")), "rep-open", into=held)
     partners = (marks.where("s").groupBy("h", "o").agg(F.min(F.struct("k", "p")).alias("x"))
                 .join(buckets.select("h"), "h", "left_semi")
                 .select("h", "x.k", "x.p", F.lit(0).alias("lo"), F.lit(SPAN - 1).alias("hi"), F.lit(False).alias("open")))
-    rows = stage(undecided.union(partners), "rep-rows")
-    sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BUCKET).alias("hot")), "rep-sizes")
+    rows = stage(undecided.union(partners), "rep-rows", into=held)
+    sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BUCKET).alias("hot")), "rep-sizes", into=held)
 
     copies = stage(texts.where(F.octet_length("t") >= LENGTH)
                    .groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("id"),
-                                     F.min(F.octet_length("t")).cast("long").alias("size")), "rep-copies")
+                                     F.min(F.octet_length("t")).cast("long").alias("size")), "rep-copies", into=held)
     wanted = stage(rows.join(sizes, "h").groupBy("k").agg(
         F.collect_list(F.struct("h", "p", "lo", "hi", "open", "hot")).alias("marks"))
-        .join(copies.select("k", "id"), "k"), "rep-wanted").withColumnRenamed("id", "first")
+        .join(copies.select("k", "id"), "k"), "rep-wanted", into=held).withColumnRenamed("id", "first")
     near = texts.join(wanted, "k").where(F.col("id").eqNullSafe(F.col("first")))
-    ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx", 100)
+    ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx", 100, held)
     cold = ctx.where("NOT hot").select("h", "k", "p", "lo", "hi", "open", "ctx").repartition("h").sortWithinPartitions("h")
     ranges = settled.union(cold.mapInPandas(_refine_local, _RANGE))
-    hot = _refine_hot(ctx.where("hot"))
+    hot = _refine_hot(ctx.where("hot"), held)
     if hot is not None:
         ranges = ranges.union(hot)
     spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {LENGTH} AS e")
     spans = spans.union(copies.where("n > 1").select("k", F.lit(0).cast("long"), "size"))
     # one number a range: a text of few distinct bytes has as many ranges as bytes
     packed = F.shiftleft("s", 32).bitwiseOR(F.col("e") - F.col("s"))
-    return stage(spans.groupBy("k").agg(F.collect_set(packed).alias("spans")), "rep-spans")
+    found = stage(spans.groupBy("k").agg(F.collect_set(packed).alias("spans")), "rep-spans")
+    discard(texts.sparkSession, held)
+    return found
 
 
 def merge(spans: np.ndarray | None) -> list[tuple[int, int]]:
