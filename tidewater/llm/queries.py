@@ -19,4 +19,6 @@ QUERIES = {
 
 ORACLE = {
     "op3_perspectives": chat.OP3_SQL,
+    "op9_suffix_repeats": repeats.OP9_SQL,
+    "op10_collision_counting": vectors.OP10_SQL,
 }

@@ -302,3 +302,24 @@ def drop_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n_ch
 def _kept_text(text: pd.Series, spans: pd.Series) -> pd.Series:
     return pd.Series([t if s is None or t is None else cut(t.encode(), merge(s)).decode("utf-8", "ignore")
                       for t, s in zip(text, spans)], dtype=object)
+
+
+OP9_SQL = r"""
+WITH d AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n FROM documents),
+g AS (SELECT doc_id, h, unnest(range(0, n - 399)) AS s FROM d WHERE n >= 400),
+k AS (SELECT doc_id, s, md5_number(substr(h, 2 * s + 1, 800)) AS m FROM g),
+twice AS (SELECT m FROM k GROUP BY m HAVING count(*) > 1),
+hits AS (SELECT doc_id, s FROM k SEMI JOIN twice USING (m)),
+marked AS (SELECT *, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 400 THEN 0 ELSE 1 END AS fresh FROM hits),
+numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM marked),
+runs AS (SELECT doc_id, run, min(s) AS a, max(s) + 400 AS b FROM numbered GROUP BY doc_id, run),
+gaps AS (SELECT doc_id, run, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY run), 0) AS before FROM runs),
+cuts AS (
+  SELECT doc_id, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY run) AS head
+  FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cuts USING (doc_id)
+"""

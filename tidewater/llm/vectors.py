@@ -202,3 +202,23 @@ def op10_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_vectors(read(spark, sf_dir, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
                         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+#: All pairs; the operator finds those at cosines well above the threshold for certain.
+OP10_SQL = r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
+ok AS (
+  SELECT vec_id, e FROM v
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, p.b FROM reach r JOIN pairs p ON r.b = p.a),
+parts AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+links AS (SELECT a AS vec_id, count(*) AS n FROM pairs GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM parts LEFT JOIN links USING (vec_id)
+"""
