@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import gram_ids, window_argmin
-from ._frames import read, stage
+from ._frames import BATCH_ROWS, read, stage
 
 K, WINDOW = 24, 41            # bytes of a gram; grams of a window: 64 shared bytes are always found
 PIECE = 1 << 20               # grams hashed at a time
@@ -100,7 +100,7 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come in ascending order inside a range; the row before a row is its next document
     in descending order.  Rows with ``carry`` only serve as such."""
     before, prints = "", EMPTY
-    for pdf in batches:
+    for pdf in (b.iloc[at: at + BATCH_ROWS] for b in batches for at in range(0, len(b), BATCH_ROWS)):
         rows = []
         for has, i, text, carry in zip(pdf["has"], pdf["id"], pdf["text"], pdf["carry"]):
             text = text or ""
@@ -145,6 +145,6 @@ def with_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stage(with_neighbour(read(spark, sf_dir, "documents")).select("range", "has", "id", "text", "carry").mapInPandas(
+    return with_neighbour(read(spark, sf_dir, "documents")).select("has", "id", "text", "carry").mapInPandas(
         _compare, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
-                  "near_edited double, near_next double"), "win-result")
+                  "near_edited double, near_next double")
