@@ -196,12 +196,32 @@ class ByteBpe:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        vocabulary = self.tokenizer.get_vocab()
+        self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # the byte of a blank
         self.words, self.parts = WordCache(cached_words), WordCache(3 * cached_words // 5)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
+    def _library_words(self, parts: list[str]) -> dict[str, bytes]:
+        """Parts that are a blank and other characters go to the library as one text: it cuts
+        before every blank, so a word's ids start at each id whose token starts with a blank."""
+        words = [p for p in parts if p[0] == " " and len(p) > 1]
+        found = {}
+        for at in range(0, len(words), 20_000):
+            some = words[at: at + 20_000]
+            ids = np.frombuffer(self._library(["".join(some)])[0], np.uint32)
+            first = np.flatnonzero(self.blank[ids])
+            if len(first) != len(some):
+                raise RuntimeError("the tokenizer file does not cut before blanks")
+            ends, raw = np.append(first[1:], len(ids)).tolist(), ids.tobytes()
+            found.update({w: raw[4 * a: 4 * b] for w, a, b in zip(some, first.tolist(), ends)})
+        rest = [p for p in parts if p not in found]
+        found.update(zip(rest, self._library(rest)))
+        return found
+
     def _split(self, word: str) -> list[str]:
         """The strings that a word's ids are made of.  A word after a line feed starts with
         it; the first of a text starts with a carriage return, which is taken off; all others
@@ -216,15 +236,25 @@ class ByteBpe:
 
     def _learn(self, words: set[str]) -> dict[str, bytes]:
         """Ids of words that the cache's newer half does not hold."""
-        out = {w: self.words.find(w) for w in words}
-        new = {w: self._split(w) for w, ids in out.items() if ids is None}
-        parts = {p: self.parts.find(p) for ps in new.values() for p in ps}
-        lost = [p for p, ids in parts.items() if ids is None]
-        found = dict(zip(lost, self._library(lost)))
-        self.parts.put(found)
-        parts.update(found)
-        made = {w: b"".join([parts[p] for p in ps]) for w, ps in new.items()}
-        self.words.put(made)
+        out, new, parts, lost = {}, {}, {}, []
+        old, cache, known, split = self.words.old.get, self.words, self.parts.find, self._split
+        for w in words:
+            ids = old(w)
+            if ids is not None:
+                out[w] = cache[w] = ids
+                continue
+            new[w] = own = split(w)
+            for p in own:
+                if p not in parts:
+                    parts[p] = ids = known(p)
+                    if ids is None:
+                        lost.append(p)
+        if lost:
+            found = self._library_words(lost)
+            self.parts.put(found)
+            parts.update(found)
+        made = {w: parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own]) for w, own in new.items()}
+        cache.put(made)
         out.update(made)
         return out
 
