@@ -48,7 +48,7 @@ SPAN = 256                    # start offsets per window choice; q + SPAN - 1 =
 Q = LENGTH - SPAN + 1
 OUTER = LENGTH + SPAN - 1
 PIECE = 1 << 18               # bytes hashed at a time in a task
-LOCAL_BUCKET = 512            # rows of a bucket refined inside one task
+LOCAL_BUCKET = 1000           # rows of a bucket refined inside one task
 
 _ANCHOR = "k long, h long, o long, p long, lo int, hi int"
 
@@ -149,11 +149,11 @@ def _refine_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows come sorted by bucket; a bucket may continue in the next batch."""
     def rows():
         for pdf in batches:
-            yield from zip(pdf["h"], pdf["k"], pdf["p"], pdf["lo"], pdf["hi"], pdf["open"], pdf["ctx"])
+            yield from zip(zip(pdf["h"], pdf["a"], pdf["b"]), pdf["k"], pdf["p"], pdf["lo"], pdf["hi"], pdf["open"], pdf["ctx"])
 
     out: list[tuple[int, int, int, int]] = []
-    for _, bucket in groupby(rows(), key=lambda r: r[0]):
-        out.extend(_refine([r[1:] for r in bucket], 0, SPAN - 1))
+    for (_, a, b), bucket in groupby(rows(), key=lambda r: r[0]):
+        out.extend(_refine([r[1:] for r in bucket], a, b))
         if len(out) > 50_000:
             yield pd.DataFrame(out, columns=["k", "p", "lo", "hi"])
             out = []
@@ -171,29 +171,37 @@ def _twice(df: DataFrame, keys: list[str], name: str, into: list) -> DataFrame:
                  name, into=into)
 
 
-def _refine_hot(rows: DataFrame, into: list) -> DataFrame | None:
-    """The rounds of ``_refine`` as Spark aggregates and joins, for buckets of any size."""
-    found, level = None, SPAN
-    rows = stage(rows.selectExpr("k", "h", "p", "lo", "hi", "open", "ctx", "0 AS a", f"{SPAN - 1} AS b"), "rep-hot", into=into)
-    while level >= 1 and not rows.isEmpty():
+def _halves(rows: DataFrame) -> DataFrame:
+    """Each row for both halves of its range of distances, where it owns any of them."""
+    half = F.expr("(a + b) DIV 2").cast("int")
+    parts = F.explode(F.array(F.struct(F.col("a"), half.alias("b")), F.struct((half + 1).alias("a"), F.col("b"))))
+    return rows.withColumn("r", parts).select("h", "k", "p", "lo", "hi", "open", "ctx", "r.a", "r.b") \
+        .where("lo <= b AND hi >= a")
+
+
+def _refine_hot(rows: DataFrame, into: list) -> tuple[DataFrame, DataFrame]:
+    """Rounds of ``_refine`` as Spark aggregates and joins, for buckets of any size: a round
+    splits a bucket by the bytes that the halves of its range gain.  Returns what is settled
+    (k, p, lo, hi), and the rows of buckets that have become small."""
+    found, small = rows.selectExpr("k", "p", "lo", "hi").limit(0), rows.limit(0)
+    # the first round was run on identifiers alone
+    rows = stage(_halves(rows), "rep-hot", into=into)
+    while not rows.isEmpty():
         keyed = rows.withColumn("i", F.expr(f"xxhash64(h, a, substring(ctx, hi - a + 1, {LENGTH} - (b - a)))"))
-        keyed = stage(keyed.join(_twice(keyed, ["i"], "rep-in", into), "i").withColumn("whole", F.expr("lo <= a AND hi >= b"))
-                      .withColumn("w", F.expr(f"CASE WHEN whole THEN substring(ctx, hi - b + 1, {LENGTH} + b - a) END")),
-                      "rep-live", into=into)
-        shared = _twice(keyed.where("whole"), ["i", "w"], "rep-out", into).withColumn("s", F.lit(True))
-        keyed = stage(keyed.join(shared, ["i", "w"], "left"), "rep-round", into=into)
-        done = keyed.where("s AND open").selectExpr("k", "p", "a AS lo", "b AS hi")
-        found = done if found is None else found.union(done)
+        keys = stage(keyed.groupBy("i").agg(
+            F.expr(f"min({_PLACE})").alias("x"), F.expr(f"max({_PLACE})").alias("y"), F.count("*").alias("n"))
+            .where("x <> y").select("i", (F.col("n") > LOCAL_BUCKET).alias("big")), "rep-in", into=into)
+        keyed = stage(keyed.drop("h").join(keys, "i").withColumnRenamed("i", "h"), "rep-live", into=into)
+        small = small.unionByName(keyed.where("NOT big").drop("big"))
+        keyed = keyed.where("big").drop("big").withColumn(
+            "w", F.expr(f"CASE WHEN lo <= a AND hi >= b THEN substring(ctx, hi - b + 1, {LENGTH} + b - a) END"))
+        shared = _twice(keyed.where("w IS NOT NULL"), ["h", "w"], "rep-out", into).withColumn("s", F.lit(True))
+        keyed = stage(keyed.join(shared, ["h", "w"], "left"), "rep-round", into=into)
+        found = found.union(keyed.where("s AND open").selectExpr("k", "p", "a AS lo", "b AS hi"))
         left = keyed.where("s IS NULL").unionByName(
-            keyed.where("s").withColumn("open", F.lit(False)).dropDuplicates(["i", "w"]))
-        half = F.expr("(a + b) DIV 2").cast("int")
-        rows = stage(left.where("a < b").select(
-            "k", F.col("i").alias("h"), "p", "lo", "hi", "open", "ctx", F.explode(F.array(
-                F.struct(F.col("a"), half.alias("b")),
-                F.struct((half + 1).alias("a"), F.col("b")))).alias("r"))
-            .select("k", "h", "p", "lo", "hi", "open", "ctx", "r.a", "r.b").where("lo <= b AND hi >= a"), "rep-half", into=into)
-        level //= 2
-    return found
+            keyed.where("s").withColumn("open", F.lit(False)).dropDuplicates(["h", "w"]))
+        rows = stage(_halves(left.where("a < b")), "rep-half", into=into)
+    return found, small
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
@@ -224,11 +232,10 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
         .join(copies.select("k", "id"), "k"), "rep-wanted", into=held).withColumnRenamed("id", "first")
     near = texts.join(wanted, "k").where(F.col("id").eqNullSafe(F.col("first")))
     ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx", 100, held)
-    cold = ctx.where("NOT hot").select("h", "k", "p", "lo", "hi", "open", "ctx").repartition("h").sortWithinPartitions("h")
-    ranges = settled.union(cold.mapInPandas(_refine_local, _RANGE))
-    hot = _refine_hot(ctx.where("hot"), held)
-    if hot is not None:
-        ranges = ranges.union(hot)
+    ctx = ctx.select("h", "k", "p", "lo", "hi", "open", "ctx", F.lit(0).alias("a"), F.lit(SPAN - 1).alias("b"), "hot")
+    found, small = _refine_hot(ctx.where("hot").drop("hot"), held)
+    local = ctx.where("NOT hot").drop("hot").unionByName(small).repartition("h").sortWithinPartitions("h", "a")
+    ranges = settled.union(local.mapInPandas(_refine_local, _RANGE)).union(found)
     spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {LENGTH} AS e")
     spans = spans.union(copies.where("n > 1").select("k", F.lit(0).cast("long"), "size"))
     # one number a range: a text of few distinct bytes has as many ranges as bytes
