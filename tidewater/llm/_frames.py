@@ -40,25 +40,27 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternating large-star / small-star: each round is two aggregations by node (with
     map-side combine) and two joins, written out as a shared table.  The number of rounds
     is logarithmic in the longest path.  No group is collected; a node with very many
-    neighbours is only ever a join key, which AQE splits."""
+    neighbours is only ever a join key.  The aggregates are written out before they are
+    joined, so both sides of a join are plain exchanges and AQE can split such a key."""
     pairs = stage(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                   .distinct(), "cc-edges")
     nodes = stage(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "cc-nodes")
-    before = None
+    before, held = None, []
     for i in range(max_rounds):
         both = pairs.select(F.col("a").alias("u"), F.col("b").alias("v")).union(pairs.select("b", "a"))
-        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        low = stage(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")), f"cc-low-{i}", into=held)
         # large-star: a node's larger neighbours are linked to its smallest neighbour
         large = (both.where("v > u").join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b"))
                  .where("a <> b").distinct())
-        large = stage(large, f"cc-large-{i}")
+        large = stage(large, f"cc-large-{i}", into=held)
         # small-star: here every edge is (smaller, larger); smaller neighbours meet at their least
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
+        least = stage(large.groupBy("b").agg(F.min("a").alias("m")), f"cc-least-{i}", into=held)
         small = (large.join(least, "b").select(F.explode(F.array(
             F.struct(F.col("m").alias("x"), F.col("a").alias("y")),
             F.struct(F.col("m").alias("x"), F.col("b").alias("y")))).alias("e"))
             .select(F.col("e.x").alias("a"), F.col("e.y").alias("b")).where("a <> b").distinct())
         pairs = stage(small, f"cc-small-{i}")
+        discard(pairs.sparkSession, held)
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
