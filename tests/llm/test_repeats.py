@@ -45,7 +45,7 @@ def corpus(seed=1):
     return list(enumerate(docs))
 
 
-@pytest.mark.parametrize("local", [1000, 12, 3])
+@pytest.mark.parametrize("local", [3000, 12, 3])
 def test_equals_brute_force(spark, monkeypatch, local, tmp):
     monkeypatch.setattr(R, "LOCAL_BUCKET", local)
     rows = corpus(local)

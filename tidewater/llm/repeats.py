@@ -48,7 +48,7 @@ SPAN = 256                    # start offsets per window choice; q + SPAN - 1 =
 Q = LENGTH - SPAN + 1
 OUTER = LENGTH + SPAN - 1
 PIECE = 1 << 18               # bytes hashed at a time in a task
-LOCAL_BUCKET = 1000           # rows of a bucket refined inside one task
+LOCAL_BUCKET = 3000           # rows of a bucket refined inside one task (about 2 MB)
 
 _ANCHOR = "k long, h long, o long, p long, lo int, hi int"
 
