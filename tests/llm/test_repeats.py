@@ -81,3 +81,26 @@ def test_drop_repeats_keeps_columns(spark):
     got = {r.doc_id: r for r in R.drop_repeats(docs).collect()}
     assert R.drop_repeats(docs).columns == docs.columns
     assert got[1].text == "tail" and got[1].n_chars == 4 and got[2].text == "head" and got[3].text is None
+
+
+def test_work_does_not_grow_with_exact_copies(spark, monkeypatch):
+    base = corpus(3)[3][1]
+    near = base[:700] + "#" + base[701:]
+    write, seen = R.stage, {}
+
+    def counted(df, name, *args, **kw):
+        out = write(df, name, *args, **kw)
+        marks = F.sum(F.size("marks")) if "marks" in out.columns else F.count("*")
+        seen.setdefault(name, []).append(out.agg(marks).first()[0])
+        return out
+    monkeypatch.setattr(R, "stage", counted)
+    work = {}
+    for copies in (2, 40):
+        rows = [(i, base) for i in range(copies)] + [(1000, near), (1001, "alone " + base[200:900])]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        got = sorted((r.id, bytes(r.t), R.merge(r.spans)) for r in R.removed(docs).collect())
+        digest = [(i, len(t), sum(e - s for s, e in x), len(x), hashlib.sha256(R.cut(t, x)).hexdigest()) for i, t, x in got]
+        assert digest == brute([(i, t.encode()) for i, t in rows])
+        R.drop_repeats(docs).count()
+        work[copies], seen = seen, {}
+    assert work[2]["rep-ctx"][0] > 0 and work[2] == work[40]

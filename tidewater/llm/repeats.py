@@ -18,7 +18,8 @@ first ``LENGTH`` bytes with another suffix: bucket-pointer refinement down to th
   compare bytes: a bucket of up to ``LOCAL_BUCKET`` rows is refined to the end in the task
   that holds it, a larger one by further Spark rounds, with the same rows as a result.
 
-Anchors are about 1/128 of the bytes, so a round shuffles identifiers, not texts.
+Exact copies are merged first: all rounds run on one row per distinct text.  Anchors are
+about 1/128 of the bytes, so a round shuffles identifiers, not texts.
 Identifiers are 64-bit; settling needs two to agree, or the bytes themselves.
 
 Defined results: null text counts as empty; texts under ``LENGTH`` bytes keep all; a
@@ -205,10 +206,14 @@ def _refine_hot(rows: DataFrame, into: list) -> tuple[DataFrame, DataFrame]:
 
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
-    """texts: (id, k, t binary) with k = xxhash64 of the text.  Returns (k, spans), one row per
+    """texts: (k, t binary) with k = xxhash64 of the text.  Returns (k, spans), one row per
     text: the byte ranges covered by repeated strings, packed and unmerged (see ``merge``)."""
     held: list = []
-    marks = stage(texts.where(F.octet_length("t") >= LENGTH).select("k", "t").mapInPandas(_anchors, _ANCHOR), "rep-anchors", into=held)
+    # copies of a text are one row from here on: marks, buckets and contexts do not grow with them
+    texts = stage(texts.where(F.octet_length("t") >= LENGTH).groupBy("k").agg(
+        F.count("*").alias("n"), F.octet_length(F.first("t")).cast("long").alias("size"), F.first("t").alias("t")),
+        "rep-texts", into=held)
+    marks = stage(texts.select("k", "t").mapInPandas(_anchors, _ANCHOR), "rep-anchors", into=held)
     marks = stage(marks.join(_twice(marks, ["h"], "rep-first", held), "h"), "rep-buckets", into=held)
     whole = marks.where("o <> 0")
     shared = _twice(whole, ["h", "o"], "rep-outer", held).withColumn("s", F.lit(True))
@@ -224,20 +229,16 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     rows = stage(undecided.union(partners), "rep-rows", into=held)
     sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BUCKET).alias("hot")), "rep-sizes", into=held)
 
-    copies = stage(texts.where(F.octet_length("t") >= LENGTH)
-                   .groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("id"),
-                                     F.min(F.octet_length("t")).cast("long").alias("size")), "rep-copies", into=held)
     wanted = stage(rows.join(sizes, "h").groupBy("k").agg(
-        F.collect_list(F.struct("h", "p", "lo", "hi", "open", "hot")).alias("marks"))
-        .join(copies.select("k", "id"), "k"), "rep-wanted", into=held).withColumnRenamed("id", "first")
-    near = texts.join(wanted, "k").where(F.col("id").eqNullSafe(F.col("first")))
+        F.collect_list(F.struct("h", "p", "lo", "hi", "open", "hot")).alias("marks")), "rep-wanted", into=held)
+    near = texts.join(wanted, "k")
     ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx", 100, held)
     ctx = ctx.select("h", "k", "p", "lo", "hi", "open", "ctx", F.lit(0).alias("a"), F.lit(SPAN - 1).alias("b"), "hot")
     found, small = _refine_hot(ctx.where("hot").drop("hot"), held)
     local = ctx.where("NOT hot").drop("hot").unionByName(small).repartition("h").sortWithinPartitions("h", "a")
     ranges = settled.union(local.mapInPandas(_refine_local, _RANGE)).union(found)
     spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {LENGTH} AS e")
-    spans = spans.union(copies.where("n > 1").select("k", F.lit(0).cast("long"), "size"))
+    spans = spans.union(texts.where("n > 1").select("k", F.lit(0).cast("long"), "size"))
     # one number a range: a text of few distinct bytes has as many ranges as bytes
     packed = F.shiftleft("s", 32).bitwiseOR(F.col("e") - F.col("s"))
     found = stage(spans.groupBy("k").agg(F.collect_set(packed).alias("spans")), "rep-spans")
@@ -273,7 +274,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per row of ``docs``: id, t (bytes, whole), spans (packed removed ranges,
     unmerged, null if none)."""
     texts = _texts(docs, id_col, text_col)
-    return texts.join(repeated_spans(texts), "k", "left").select("id", "t", "spans")
+    return texts.join(repeated_spans(texts.select("k", "t")), "k", "left").select("id", "t", "spans")
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -295,7 +296,7 @@ def drop_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n_ch
     rows and other columns stay.  A character that a cut leaves in part is dropped."""
     names = docs.columns
     t = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    spans = repeated_spans(_texts(docs.withColumn("__id", F.lit(None).cast("long")), "__id", text_col))         .select(F.col("k").alias("__k"), F.col("spans").alias("__spans"))
+    spans = repeated_spans(docs.select(F.xxhash64(t).alias("k"), t.alias("t"))).select(F.col("k").alias("__k"), F.col("spans").alias("__spans"))
     kept = _kept_text(F.col(text_col), F.col("__spans"))
     out = docs.withColumn("__k", F.xxhash64(t)).join(spans, "__k", "left") \
         .withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(kept))
