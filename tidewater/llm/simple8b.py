@@ -241,7 +241,8 @@ class ByteBpe:
         for w in words:
             ids = old(w)
             if ids is not None:
-                out[w] = cache[w] = ids
+                out[w] = ids
+                cache.keep(w, ids)
                 continue
             new[w] = own = split(w)
             for p in own:
