@@ -7,13 +7,15 @@
    insults, writing patterns and voters for absence, each voter says toxic, clean or nothing
    about each document.  One pass over all texts makes the votes and the terms found.
 3. Label model.  Votes are counted by pattern over all documents.  Expectation-maximisation
-   (Spark aggregates over the patterns) estimates the accuracy of each voter without labels;
-   the expected within-class covariances give the correlations between voters, and correlated
-   voters share their weight.  The result is a posterior for each pattern of votes.
+   (Spark aggregates over the patterns) estimates the accuracy of each voter, half supervised:
+   the labelled sample of step 1 gives the starting accuracies, and each round takes the mean
+   of a voter's accuracy there and its expected accuracy over all rows.  The expected
+   within-class covariances give the correlations between voters, and correlated voters share
+   their weight.  The result is a posterior for each pattern of votes.
 4. Classifier.  A linear classifier (``pyspark.ml`` logistic regression, all documents) is
    trained on the posterior labels, with the terms found as inputs.  Its probability is the score.
 
-Labels are used in step 1 only and never from held-out rows; labels, language, source and
+Labels are used in steps 1 and 3 and never from held-out rows; labels, language, source and
 id are never inputs of a score.
 
 Defined results: null and empty texts get the classifier's score of a text without terms;
