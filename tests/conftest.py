@@ -27,7 +27,3 @@ def spark():
 def tmp(spark):
     from tidewater.session import work_dir
     return work_dir(spark, "test")
-
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"

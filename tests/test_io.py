@@ -7,7 +7,7 @@ from tidewater.sources.files import describe_table, list_objects, read_csv, read
 from tidewater.schemas import raw_schema
 from tidewater.streaming.facets import live_facets
 
-from conftest import SF001
+from tests.paths import SF001
 
 
 def test_csv_round_trip_and_listing(spark, tmp):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tidewater.operators import metrics, split
 from tidewater.operators.split import key_hash60
 
-from conftest import SF01
+from tests.paths import SF01
 
 
 def test_split_exact_counts_and_brute_force(spark):

@@ -8,7 +8,7 @@ from tidewater.sinks.writers import write_messages
 from tidewater.sources.files import read_lake
 from tidewater.streaming.ingest import run_ingest
 
-from conftest import SF001
+from tests.paths import SF001
 
 
 def _cfg(wd, **kw):

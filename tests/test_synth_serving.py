@@ -8,7 +8,7 @@ from tidewater.plans import standins as S
 from tidewater.sources.messages import paced_source
 from tidewater.streaming.producer import synth_messages
 
-from conftest import SF001, SF01
+from tests.paths import SF001, SF01
 
 
 def test_copula_bounds_and_rank_correlation(spark):
