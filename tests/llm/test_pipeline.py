@@ -4,9 +4,9 @@ import numpy as np
 
 import corpus_pipeline as P
 from tidewater.llm import mixing, pieces, repeats, simhash, toxicity
-from test_mixing import water_fill
-from test_repeats import brute as repeats_brute
-from test_simhash import brute_components
+from .test_mixing import water_fill
+from .test_repeats import brute as repeats_brute
+from .test_simhash import brute_components
 
 
 def _docs():
