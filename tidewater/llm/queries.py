@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, mixing, pieces, quality, repeats, simhash, simple8b, toxicity, vectors, winnow
+from . import bpe, chat, mixing, pieces, quality, repeats, simhash, simple8b, toxicity, vectors, winnow
 
 QUERIES = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_toxicity_weak": toxicity.op8_toxicity_weak,
     "op9_suffix_repeats": repeats.op9_suffix_repeats,
     "op10_collision_counting": vectors.op10_collision_counting,
+    "op13_byte_bpe": bpe.op13_byte_bpe,
 }
 
 ORACLE = {
