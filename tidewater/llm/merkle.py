@@ -234,7 +234,8 @@ def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, id_col: str = "d
     rows = docs.select(group_key(F.col(group_col)).alias("key"), F.col(id_col).cast("long").alias("id"),
                        leaf_digest([F.col(c) for c in columns]).alias("digest"),
                        (F.lit(None).cast("string") if other is None else other).alias("other"))
-    rows = rows.withColumn("tag", F.col("id").cast("string"))
+    # texts are read and hashed once; sampling and sorting the ranges then read digests
+    rows = stage(rows.withColumn("tag", F.col("id").cast("string")), "merkle-digests", 10_000)
     lower = forest(rows, ["id", "digest"], "merkle-docs", height)  # nulls first
     subroots = lower.roots.select(F.lit("").alias("key"), F.col("root").alias("digest"), F.col("key").alias("tag"),
                                   F.lit(None).cast("string").alias("other"))
