@@ -39,7 +39,6 @@ TEXTS = ["", "Hello world", " lead", "trail ", " ", "\n", "a\nb", "a \n b", "don
 def test_word_cache_equals_the_library():
     from tokenizers import Tokenizer
     lib = Tokenizer.from_file(S.default_tokenizer())
-    lib.encode_special_tokens = True
     bpe = S.ByteBpe(open(S.default_tokenizer(), encoding="utf-8").read(), 30)
     r = random.Random(4)
     alphabet = ["a", "b", "The", "é", "ß", "'s", "'", ".", ",", "1", "²", " ", " ", " ", "\n", "_", "-", "|", "日", "$$$", "ª"]
@@ -55,7 +54,6 @@ def test_query_equals_brute_force(spark, tmp, monkeypatch):
     monkeypatch.setattr(S, "FILE_IDS", 500)
     got = [tuple(r) for r in S.op5_simple8b(spark, tmp).orderBy("doc_id").collect()]
     lib = Tokenizer.from_file(S.default_tokenizer())
-    lib.encode_special_tokens = True
     want, at = [], 0
     for i, t, _ in sorted(rows):
         ids = lib.encode(t or "", add_special_tokens=False).ids + [0]

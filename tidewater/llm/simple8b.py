@@ -187,7 +187,7 @@ class ByteBpe:
     The file's pre-tokenizer always cuts before a blank between two other characters, before
     and after a line feed between two others, and between letters and punctuation marks, so
     a text's ids are those of its words, each with the blank before it.  Texts with any other
-    white space go to the library whole."""
+    white space, or with a special token's string, go to the library whole."""
 
     _marks = ".,;:!?*&%$#|"
 
@@ -195,7 +195,8 @@ class ByteBpe:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings of special tokens in a text become these tokens, as the library has it
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
         self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # the byte of a blank
@@ -266,7 +267,8 @@ class ByteBpe:
             if not t:
                 continue
             words = t.replace("\n", " \n").split(" ")
-            if len(t.split()) != len(words):  # other white space, or two of them together
+            # other white space, two of them together, or a special token
+            if len(t.split()) != len(words) or any(x in t for x in self.special):
                 whole.append(i)
                 continue
             words[0] = "\r" + words[0]
