@@ -87,3 +87,11 @@ def test_empty(spark, tmp):
     assert M.op7_mix_curriculum(spark, tmp).isEmpty()
     zero = spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")
     assert [(r.target, r.positions) for r in M.plan(zero).collect()] == [(0.0, []), (0.0, [])]
+
+
+def test_columns_of_any_name_come_back(spark):
+    from tidewater.llm import mixing
+    docs = spark.createDataFrame([(i, "some words here", "s", i, f"p{i}") for i in range(4)],
+                                 "doc_id long, text string, source string, key int, position string")
+    got = mixing.mix(docs).collect()
+    assert got and all(r.key == r.doc_id and r.position == f"p{r.doc_id}" for r in got)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewater.llm import simhash as S
 
@@ -73,3 +74,11 @@ def test_empty_and_null_ids(spark):
     assert sorted((x.id is None, x.component_id) for x in S.near_duplicates(rows).collect() if x.component_id) == \
         [(False, 4), (True, 4), (True, 4)]
     assert sorted(x.text for x in S.keep_one(rows).collect()) == ["a b c d", "q w e r t"]
+
+
+def test_columns_of_any_name_come_back(spark):
+    from tidewater.llm import simhash
+    docs = spark.createDataFrame([(1, "a b c d", 99, "x"), (2, "a b c d", 98, "y"), (3, "other words are here", 97, None)],
+                                 "doc_id long, text string, fp int, first string")
+    assert sorted((r.doc_id, r.fp, r.first) for r in simhash.keep_one(docs).select("doc_id", "fp", F.col("first")).collect()) \
+        == [(1, 99, "x"), (3, 97, None)]

@@ -20,6 +20,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def unused(names: list[str], name: str) -> str:
+    """``name``, made longer until no column is called so (Spark's names ignore case)."""
+    taken = {n.lower() for n in names}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def stage(df: DataFrame, name: str, batch_rows: int = BATCH_ROWS, into: list | None = None) -> DataFrame:
     """Write ``df`` as Parquet under ``spark.checkpoint.dir`` and read it back: cuts the
     lineage with files that all executors share, so a lost executor costs no rework.

@@ -24,7 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._frames import WORDS, ordered, read, stage
+from ._frames import WORDS, ordered, read, stage, unused
 
 MAX_REPEATS = 3
 #: Knots (time, weight) of the schedules; sources take them in turn.  The integrals are 5, 2, 1:
@@ -116,10 +116,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         schedules=SCHEDULES, max_repeats: int = MAX_REPEATS) -> DataFrame:
     """``docs``, each row as often as the mix takes it, sorted by training position; all columns."""
     names = docs.columns
-    same = Window.partitionBy("__key").orderBy("__key")  # equal rows only; any of them is as good
+    key, n, at, position = (unused(names, x) for x in ("key", "n", "at", "position"))
+    same = Window.partitionBy(key).orderBy(key)  # equal rows only; any of them is as good
     planned = plan(docs, id_col, source_col, text_col, schedules, max_repeats) \
-        .select(F.col("key").alias("__key"), F.col("positions").alias("__at"))
-    planned = planned.withColumn("__n", F.row_number().over(same))
-    rows = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(text_col))).withColumn("__n", F.row_number().over(same))
-    out = rows.join(planned, ["__key", "__n"]).withColumn("__position", F.explode("__at"))
-    return out.repartitionByRange("__position", "__key").sortWithinPartitions("__position", "__key").select(*names)
+        .select(F.col("key").alias(key), F.col("positions").alias(at))
+    planned = planned.withColumn(n, F.row_number().over(same))
+    rows = docs.withColumn(key, F.xxhash64(F.col(id_col), F.col(text_col))).withColumn(n, F.row_number().over(same))
+    out = rows.join(planned, [key, n]).withColumn(position, F.explode(at))
+    return out.repartitionByRange(position, key).sortWithinPartitions(position, key).select(*names)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from ._frames import components, read, stage
+from ._frames import components, read, stage, unused
 
 RADIUS = 2
 FAMILIES = 4                  # of 64 / FAMILIES bits each; RADIUS + 2, so that two stay untouched
@@ -145,8 +145,9 @@ def op6_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` without the documents that have a smaller id in their group; all columns."""
     names = docs.columns
-    marked = stage(docs.withColumn("__fp", fingerprint_udf(shingle)(F.col(text_col))), "sim-docs")
-    found = groups(marked.select(F.col(id_col).alias("id"), F.col("__fp").alias("fp"))) \
-        .select(F.col("fp").alias("__fp"), F.col("component_id").alias("__first"))
-    return (marked.join(found, "__fp").where(F.col(id_col).eqNullSafe(F.col("__first")))
-            .dropDuplicates(["__fp", id_col]).select(*names))
+    fp, first = unused(names, "fp"), unused(names, "first")
+    marked = stage(docs.withColumn(fp, fingerprint_udf(shingle)(F.col(text_col))), "sim-docs")
+    found = groups(marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp"))) \
+        .select(F.col("fp").alias(fp), F.col("component_id").alias(first))
+    return (marked.join(found, fp).where(F.col(id_col).eqNullSafe(F.col(first)))
+            .dropDuplicates([fp, id_col]).select(*names))
