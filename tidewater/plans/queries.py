@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.parse import parse_messages
@@ -595,6 +595,43 @@ def q_tune(spark, sf_dir):
     return trials.withColumn("best_held_out_accuracy", F.lit(float(held["accuracy"])))
 
 
+from tidewater.operators import perceptron as MB  # noqa: E402
+
+MLP_BATCH = 64
+
+
+@register("mlp_epochs", f"""
+SELECT CAST(e AS INTEGER) AS epoch, CAST(ceil(n / {MLP_BATCH}.0) AS INTEGER) AS steps, n AS rows, true AS loss_falls,
+       CASE WHEN e = 3 THEN true END AS beats_majority, CASE WHEN e = 3 THEN n END AS scored, CASE WHEN e = 3 THEN classes END AS classes
+FROM (SELECT count(*) AS n, count(DISTINCT label) AS classes FROM embeddings WHERE label IS NOT NULL), range(1, 4) t(e)
+""")
+def q_mlp_epochs(spark, sf_dir):
+    """64 -> 128 -> 10 perceptron, ReLU and log-softmax, three epochs of Adam on batches of 64: the
+    epoch table, and how the last model scores all rows."""
+    e = S.table(spark, sf_dir, "embeddings")
+    model, history = MB.train_perceptron(e, 10, batch_size=MLP_BATCH, learning_rate=0.005)
+    scored = prep.materialize(MB.predict(model, e).select(F.col("label").cast("double").alias("label"), "prediction"))
+    share = scored.groupBy("label").agg(F.count("*").alias("n")).agg(
+        (F.max("n") / F.sum("n")).alias("majority"), F.sum("n").alias("scored"), F.count("*").alias("classes"))
+    met = metrics.classification_metrics(metrics.confusion(scored)).select("accuracy").withColumnRenamed("accuracy", "reached").join(share)  # one-row tables
+    before = F.lag("mean_loss").over(Window.orderBy("epoch"))  # a row per epoch
+    last = F.col("epoch") == MB.EPOCHS
+    return history.withColumn("loss_falls", F.coalesce(F.col("mean_loss") < before, F.lit(True))).join(met).select(
+        "epoch", "steps", "rows", "loss_falls", F.when(last, F.col("reached") > F.col("majority")).alias("beats_majority"),
+        F.when(last, F.col("scored")).alias("scored"), F.when(last, F.col("classes")).alias("classes"))
+
+
+@register("tune_minibatch")
+def q_tune_minibatch(spark, sf_dir):
+    """Seeded search over learning rate x batch size, two trials at a time; the best model's
+    accuracy on the held-out rows is given with every trial."""
+    e = split.split_hash(S.table(spark, sf_dir, "embeddings"), "vec_id", 0.2, 42)
+    trials, _, best = MB.tune_perceptron(e.where(~F.col("is_test")), 10)
+    held = MB.predict(best, e.where(F.col("is_test"))).select(F.col("label").cast("double").alias("label"), "prediction")
+    row = metrics.classification_metrics(metrics.confusion(held)).first()
+    return trials.withColumn("best_held_out_accuracy", F.lit(float(row["accuracy"])))
+
+
 # ---------------------------------------------------------------- synthesis (rows-only checks)
 
 from tidewater.operators import synth  # noqa: E402
