@@ -95,8 +95,37 @@ def test_dedupe_keeps_every_broken_message(spark, tmp):
     q = _run(spark, cfg, dedupe_within="1 hour")
     assert read_lake(spark, cfg.lake_path).count() == 1000
     assert spark.read.parquet(f"{cfg.dead_letter_path}/quarantine").count() == 4
-    from tidewater.streaming.ingest import late_rows
-    assert late_rows(q) == 0
+    rejected = spark.read.parquet(f"{cfg.dead_letter_path}/rejected")
+    assert q.exception() is None
+    assert rejected.count() == 1000 == rejected.select("record_id").distinct().count()   # repeats, most of them late
+    assert rejected.where("raw_value IS NULL OR outcome NOT IN ('duplicate', 'late')").isEmpty()
+
+
+def _messages(spark, *rows):
+    return spark.createDataFrame([(str(i), f'{{"batch_number": 1, "record_id": {i}, "timestamp": "{t}", "data": {{"k": 1}}}}') for i, t in rows],
+                                 "key string, value string")
+
+
+def test_late_rows_and_repeats_are_kept(spark, tmp):
+    cfg = _cfg(tmp, source_format="topic", starting_offsets="earliest")
+
+    def run(*rows):
+        write_messages(_messages(spark, *rows), "topic", path=cfg.source_path)
+        q = run_ingest(spark, cfg, fields=["k"], int_fields=["k"], available_now=True, dedupe_within="1 hour")
+        q.awaitTermination()
+
+    def rejected():
+        return sorted((r.record_id, r.outcome) for r in spark.read.parquet(f"{cfg.dead_letter_path}/rejected").collect())
+    run((1, "2024-01-01T00:00:00"), (2, "2024-01-02T00:00:00"), (2, "2024-01-02T00:00:00"))
+    assert rejected() == [(2, "duplicate")]
+    run((3, "2024-01-01T22:59:59"), (4, "2024-01-01T23:00:00"),      # the watermark is at 23:00
+        (1, "2024-01-01T00:00:00"),                                  # its state has ended
+        (2, "2024-01-02T00:00:00"))                                  # still held
+    assert rejected() == [(1, "late"), (2, "duplicate"), (2, "duplicate"), (3, "late")]
+    run((5, "2024-01-03T00:00:00"))
+    run((2, "2024-01-03T00:30:00"), (2, "2024-01-03T00:31:00"))      # a reused id, after its time: new, then a repeat
+    assert rejected() == [(1, "late"), (2, "duplicate"), (2, "duplicate"), (2, "duplicate"), (3, "late")]
+    assert sorted(r.record_id for r in read_lake(spark, cfg.lake_path).collect()) == [1, 2, 2, 4, 5]
 
 
 def test_missing_dead_letter_folder_rejected(spark, tmp):

@@ -397,6 +397,7 @@ from tidewater.config import Config  # noqa: E402
 from tidewater.session import JIT_SIZED_CODEGEN, session_conf, work_dir  # noqa: E402
 from tidewater.sinks.writers import write_lake, write_messages  # noqa: E402
 from tidewater.sources.files import read_lake  # noqa: E402
+from tidewater.sources.messages import read_messages  # noqa: E402
 from tidewater.streaming.ingest import run_ingest  # noqa: E402
 
 
@@ -449,6 +450,56 @@ def q_ingest_quarantine(spark, sf_dir):
         F.col("ids").alias("good"), (F.col("sent") - F.col("good") - F.col("quarantined")).alias("duplicates"), "quarantined")
 
 
+_REJECTS_SQL = """
+WITH e AS (SELECT event_id AS i, epoch_ms(ts) AS t FROM events),
+one AS (SELECT * FROM e WHERE i % 13 <> 0),
+two AS (SELECT *, i % 13 <> 0 AS again FROM e WHERE i % 13 = 0 OR i % 11 = 0),
+w AS (SELECT max(t) - 86400000 AS w FROM one WHERE i % 7 <> 0),
+m AS (SELECT 'good' AS outcome FROM one WHERE i % 7 <> 0
+      UNION ALL SELECT 'broken' FROM one WHERE i % 7 = 0
+      UNION ALL SELECT CASE WHEN i % 7 = 0 THEN 'broken' WHEN again AND t + 86400000 > w THEN 'duplicate'
+                            WHEN t < w THEN 'late' ELSE 'good' END FROM two, w)
+SELECT outcome, count(*) AS n FROM m GROUP BY outcome
+"""
+
+
+@register("ingest_rejects", _REJECTS_SQL)
+def q_ingest_rejects(spark, sf_dir):
+    """Two sends to a topic, each ingested by the same stream with a day of de-duplication: the second
+    holds repeats and rows that were kept back.  Where every message went, by outcome."""
+    wd = work_dir(spark, "rejects")
+    sent = S.event_messages(spark, sf_dir, keep=("event_id",))
+    sent = sent.withColumn("value", F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("broken "), "key")).otherwise(F.col("value")))
+    held = F.col("event_id") % 13 == 0
+    cfg = Config(source_format="topic", source_path=f"{wd}/topic", starting_offsets="earliest", lake_path=f"{wd}/lake",
+                 serving_path=f"{wd}/serving", dead_letter_path=f"{wd}/dead", checkpoint_path=f"{wd}/checkpoint")
+    for name, part in (("one", sent.where(~held)), ("two", sent.where(held | (F.col("event_id") % 11 == 0)))):
+        for _ in range(2):                                          # each send is repeated, and counts once
+            write_messages(part, "topic", path=cfg.source_path, txn=name)
+        run_ingest(spark, cfg, fields=S.EVENT_FIELDS, int_fields=S.EVENT_INT_FIELDS, available_now=True,
+                   dedupe_within="1 day").awaitTermination()
+    good = read_lake(spark, cfg.lake_path).select(F.lit("good").alias("outcome"))
+    bad = spark.read.parquet(f"{cfg.dead_letter_path}/quarantine").select(F.lit("broken").alias("outcome"))
+    rejected = spark.read.parquet(f"{cfg.dead_letter_path}/rejected").select("outcome")
+    return good.union(bad).union(rejected).groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@register("topic_replay", """
+SELECT CAST(event_id AS VARCHAR) AS key, event_id AS record_id, CAST(floor(event_id / 10) + 1 AS INTEGER) AS batch_number FROM events
+""")
+def q_topic_replay(spark, sf_dir):
+    """All events through a topic, sent twice under one name, and read back by a stream from its start."""
+    wd = work_dir(spark, "replay")
+    for _ in range(2):
+        write_messages(S.event_messages(spark, sf_dir), "topic", path=f"{wd}/topic", txn="events")
+    q = (read_messages(spark, "topic", path=f"{wd}/topic", starting_offsets="earliest").writeStream.format("parquet")
+         .option("path", f"{wd}/read").option("checkpointLocation", f"{wd}/checkpoint").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.schema("key string, value string").parquet(f"{wd}/read")
+    return got.select("key", F.get_json_object("value", "$.record_id").cast("long").alias("record_id"),
+                      F.get_json_object("value", "$.batch_number").cast("int").alias("batch_number"))
+
+
 @register("lake_prune", _PARSED_SQL.replace("FROM events", "FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15'"))
 def q_lake_prune(spark, sf_dir):
     """Write the date/hour lake, then read it with a partition filter (pruned scan)."""

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.session import session_conf
+from tidewater.sources.topic import send
 
 # AQE coalesces a rebalance shuffle down to this floor per task.  The rebalance on
 # the partition columns already fixes one writer per hour (a hot hour is split), so
@@ -66,9 +67,13 @@ def write_serving(df: DataFrame, path: str | None, fmt: str = "parquet",
 def write_messages(df: DataFrame, fmt: str = "kafka", *, path: str | None = None,
                    topic: str | None = None, bootstrap_servers: str | None = None,
                    num_files: int | None = None, order_by: str | None = None,
-                   options: dict | None = None) -> None:
+                   options: dict | None = None, txn: str | None = None) -> None:
     """Message sink for ``key``/``value`` rows.  Kafka producer settings pass through
-    as ``kafka.*`` options (acks, retries, compression, in-flight limit)."""
+    as ``kafka.*`` options (acks, retries, compression, in-flight limit).  A ``topic`` takes
+    each ``txn`` once, so a repeated send adds nothing."""
+    if fmt == "topic":
+        send(df, path, txn)
+        return
     if fmt == "kafka":
         w = (df.select("key", "value").write.format("kafka")
              .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic))

@@ -2,14 +2,17 @@
 
 ``read_messages`` returns a streaming DataFrame with ``key`` and ``value`` columns.
 ``kafka`` needs the Kafka connector on the classpath (not bundled with PySpark);
-``text`` (one JSON envelope per line) and ``parquet`` (key/value columns) folders
-stand in for a topic in tests and backfills."""
+``topic`` is the library's own replayable topic (:mod:`tidewater.sources.topic`), with the
+same start and loss policies; ``text`` (one JSON envelope per line) and ``parquet``
+(key/value columns) folders serve backfills."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.sources.topic import register
+
 
 def read_messages(spark: SparkSession, fmt: str = "kafka", *, path: str | None = None,
                   topic: str | None = None, bootstrap_servers: str | None = None,
@@ -25,6 +28,12 @@ def read_messages(spark: SparkSession, fmt: str = "kafka", *, path: str | None =
         for k, v in (options or {}).items():
             r = r.option(k, v)
         return r.load().select("key", "value")
+    if fmt == "topic":
+        r = (r.format(register(spark)).option("startingOffsets", starting_offsets)
+              .option("failOnDataLoss", str(fail_on_data_loss).lower()))
+        if max_per_trigger:
+            raise ValueError("a topic's trigger reads all that is new; max_per_trigger is for files and Kafka")
+        return r.options(**(options or {})).load(path).select("key", "value")
     if max_per_trigger:
         r = r.option("maxFilesPerTrigger", max_per_trigger)
     for k, v in (options or {}).items():

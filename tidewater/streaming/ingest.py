@@ -1,10 +1,10 @@
 """Streaming ingest: messages -> parse -> quarantine -> dedupe of well-formed rows ->
 foreachBatch writing the serving table and the date/hour lake.
 
-No message is lost without a word: malformed rows go to ``dead_letter_path``, which is
-required; they never take part in the de-duplication.  With ``dedupe_within``, rows later
-than the watermark are dropped by Spark and counted in the query's progress
-(:func:`late_rows`); choose a delay that covers the producers' retries.
+No message is lost: malformed rows go to ``quarantine`` under ``dead_letter_path``, which is
+required, and never take part in the de-duplication.  With ``dedupe_within``, repeats of a record
+id and rows later than the watermark go to ``rejected`` there, by outcome and batch (see
+:mod:`tidewater.streaming.dedupe`).  So sent = lake + quarantine + rejected.
 
 Per micro-batch the batch is persisted once and unpersisted in ``finally`` (one read
 and one parse per batch, not one per action), empty batches are skipped with
@@ -28,6 +28,7 @@ from tidewater.functions.parse import parse_messages, split_quarantine
 from tidewater.schemas import FEATURES, INT_FIELDS
 from tidewater.sinks.writers import write_lake, write_serving
 from tidewater.sources.messages import read_messages
+from tidewater.streaming.dedupe import GOOD, mark_repeats, state_conf
 
 log = logging.getLogger(__name__)
 
@@ -41,22 +42,10 @@ def processed_stream(spark: SparkSession, cfg: Config, fields: Sequence[str] = F
     parsed = parse_messages(raw, fields=fields, int_fields=int_fields, keep_raw=True)
     if not dedupe_within:
         return parsed
-    # producer retries and reused ids: keep the first copy of a record id seen
-    # within the watermark; state is bounded by the watermark delay
-    # (watermarks need an LTZ timestamp; the NTZ event time is kept as is).
-    # Malformed rows have no id or time to compare, so all of them pass by.
+    # malformed rows have no id or time to compare, so all of them pass by
     good, bad = split_quarantine(parsed)
-    good = (good.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-                .withWatermark("_event_time", dedupe_within)
-                .dropDuplicatesWithinWatermark(["record_id"])
-                .drop("_event_time"))
-    return good.unionByName(bad)
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came later than the watermark and were dropped, over the progress
-    reports that the query still holds."""
-    return sum(int(s["numRowsDroppedByWatermark"]) for p in query.recentProgress for s in p["stateOperators"])
+    marked = mark_repeats(good, "record_id", "event_timestamp", dedupe_within)
+    return marked.unionByName(bad.withColumn("outcome", F.lit(None).cast("string")))
 
 
 def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
@@ -70,6 +59,13 @@ def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
             if b.isEmpty():
                 return
             good, bad = split_quarantine(b)
+            if "outcome" in b.columns:
+                rejected = good.where(F.col("outcome") != GOOD)
+                good = good.where(F.col("outcome") == GOOD).drop("outcome")
+                if not rejected.isEmpty():
+                    (rejected.select("raw_value", "record_id", "event_timestamp", "outcome", F.lit(batch_id).cast("long").alias("batch_id"))
+                     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                     .partitionBy("outcome", "batch_id").parquet(f"{cfg.dead_letter_path}/rejected"))
             good = good.drop("raw_value")
             serving = good.drop("processed_at", "date", "hour")
             if serving_cols:
@@ -121,4 +117,5 @@ def run_ingest(spark: SparkSession, cfg: Config, *, fields: Sequence[str] = FEAT
         w = w.queryName(query_name)
     w = w.trigger(availableNow=True) if available_now else w.trigger(
         processingTime=f"{cfg.trigger_seconds} seconds")
-    return w.start()
+    with state_conf(spark):                                 # the query keeps the settings it starts with
+        return w.start()

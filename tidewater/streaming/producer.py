@@ -25,7 +25,8 @@ def synth_messages(spark: SparkSession, model: CopulaModel, rows_per_batch: int
 
 def run_producer(spark: SparkSession, cfg: Config, model: CopulaModel, rows_per_batch: int = 10,
                  interval_ms: int = 2000, seed: int = 42, max_batches: int | None = None) -> StreamingQuery:
-    """Start the producer; messages go to Kafka (``cfg.source_format == 'kafka'``)
+    """Start the producer; messages go to Kafka (``cfg.source_format == 'kafka'``;
+    at least once: consumers de-duplicate by key), to a ``topic`` (each batch once)
     or to message files under ``cfg.source_path``.  With ``max_batches`` the first so many
     batches of ids are sent and later ones are empty; :func:`produce` also ends the query."""
     msgs = synth_messages(spark, model, rows_per_batch, interval_ms, seed)
@@ -35,7 +36,9 @@ def run_producer(spark: SparkSession, cfg: Config, model: CopulaModel, rows_per_
     def send(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        if cfg.source_format == "kafka":
+        if cfg.source_format == "topic":                    # a replayed batch keeps its name and counts once
+            write_messages(batch, "topic", path=cfg.source_path, txn=f"{cfg.topic}-{batch_id}")
+        elif cfg.source_format == "kafka":
             write_messages(batch, "kafka", topic=cfg.topic, bootstrap_servers=cfg.bootstrap_servers)
         else:
             # one folder per batch id: a replayed batch rewrites the same folder
