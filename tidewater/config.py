@@ -28,6 +28,8 @@ class Config:
     serving_path: str | None = None         # serving table location
     serving_format: str = "parquet"         # a search-index connector format may be named here
     serving_options: dict = field(default_factory=dict)
+    serving_key: str | None = None          # one serving row per key; lake and serving then are tables of snapshots
+    compact_every: int = 0                  # merge their batches after so many (0: by a job of its own)
     dead_letter_path: str | None = None     # required: malformed messages and failed batches
     checkpoint_path: str | None = None      # one per streaming query
     trigger_seconds: int = 5
@@ -53,6 +55,8 @@ class Config:
             lake_path=g("LAKE_PATH"),
             serving_path=g("SERVING_PATH"),
             serving_format=g("SERVING_FORMAT", "parquet"),
+            serving_key=g("SERVING_KEY"),
+            compact_every=int(g("COMPACT_EVERY", "0")),
             dead_letter_path=g("DEAD_LETTER_PATH"),
             checkpoint_path=g("CHECKPOINT_PATH"),
             trigger_seconds=int(g("TRIGGER_SECONDS", "5")),

@@ -395,6 +395,7 @@ def q_event_time_facets(spark, sf_dir):
 
 from tidewater.config import Config  # noqa: E402
 from tidewater.session import JIT_SIZED_CODEGEN, session_conf, work_dir  # noqa: E402
+from tidewater.sinks import tables  # noqa: E402
 from tidewater.sinks.writers import write_lake, write_messages  # noqa: E402
 from tidewater.sources.files import read_lake  # noqa: E402
 from tidewater.sources.messages import read_messages  # noqa: E402
@@ -500,6 +501,45 @@ def q_topic_replay(spark, sf_dir):
                       F.get_json_object("value", "$.batch_number").cast("int").alias("batch_number"))
 
 
+BATCHES = 6                   # micro-batches of the table queries
+
+
+@register("lake_snapshots", _PARSED_SQL)
+def q_lake_snapshots(spark, sf_dir):
+    """All events as micro-batches of a lake with snapshots, merged every second batch and one batch
+    written twice, read back through the newest snapshot."""
+    path = f"{work_dir(spark, 'snapshots')}/lake"
+    rows = prep.materialize(parsed_events(spark, sf_dir).drop("processed_at"))
+    for n in range(BATCHES):
+        for again in ([n, 0] if n == 3 else [n]):                   # batch 0 is replayed after it was merged
+            tables.write_batch(rows.where(F.col("record_id") % BATCHES == again), path, again, ["date"])
+        if n % 2:
+            tables.compact(spark, path, ["date"], fanout=2)
+            tables.vacuum(spark, path)
+    return _final_parsed(tables.read_table(spark, path))
+
+
+@register("serving_merge", """
+WITH e AS (SELECT event_id AS i, ts, user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)
+SELECT i AS record_id, CASE WHEN i % 5 = 0 THEN ts + INTERVAL 1 DAY ELSE ts END AS event_timestamp,
+       CAST(user_id AS VARCHAR) AS user_id, CAST(CASE WHEN i % 5 = 0 THEN k + 1000 ELSE k END AS VARCHAR) AS k FROM e
+""")
+def q_serving_merge(spark, sf_dir):
+    """A keyed serving table: all events in batches, every fifth one updated by a later batch, a third
+    of them sent again unchanged in between; one row per id is read back."""
+    path = f"{work_dir(spark, 'keyed')}/serving"
+    rows = parsed_events(spark, sf_dir).drop("processed_at", "date", "hour", "value")
+    rows = prep.materialize(serving.to_serving(rows, keyword_fields=["user_id", "k"]))
+    updated = rows.where(F.col("record_id") % 5 == 0).withColumn("k", (F.col("k").cast("int") + 1000).cast("string")) \
+        .withColumn("event_timestamp", F.col("event_timestamp") + F.expr("INTERVAL 1 DAY"))
+    sends = [rows.where(F.col("record_id") % BATCHES == n) for n in range(BATCHES)] + [rows.where(F.col("record_id") % 3 == 0), updated]
+    for n, send in enumerate(sends):
+        tables.write_batch(send, path, n)
+        if n in (1, 3, 6):
+            tables.compact(spark, path, key="record_id", order_by=["event_timestamp"], fanout=2)
+    return tables.read_table(spark, path, "record_id", ["event_timestamp"]).select("record_id", "event_timestamp", "user_id", "k")
+
+
 @register("lake_prune", _PARSED_SQL.replace("FROM events", "FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-15'"))
 def q_lake_prune(spark, sf_dir):
     """Write the date/hour lake, then read it with a partition filter (pruned scan)."""

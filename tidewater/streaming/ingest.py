@@ -9,6 +9,8 @@ id and rows later than the watermark go to ``rejected`` there, by outcome and ba
 Per micro-batch the batch is persisted once and unpersisted in ``finally`` (one read
 and one parse per batch, not one per action), empty batches are skipped with
 ``isEmpty()``, and both sinks write idempotently keyed on the batch id.  With
+``serving_key`` they are tables of snapshots (:mod:`tidewater.sinks.tables`): one serving row per
+key, and batches merged every ``compact_every`` ones.  With
 ``on_error="raise"`` a failing sink fails the query before the checkpoint commits,
 so a restart replays the batch; ``"isolate"`` writes the failed batch to a
 dead-letter folder and carries on."""
@@ -26,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidewater.config import Config
 from tidewater.functions.parse import parse_messages, split_quarantine
 from tidewater.schemas import FEATURES, INT_FIELDS
+from tidewater.sinks.tables import compact, write_batch
 from tidewater.sinks.writers import write_lake, write_serving
 from tidewater.sources.messages import read_messages
 from tidewater.streaming.dedupe import GOOD, mark_repeats, state_conf
@@ -53,6 +56,11 @@ def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
               ) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function writing both sinks (and dead letters)."""
 
+    def _to_table(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str], key: str | None) -> None:
+        write_batch(df, path, batch_id, partition_cols)
+        if cfg.compact_every and batch_id % cfg.compact_every == cfg.compact_every - 1:
+            compact(df.sparkSession, path, partition_cols, key, ["event_timestamp"] if key else ())
+
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -72,11 +80,15 @@ def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
                 serving = serving.select(*serving_cols)
             if serving_transform:
                 serving = serving_transform(serving)
-            sinks = [
-                ("serving", lambda: write_serving(serving, cfg.serving_path, cfg.serving_format,
-                                                  cfg.serving_options, batch_id)),
-                ("lake", lambda: write_lake(good, cfg.lake_path, batch_id=batch_id)),
-            ]
+            if cfg.serving_key:
+                sinks = [("serving", lambda: _to_table(serving, cfg.serving_path, batch_id, (), cfg.serving_key)),
+                         ("lake", lambda: _to_table(good, cfg.lake_path, batch_id, ("date", "hour"), None))]
+            else:
+                sinks = [
+                    ("serving", lambda: write_serving(serving, cfg.serving_path, cfg.serving_format,
+                                                      cfg.serving_options, batch_id)),
+                    ("lake", lambda: write_lake(good, cfg.lake_path, batch_id=batch_id)),
+                ]
             for name, fn in sinks:
                 try:
                     fn()
