@@ -2,7 +2,7 @@
 
 1. toxicity: documents that the weakly supervised classifier scores 0.5 or more go.
 2. simhash: one document of each group of near-duplicates stays, the one of smallest id.
-3. suffix_repeats: byte strings that occur more than once are cut out; documents stay.
+3. suffix_repeats: strings of REPEAT_BYTES bytes that occur more than once are cut out; documents stay.
 4. mixing: each document as often as the target weights take it, in training order.
 5. sentencepiece: the token ids of every document, with the round trip checked.
 
@@ -27,8 +27,13 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.keep_one(docs)
 
 
+#: Bytes of a repeated string that is cut out: a passage of 51 words of four letters and a blank
+#: has 255, so strings of 200 find such passages also where their ends differ.
+REPEAT_BYTES = 200
+
+
 def suffix_repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return repeats.drop_repeats(docs)
+    return repeats.drop_repeats(docs, length=REPEAT_BYTES)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import numpy as np
 
 import corpus_pipeline as P
-from tidewater.llm import mixing, pieces, repeats, simhash, toxicity
+from tidewater.llm import mixing, pieces, simhash, toxicity
 from .test_mixing import water_fill
 from .test_repeats import brute as repeats_brute
 from .test_simhash import brute_components
@@ -13,7 +13,7 @@ def _docs():
     r = random.Random(9)
     word = lambda: "".join(r.choice(["ba", "co", "di", "fu", "ge", "lo", "mi"]) for _ in range(r.randint(2, 4)))
     rows, labels = [], []
-    shared = " ".join(word() for _ in range(120))
+    shared = " ".join(word() for _ in range(51))
     for i in range(260):
         words = [word() for _ in range(r.randint(30, 90))]
         toxic = r.random() < 0.25
@@ -40,20 +40,20 @@ def test_pipeline_equals_its_stages_by_brute_force(spark, tmp):
     assert {i for i, _, t in labels if t} - {r[0] for r in left} and len(left) < len(rows)
     comp = brute_components([(r[0], simhash.fingerprint(r[1])) for r in left])
     left = [r for r in left if comp[r[0]] == r[0]]
-    cut = {x[0]: x[2] for x in repeats_brute([(r[0], (r[1] or "").encode()) for r in left])}
+    cut = {x[0]: x[2] for x in repeats_brute([(r[0], (r[1] or "").encode()) for r in left], P.REPEAT_BYTES)}
     assert sum(cut.values()) > 0
     seen = {}
     for r in left:
         t = (r[1] or "").encode()
-        for s in range(len(t) - repeats.LENGTH + 1):
-            seen[t[s:s + repeats.LENGTH]] = seen.get(t[s:s + repeats.LENGTH], 0) + 1
+        for s in range(len(t) - P.REPEAT_BYTES + 1):
+            seen[t[s:s + P.REPEAT_BYTES]] = seen.get(t[s:s + P.REPEAT_BYTES], 0) + 1
     texts = {}
     for r in left:
         t = (r[1] or "").encode()
         gone = np.zeros(len(t), bool)
-        for s in range(len(t) - repeats.LENGTH + 1):
-            if seen[t[s:s + repeats.LENGTH]] > 1:
-                gone[s:s + repeats.LENGTH] = True
+        for s in range(len(t) - P.REPEAT_BYTES + 1):
+            if seen[t[s:s + P.REPEAT_BYTES]] > 1:
+                gone[s:s + P.REPEAT_BYTES] = True
         texts[r[0]] = bytes(b for b, g in zip(t, gone) if not g).decode("utf-8", "ignore")
     sizes = {}
     for r in left:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from tidewater.llm import repeats as R
 
 
-def brute(docs):
-    """(id, bytes) rows -> {id: (n, removed, spans, sha)} by counting every 400-byte string."""
-    n, seen = R.LENGTH, {}
+def brute(docs, n=R.LENGTH):
+    """(id, bytes) rows -> {id: (n, removed, spans, sha)} by counting every string of n bytes."""
+    seen = {}
     for i, t in docs:
         for s in range(len(t) - n + 1):
             seen[t[s:s + n]] = seen.get(t[s:s + n], 0) + 1
@@ -50,16 +50,17 @@ def test_equals_brute_force(spark, monkeypatch, local, tmp):
     monkeypatch.setattr(R, "LOCAL_BUCKET", local)
     rows = corpus(local)
     spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp}/documents.parquet")
-    got = sorted(tuple(x) for x in R.op9_suffix_repeats(spark, tmp).collect())
-    assert got == brute([(i, t.encode()) for i, t in rows])
+    got = R.op9_suffix_repeats(spark, tmp).collect()
+    assert all(x.n_kept == x.n_bytes - x.n_removed for x in got)
+    assert sorted(tuple(x)[:5] for x in got) == brute([(i, t.encode()) for i, t in rows])
 
 
 def test_long_text_in_pieces(monkeypatch):
     import pandas as pd
     rows = [(0, (corpus(5)[7][1] * 3).encode())]
-    whole = pd.concat(R._anchors(iter([pd.DataFrame({"k": [0], "t": [rows[0][1]]})])))
+    whole = pd.concat(R._anchors(iter([pd.DataFrame({"k": [0], "t": [rows[0][1]]})]), R.depth(400)))
     monkeypatch.setattr(R, "PIECE", 700)
-    cut = pd.concat(R._anchors(iter([pd.DataFrame({"k": [0], "t": [rows[0][1]]})])))
+    cut = pd.concat(R._anchors(iter([pd.DataFrame({"k": [0], "t": [rows[0][1]]})]), R.depth(400)))
     starts = lambda d: sorted((p - x, p, h) for p, lo, hi, h in zip(d.p, d.lo, d.hi, d.h) for x in range(lo, hi + 1))
     assert starts(whole) == starts(cut)
 
@@ -104,3 +105,20 @@ def test_work_does_not_grow_with_exact_copies(spark, monkeypatch):
         R.drop_repeats(docs).count()
         work[copies], seen = seen, {}
     assert work[2]["rep-ctx"][0] > 0 and work[2] == work[40]
+
+
+@pytest.mark.parametrize("length", [200, 57, 2])
+def test_other_lengths_equal_brute_force(spark, length):
+    rows = corpus(11)[:30] if length > 2 else [(0, "abcxyab"), (1, "qrs"), (2, "tuvqr"), (3, "mm"), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = []
+    for r in R.removed(docs, length=length).collect():
+        t, runs = bytes(r.t), R.merge(r.spans)
+        got.append((r.id, len(t), sum(e - s for s, e in runs), len(runs), hashlib.sha256(R.cut(t, runs)).hexdigest()))
+    assert sorted(got) == brute([(i, t.encode()) for i, t in rows], length)
+
+
+def test_columns_of_any_name_come_back(spark):
+    t = "word " * 100
+    docs = spark.createDataFrame([(1, t, 99, "s"), (2, t, 98, None)], "doc_id long, text string, k int, spans string")
+    assert sorted((r.k, r.spans) for r in R.drop_repeats(docs).collect()) == [(98, None), (99, "s")]

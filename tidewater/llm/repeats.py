@@ -33,7 +33,9 @@ from __future__ import annotations
 import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import partial
 from itertools import groupby
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -42,24 +44,45 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ._bytes import gram_ids_pair, window_argmin
-from ._frames import discard, read, stage
+from ._frames import discard, read, stage, unused
+
+LENGTH = 400                  # bytes of a repeated string, where the caller names no other number
+
+
+class Depth(NamedTuple):
+    """How deep suffixes are compared: strings of ``length`` bytes, ``span`` start offsets for each
+    window choice."""
+
+    length: int
+    span: int
+
+    @property
+    def q(self) -> int:
+        return self.length - self.span + 1
+
+    @property
+    def outer(self) -> int:
+        return self.length + self.span - 1
+
+
+def depth(length: int) -> Depth:
+    if length < 2:
+        raise ValueError("a repeated string has two bytes at least")
+    return Depth(length, max(1, 16 * length // 25))
+
 
-LENGTH = 400
-SPAN = 256                    # start offsets per window choice; q + SPAN - 1 = LENGTH
-Q = LENGTH - SPAN + 1
-OUTER = LENGTH + SPAN - 1
 PIECE = 1 << 18               # bytes hashed at a time in a task
 LOCAL_BUCKET = 3000           # rows of a bucket refined inside one task (about 2 MB)
 
 _ANCHOR = "k long, h long, o long, p long, lo int, hi int"
 
 
-def _pieces(texts: pd.Series) -> Iterator[list[tuple[int, int, bytes]]]:
+def _pieces(texts: pd.Series, length: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Groups of (row, offset of the piece in its text, bytes) of about PIECE bytes."""
     group, size = [], 0
     for i, t in enumerate(texts):
-        for at in range(0, max(1, len(t) - LENGTH + 1), PIECE):
-            part = t[at: at + PIECE + LENGTH - 1] if len(t) > PIECE else t
+        for at in range(0, max(1, len(t) - length + 1), PIECE):
+            part = t[at: at + PIECE + length - 1] if len(t) > PIECE else t
             group.append((i, at, part))
             size += len(part)
             if size >= PIECE:
@@ -71,29 +94,29 @@ def _pieces(texts: pd.Series) -> Iterator[list[tuple[int, int, bytes]]]:
         yield group
 
 
-def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _anchors(batches: Iterator[pd.DataFrame], deep: Depth) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         keys = pdf["k"].to_numpy()
-        for group in _pieces(pdf["t"]):
+        for group in _pieces(pdf["t"], deep.length):
             buf = np.frombuffer(b"".join(g[2] for g in group), np.uint8)
             sizes = np.array([len(g[2]) for g in group])
             ends = np.cumsum(sizes)
             of = np.repeat(np.arange(len(group)), sizes)
-            near, far = gram_ids_pair(buf, Q, OUTER)
-            best = window_argmin(near, SPAN)
+            near, far = gram_ids_pair(buf, deep.q, deep.outer)
+            best = window_argmin(near, deep.span)
             if not len(best):
                 continue
             starts = np.arange(len(best))
-            at = np.where(starts + LENGTH <= ends[of[: len(best)]], best, -1)
+            at = np.where(starts + deep.length <= ends[of[: len(best)]], best, -1)
             first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
             last = np.concatenate((first[1:], [len(at)])) - 1
             own = at[first] >= 0
             a, b, p = first[own], last[own], at[first][own]
             g = of[p]
             begin = ends[g] - sizes[g]
-            whole = (p - (SPAN - 1) >= begin) & (p + LENGTH <= ends[g])
+            whole = (p - (deep.span - 1) >= begin) & (p + deep.length <= ends[g])
             outer = np.zeros(len(p), np.int64)  # 0: its outer string crosses an end of the text
-            outer[whole] = far[p[whole] - (SPAN - 1)].view(np.int64)
+            outer[whole] = far[p[whole] - (deep.span - 1)].view(np.int64)
             row = np.array([x[0] for x in group])[g]
             off = np.array([x[1] for x in group])[g]
             yield pd.DataFrame({"k": keys[row], "h": near[p].view(np.int64),
@@ -102,7 +125,7 @@ def _anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                                 "hi": (p - a).astype(np.int32)})
 
 
-def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _contexts(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
     """The bytes around each anchor that its ranges need, one row per anchor."""
     for pdf in batches:
         out = defaultdict(list)
@@ -110,7 +133,7 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for m in marks:
                 p, lo, hi = m["p"], m["lo"], m["hi"]
                 for c, v in (("k", key), ("h", m["h"]), ("p", p), ("lo", lo), ("hi", hi), ("open", m["open"]),
-                             ("hot", m["hot"]), ("ctx", text[p - hi: p - lo + LENGTH])):
+                             ("hot", m["hot"]), ("ctx", text[p - hi: p - lo + length])):
                     out[c].append(v)
         yield pd.DataFrame(out, columns=["k", "h", "p", "lo", "hi", "open", "hot", "ctx"])
 
@@ -118,20 +141,20 @@ def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 _CONTEXT = "k long, h long, p long, lo int, hi int, open boolean, hot boolean, ctx binary"
 
 
-def _refine(rows: list[tuple[int, int, int, int, bool, bytes]], a: int, b: int) -> Iterator[tuple[int, int, int, int]]:
+def _refine(rows: list[tuple[int, int, int, int, bool, bytes]], a: int, b: int, length: int) -> Iterator[tuple[int, int, int, int]]:
     """Refine one bucket over distances a..b.  rows: (k, p, lo, hi, open, ctx) where ctx
     holds the windows at distances lo..hi; yields (k, p, lo, hi) for settled open ranges."""
     inner = defaultdict(list)
     for r in rows:
         if r[2] <= b and r[3] >= a:
-            inner[r[5][r[3] - a: r[3] - b + LENGTH]].append(r)
+            inner[r[5][r[3] - a: r[3] - b + length]].append(r)
     for same in inner.values():
         if not any(r[4] for r in same) or all(r[:2] == same[0][:2] for r in same):
             continue
         outer, left = defaultdict(list), []
         for r in same:
             if r[2] <= a and r[3] >= b:
-                outer[r[5][r[3] - b: r[3] - a + LENGTH]].append(r)
+                outer[r[5][r[3] - b: r[3] - a + length]].append(r)
             else:
                 left.append(r)
         for group in outer.values():
@@ -142,11 +165,11 @@ def _refine(rows: list[tuple[int, int, int, int, bool, bytes]], a: int, b: int)
             left.append((*group[0][:4], False, group[0][5]))  # one stays as a partner
         if a < b:
             mid = (a + b) // 2
-            yield from _refine(left, a, mid)
-            yield from _refine(left, mid + 1, b)
+            yield from _refine(left, a, mid, length)
+            yield from _refine(left, mid + 1, b, length)
 
 
-def _refine_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _refine_local(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
     """Rows come sorted by bucket; a bucket may continue in the next batch."""
     def rows():
         for pdf in batches:
@@ -154,7 +177,7 @@ def _refine_local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     out: list[tuple[int, int, int, int]] = []
     for (_, a, b), bucket in groupby(rows(), key=lambda r: r[0]):
-        out.extend(_refine([r[1:] for r in bucket], a, b))
+        out.extend(_refine([r[1:] for r in bucket], a, b, length))
         if len(out) > 50_000:
             yield pd.DataFrame(out, columns=["k", "p", "lo", "hi"])
             out = []
@@ -180,7 +203,7 @@ def _halves(rows: DataFrame) -> DataFrame:
         .where("lo <= b AND hi >= a")
 
 
-def _refine_hot(rows: DataFrame, into: list) -> tuple[DataFrame, DataFrame]:
+def _refine_hot(rows: DataFrame, length: int, into: list) -> tuple[DataFrame, DataFrame]:
     """Rounds of ``_refine`` as Spark aggregates and joins, for buckets of any size: a round
     splits a bucket by the bytes that the halves of its range gain.  Returns what is settled
     (k, p, lo, hi), and the rows of buckets that have become small."""
@@ -188,14 +211,14 @@ def _refine_hot(rows: DataFrame, into: list) -> tuple[DataFrame, DataFrame]:
     # the first round was run on identifiers alone
     rows = stage(_halves(rows), "rep-hot", into=into)
     while not rows.isEmpty():
-        keyed = rows.withColumn("i", F.expr(f"xxhash64(h, a, substring(ctx, hi - a + 1, {LENGTH} - (b - a)))"))
+        keyed = rows.withColumn("i", F.expr(f"xxhash64(h, a, substring(ctx, hi - a + 1, {length} - (b - a)))"))
         keys = stage(keyed.groupBy("i").agg(
             F.expr(f"min({_PLACE})").alias("x"), F.expr(f"max({_PLACE})").alias("y"), F.count("*").alias("n"))
             .where("x <> y").select("i", (F.col("n") > LOCAL_BUCKET).alias("big")), "rep-in", into=into)
         keyed = stage(keyed.drop("h").join(keys, "i").withColumnRenamed("i", "h"), "rep-live", into=into)
         small = small.unionByName(keyed.where("NOT big").drop("big"))
         keyed = keyed.where("big").drop("big").withColumn(
-            "w", F.expr(f"CASE WHEN lo <= a AND hi >= b THEN substring(ctx, hi - b + 1, {LENGTH} + b - a) END"))
+            "w", F.expr(f"CASE WHEN lo <= a AND hi >= b THEN substring(ctx, hi - b + 1, {length} + b - a) END"))
         shared = _twice(keyed.where("w IS NOT NULL"), ["h", "w"], "rep-out", into).withColumn("s", F.lit(True))
         keyed = stage(keyed.join(shared, ["h", "w"], "left"), "rep-round", into=into)
         found = found.union(keyed.where("s AND open").selectExpr("k", "p", "a AS lo", "b AS hi"))
@@ -205,15 +228,17 @@ def _refine_hot(rows: DataFrame, into: list) -> tuple[DataFrame, DataFrame]:
     return found, small
 
 
-def repeated_spans(texts: DataFrame) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """texts: (k, t binary) with k = xxhash64 of the text.  Returns (k, spans), one row per
-    text: the byte ranges covered by repeated strings, packed and unmerged (see ``merge``)."""
+    text: the byte ranges covered by repeated strings of ``length`` bytes, packed and unmerged
+    (see ``merge``)."""
+    deep = depth(length)
     held: list = []
     # copies of a text are one row from here on: marks, buckets and contexts do not grow with them
-    texts = stage(texts.where(F.octet_length("t") >= LENGTH).groupBy("k").agg(
+    texts = stage(texts.where(F.octet_length("t") >= length).groupBy("k").agg(
         F.count("*").alias("n"), F.octet_length(F.first("t")).cast("long").alias("size"), F.first("t").alias("t")),
         "rep-texts", into=held)
-    marks = stage(texts.select("k", "t").mapInPandas(_anchors, _ANCHOR), "rep-anchors", into=held)
+    marks = stage(texts.select("k", "t").mapInPandas(partial(_anchors, deep=deep), _ANCHOR), "rep-anchors", into=held)
     marks = stage(marks.join(_twice(marks, ["h"], "rep-first", held), "h"), "rep-buckets", into=held)
     whole = marks.where("o <> 0")
     shared = _twice(whole, ["h", "o"], "rep-outer", held).withColumn("s", F.lit(True))
@@ -225,19 +250,19 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     buckets = stage(undecided.groupBy("h").agg(F.count("*").alias("n")), "rep-open", into=held)
     partners = (marks.where("s").groupBy("h", "o").agg(F.min(F.struct("k", "p")).alias("x"))
                 .join(buckets.select("h"), "h", "left_semi")
-                .select("h", "x.k", "x.p", F.lit(0).alias("lo"), F.lit(SPAN - 1).alias("hi"), F.lit(False).alias("open")))
+                .select("h", "x.k", "x.p", F.lit(0).alias("lo"), F.lit(deep.span - 1).alias("hi"), F.lit(False).alias("open")))
     rows = stage(undecided.union(partners), "rep-rows", into=held)
     sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BUCKET).alias("hot")), "rep-sizes", into=held)
 
     wanted = stage(rows.join(sizes, "h").groupBy("k").agg(
         F.collect_list(F.struct("h", "p", "lo", "hi", "open", "hot")).alias("marks")), "rep-wanted", into=held)
     near = texts.join(wanted, "k")
-    ctx = stage(near.select("k", "t", "marks").mapInPandas(_contexts, _CONTEXT), "rep-ctx", 100, held)
-    ctx = ctx.select("h", "k", "p", "lo", "hi", "open", "ctx", F.lit(0).alias("a"), F.lit(SPAN - 1).alias("b"), "hot")
-    found, small = _refine_hot(ctx.where("hot").drop("hot"), held)
+    ctx = stage(near.select("k", "t", "marks").mapInPandas(partial(_contexts, length=length), _CONTEXT), "rep-ctx", 100, held)
+    ctx = ctx.select("h", "k", "p", "lo", "hi", "open", "ctx", F.lit(0).alias("a"), F.lit(deep.span - 1).alias("b"), "hot")
+    found, small = _refine_hot(ctx.where("hot").drop("hot"), length, held)
     local = ctx.where("NOT hot").drop("hot").unionByName(small).repartition("h").sortWithinPartitions("h", "a")
-    ranges = settled.union(local.mapInPandas(_refine_local, _RANGE)).union(found)
-    spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {LENGTH} AS e")
+    ranges = settled.union(local.mapInPandas(partial(_refine_local, length=length), _RANGE)).union(found)
+    spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {length} AS e")
     spans = spans.union(texts.where("n > 1").select("k", F.lit(0).cast("long"), "size"))
     # one number a range: a text of few distinct bytes has as many ranges as bytes
     packed = F.shiftleft("s", 32).bitwiseOR(F.col("e") - F.col("s"))
@@ -270,11 +295,11 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(t).alias("k"), t.alias("t"))
 
 
-def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """One row per row of ``docs``: id, t (bytes, whole), spans (packed removed ranges,
     unmerged, null if none)."""
     texts = _texts(docs, id_col, text_col)
-    return texts.join(repeated_spans(texts.select("k", "t")), "k", "left").select("id", "t", "spans")
+    return texts.join(repeated_spans(texts.select("k", "t"), length), "k", "left").select("id", "t", "spans")
 
 
 def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -283,25 +308,27 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({
             "doc_id": pdf["id"], "n_bytes": [len(t) for t in pdf["t"]],
             "n_removed": [sum(e - s for s, e in r) for r in runs], "n_spans": [len(r) for r in runs],
-            "kept_sha256": [hashlib.sha256(cut(t, r)).hexdigest() for t, r in zip(pdf["t"], runs)]})
+            "kept_sha256": [hashlib.sha256(cut(t, r)).hexdigest() for t, r in zip(pdf["t"], runs)],
+            "n_kept": [len(t) - sum(e - s for s, e in r) for t, r in zip(pdf["t"], runs)]})
 
 
 def op9_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(removed(read(spark, sf_dir, "documents")).mapInPandas(
-        _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "rep-result")
+        _digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long"), "rep-result")
 
 
-def drop_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
-    """``docs`` with the repeated bytes cut out of the text and the length set anew; all
-    rows and other columns stay.  A character that a cut leaves in part is dropped."""
+def drop_repeats(docs: DataFrame, text_col: str = "text", chars_col: str = "n_chars", length: int = LENGTH) -> DataFrame:
+    """``docs`` with the bytes of repeated strings of ``length`` bytes cut out of the text and the
+    number of characters set anew; all rows and other columns stay, whatever their names.  A
+    character that a cut leaves in part is dropped."""
     names = docs.columns
     t = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    spans = repeated_spans(docs.select(F.xxhash64(t).alias("k"), t.alias("t"))).select(F.col("k").alias("__k"), F.col("spans").alias("__spans"))
-    kept = _kept_text(F.col(text_col), F.col("__spans"))
-    out = docs.withColumn("__k", F.xxhash64(t)).join(spans, "__k", "left") \
-        .withColumn(text_col, F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(kept))
+    key, found = unused(names, "k"), unused(names, "spans")
+    spans = repeated_spans(docs.select(F.xxhash64(t).alias("k"), t.alias("t")), length).toDF(key, found)
+    out = docs.withColumn(key, F.xxhash64(t)).join(spans, key, "left") \
+        .withColumn(text_col, F.when(F.col(found).isNull(), F.col(text_col)).otherwise(_kept_text(F.col(text_col), F.col(found))))
     if chars_col in names:
-        out = out.withColumn(chars_col, F.when(F.col("__spans").isNull(), F.col(chars_col))
+        out = out.withColumn(chars_col, F.when(F.col(found).isNull(), F.col(chars_col))
                              .otherwise(F.char_length(text_col)).cast(docs.schema[chars_col].dataType))
     return out.select(*names)
 
@@ -328,6 +355,7 @@ cuts AS (
          string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY run) AS head
   FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
 SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+       sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256,
+       CAST(n AS BIGINT) - coalesce(n_removed, 0) AS n_kept
 FROM d LEFT JOIN cuts USING (doc_id)
 """
