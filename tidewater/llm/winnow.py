@@ -9,7 +9,7 @@ their bytes.  Likeness of two fingerprints: shared identifiers over all identifi
 (sets); two empty texts are alike (1).
 
 ``op4`` pairs each text with its edited one, for which it needs the document before it in
-ascending id order.  Documents are dealt to contiguous id ranges; a range streams in
+ascending id order.  Documents are dealt to contiguous id ranges of equal bytes, a task each; a range streams in
 ascending order and carries the last document along; the last document of a range is also
 sent to the next range that has any (one row per range), where it only serves as the first
 one's neighbour.
@@ -32,10 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._bytes import gram_ids, window_argmin
-from ._frames import BATCH_ROWS, read, stage
+from ._frames import BATCH_ROWS, ordered, read, stage
 
 K, WINDOW = 24, 41            # bytes of a gram; grams of a window: 64 shared bytes are always found
 PIECE = 1 << 20               # grams hashed at a time
+RANGE_BYTES = 128 << 20       # bytes of text in a range of ids, at most about
 
 
 class Print(NamedTuple):
@@ -124,12 +125,14 @@ def with_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = rows.withColumn("has", F.col("id").isNotNull()).withColumn("id", F.coalesce("id", F.lit(0))) \
         .withColumn("tie", F.xxhash64("text"))
-    # ids alone, to find the ranges' borders; the border rows are as few as the ranges
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = stage(rows.select("has", "id", "tie").repartitionByRange(n, "has", "id", "tie")
-                  .withColumn("part", F.spark_partition_id()), "win-ids")
-    borders = parts.groupBy("part").agg(F.max(F.struct("has", "id", "tie")).alias("last")).orderBy("part").collect()
-    last = [tuple(b["last"]) for b in borders]  # one row per range
+    # ids and sizes alone, to cut the order into ranges of equal bytes; a range has one border row
+    sizes = rows.select("has", "id", "tie", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("size"))
+    laid = ordered(stage(sizes, "win-sizes", 10_000), [F.asc("has"), F.asc("id"), F.asc("tie")], "size", "win-order")
+    total = laid.agg(F.sum("size")).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // RANGE_BYTES))
+    part = F.floor(F.col("before") * n / F.lit(max(total, 1)))
+    borders = laid.groupBy(part.alias("part")).agg(F.max(F.struct("has", "id", "tie")).alias("last")).orderBy("last").collect()
+    last = [tuple(b["last"]) for b in borders]
 
     @F.pandas_udf("struct<range int, last boolean>")
     def place(has: pd.Series, ids: pd.Series, tie: pd.Series) -> pd.DataFrame:
@@ -141,7 +144,8 @@ def with_neighbour(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = rows.withColumn("p", place("has", "id", "tie")) \
         .withColumn("to", F.explode(F.when(F.col("p.last"), F.array(own, on)).otherwise(F.array(own)))) \
         .select("to.range", "to.carry", "has", "id", "tie", "text")
-    return rows.repartition(max(n, 1), "range").sortWithinPartitions("range", F.desc("carry"), "has", "id", "tie")
+    return rows.repartitionById(max(len(last), 1), F.col("range")) \
+        .sortWithinPartitions("range", F.desc("carry"), "has", "id", "tie")
 
 
 def op4_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
