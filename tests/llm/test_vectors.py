@@ -63,6 +63,26 @@ def test_recall_at_the_threshold(spark):
     assert sum(x.n_links for x in got.values()) >= 0.9 * sum(n for n, _ in want.values())
 
 
+def test_recall_with_the_signs_and_lists_of_a_large_table(spark, monkeypatch):
+    """As above with 10 signs and 18 lists or more, which some 260,000 vectors need."""
+    signs, lists, least = V.settings(V.STRANGERS << 10)
+    assert signs == 10 and lists >= 17
+    monkeypatch.setattr(V, "settings", lambda n: (signs, lists, least))
+    r = np.random.default_rng(5)
+    rows = []
+    for _ in range(1000):
+        a = r.standard_normal(64)
+        a /= np.linalg.norm(a)
+        b = r.standard_normal(64)
+        b -= a * (a @ b)
+        c = r.uniform(0.9005, 0.91)
+        rows += [a, c * a + np.sqrt(1 - c * c) * b / np.linalg.norm(b)]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rows)]
+    got = {x.id: x for x in V.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert all(x.n_links <= 1 and x.component_id == (i - i % 2 if x.n_links else i) for i, x in got.items())
+    assert sum(x.n_links for x in got.values()) >= 0.95 * len(rows)
+
+
 def test_settings_grow_slowly_and_empty(spark):
     assert V.settings(100)[0] == 0 and V.settings(10 ** 9)[1] < 150
     assert all(V.settings(n)[2] == V.settings(10)[2] for n in (1, 1000, 10 ** 6))

@@ -14,8 +14,9 @@ cosine ``COSINE`` differ by a normal deviate of standard deviation ``sqrt(2 - 2
   that a pair at the threshold reaches with probability ``PASS`` are dropped.
 * Verification.  The cosine of the others is taken in double precision.
 
-A pair met in several lists counts in the first only (each row carries its places in all
-lists), so links are summed where they are found: no pair is ever a row of a table.  A part
+A pair met in several lists counts in the first only (the places of linked rows in the lists
+before are computed anew from their vectors, so rows travel with one list's place), so links are
+summed where they are found: no pair is ever a row of a table.  A part
 of a list with more than ``CHUNK`` rows is compared in blocks of two chunks, each its own
 group, so no task holds a whole part; a block hands on link counts and a spanning forest.
 
@@ -75,16 +76,22 @@ def _unit(vectors) -> np.ndarray:
     return x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
 
 
+def project(u: np.ndarray, signs: int, lists: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of unit vectors in each list: cells (length and signs) and sorting projections."""
+    d = u.shape[1]
+    p = np.einsum("ij,jk->ik", u, directions(d, lists * (signs + 1), 0)).reshape(len(u), lists, signs + 1)
+    cells = ((p[:, :, :signs] > 0) @ (1 << np.arange(signs, dtype=np.int64))) * 65536 + d
+    return cells.astype(np.int64), p[:, :, signs]
+
+
 def _places(signs: int, lists: int):
-    """Each vector's place in each list: cell (length and signs) and sorting projection."""
+    """Each vector's place in each list."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             sizes = pdf["v"].map(len)
-            for d, part in pdf.groupby(sizes.to_numpy()):
-                u = _unit(part["v"])
-                p = np.einsum("ij,jk->ik", u, directions(d, lists * (signs + 1), 0)).reshape(len(u), lists, signs + 1)
-                cells = ((p[:, :, :signs] > 0) @ (1 << np.arange(signs, dtype=np.int64))) * 65536 + d
-                yield pd.DataFrame({"k": part["k"].to_numpy(), "cells": list(cells.astype(np.int64)), "sorts": list(p[:, :, signs])})
+            for _, part in pdf.groupby(sizes.to_numpy()):
+                cells, sorts = project(_unit(part["v"]), signs, lists)
+                yield pd.DataFrame({"k": part["k"].to_numpy(), "cells": list(cells), "sorts": list(sorts)})
     return run
 
 
@@ -104,10 +111,10 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def links_of_block(t: int, chunk: np.ndarray, guest: np.ndarray, u: np.ndarray, cells: np.ndarray,
-                   sorts: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (a, b) of rows of one block that list ``t`` is the first to find."""
-    s = sorts[:, t]
+def links_of_block(t: int, chunk: np.ndarray, guest: np.ndarray, u: np.ndarray, s: np.ndarray,
+                   signs: int, lists: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (a, b) of rows of one block that list ``t`` is the first to find; ``s`` are the rows'
+    sorting projections in it."""
     near = np.triu(np.abs(s[:, None] - s) <= HALF, 1) & ~(guest[:, None] & guest)
     if chunk[0] != chunk[-1] or (chunk != chunk[0]).any():
         near &= chunk[:, None] != chunk
@@ -121,13 +128,16 @@ def links_of_block(t: int, chunk: np.ndarray, guest: np.ndarray, u: np.ndarray,
         hit = np.einsum("ij,ij->i", u[i], u[j]) >= COSINE
         i, j = i[hit], j[hit]
         if t and len(i):
-            before = ((cells[i, :t] == cells[j, :t]) & (np.abs(sorts[i, :t] - sorts[j, :t]) <= HALF)).any(axis=1)
+            linked, at_rows = np.unique(np.concatenate((i, j)), return_inverse=True)
+            cells, sorts = project(u[linked], signs, lists)
+            x, y = at_rows[:len(i)], at_rows[len(i):]
+            before = ((cells[x, :t] == cells[y, :t]) & (np.abs(sorts[x, :t] - sorts[y, :t]) <= HALF)).any(axis=1)
             i, j = i[~before], j[~before]
         keep.append((i, j))
     return tuple(np.concatenate(x) for x in zip(*keep)) if keep else (a, b)
 
 
-def _links(least: int):
+def _links(signs: int, lists: int, least: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def rows():
             for pdf in batches:
@@ -137,8 +147,8 @@ def _links(least: int):
             got = list(group)
             if len(got) < 2:
                 continue
-            chunk, guest, k, w, v, cells, sorts = zip(*(r[5:] for r in got))
-            a, b = links_of_block(key[0], np.array(chunk), np.array(guest, bool), _unit(v), np.array(cells), np.array(sorts), least)
+            chunk, guest, k, w, v, sort = zip(*(r[5:] for r in got))
+            a, b = links_of_block(key[0], np.array(chunk), np.array(guest, bool), _unit(v), np.array(sort), signs, lists, least)
             if len(a):
                 w = np.array(w)
                 n = np.bincount(a, w[b], len(got)) + np.bincount(b, w[a], len(got))
@@ -170,21 +180,21 @@ def near_vectors(table: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     # a window reaches into the slots beside its own: each row is also a guest of the next slot
     at = placed.select("k", F.posexplode(F.arrays_zip("cells", "sorts")).alias("t", "at"))
     slot = F.floor(F.col("at.sorts") / HALF).cast("int")
-    at = at.select("k", "t", F.col("at.cells").alias("cell"), F.explode(F.array(
+    at = at.select("k", "t", F.col("at.cells").alias("cell"), F.col("at.sorts").alias("sort"), F.explode(F.array(
         F.struct(slot.alias("slot"), F.lit(False).alias("guest")),
         F.struct((slot + 1).alias("slot"), F.lit(True).alias("guest")))).alias("s")) \
-        .select("t", "cell", "s.slot", "s.guest", "k")
+        .select("t", "cell", "s.slot", "s.guest", "k", "sort")
     part = ["t", "cell", "slot"]
     sizes = stage(at.groupBy(*part).agg(F.count("*").alias("n"), F.count(F.when(~F.col("guest"), 1)).alias("own"))
                   .where("n > 1 AND own > 0").select(*part, F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "vec-sizes")
     at = at.join(sizes, part).withColumn("chunk", F.pmod(F.xxhash64("k"), F.col("chunks")).cast("int"))
     at = at.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     blocks = stage(at.select(*part, F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                             "chunk", "guest", "k"), "vec-blocks")
-    full = blocks.join(classes.select("k", "w", "v"), "k").join(placed, "k")
+                             "chunk", "guest", "k", "sort"), "vec-blocks")
+    full = blocks.join(classes.select("k", "w", "v"), "k")
     key = [*part, "i", "j"]
-    found = stage(full.select(*key, "chunk", "guest", "k", "w", "v", "cells", "sorts").repartition(*key)
-                  .sortWithinPartitions(*key).mapInPandas(_links(least), "a long, b long, n long"), "vec-links")
+    found = stage(full.select(*key, "chunk", "guest", "k", "w", "v", "sort").repartition(*key)
+                  .sortWithinPartitions(*key).mapInPandas(_links(signs, lists, least), "a long, b long, n long"), "vec-links")
     counts = found.where("b IS NULL").groupBy(F.col("a").alias("k")).agg(F.sum("n").alias("links"))
     roots = components(found.where("b IS NOT NULL").select("a", "b"))
     joined = stage(classes.select("k", "w", "first").join(counts, "k", "left")
