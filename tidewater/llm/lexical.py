@@ -47,7 +47,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import work_dir
+from tidewater.session import session_conf, work_dir
 
 from ._frames import BATCH_ROWS, discard, ordered, read, stage
 
@@ -295,7 +295,8 @@ def _search_block(docs: DataFrame, block: Block, id_col: str, text_col: str, nam
         # the least length that any query still asks for
         least = min(floor.get(q.number, 1) / q.norm for q in queries) * (1 - 2 * SLACK)
         some = buckets.where((F.col("file") >= low) & (F.col("file") < high) & (F.col("norm") >= least))
-        wave = stage(_wave(some, queries, weights, floor), f"{name}-wave", BUCKET, held)
+        with session_conf(spark, {"spark.sql.files.openCostInBytes": str(1 << 27)}):  # a task for each file
+            wave = stage(_wave(some, queries, weights, floor), f"{name}-wave", BUCKET, held)
         found = wave if found is None else stage(_best(found.union(wave)).select("query", "id", "score"), f"{name}-best", BUCKET, held)
         low, high = high, high * WAVE
         tenth = _best(found).where(F.col("rank") == TOP).select("query", "score").collect()  # one row a query of the block
