@@ -174,26 +174,32 @@ def _descend(tree: DataFrame, above: DataFrame, height: int, schema: str, rows_o
     return stage(tree.join(above, ["key", "block"]).mapInPandas(run, schema), name, 1)  # a row is a block
 
 
-_PATH = "key string, block long, tag string, lefts array<string>, rights array<string>"
+_PATH = "key string, block long, tag string, subroot string, lefts array<string>, rights array<string>"
 
 
 def _hand_on(row, base: int, leaves: str, paths) -> list[tuple]:
-    return [(row.key, base + i, row.tags[i], [a for a, _ in p], [b for _, b in p]) for i, p in enumerate(paths)]
+    return [(row.key, base + i, row.tags[i], row.subroot, [a for a, _ in p], [b for _, b in p]) for i, p in enumerate(paths)]
+
+
+def _groups(row, base: int, leaves: str, paths) -> list[tuple]:
+    """The leaves of the tree of groups are the groups' subroots."""
+    return [(key, block, tag, leaves[64 * i:64 * i + 64], lefts, rights)
+            for i, (key, block, tag, _, lefts, rights) in enumerate(_hand_on(row, base, leaves, paths))]
 
 
 def leaf_paths(f: Forest, above: DataFrame, schema: str, rows_of, name: str) -> DataFrame:
-    """The rows that ``rows_of`` makes of the lowest blocks; above: key, lefts, rights of every
-    group's last node."""
+    """The rows that ``rows_of`` makes of the lowest blocks; above: key, subroot, lefts, rights of
+    every group's last node."""
     none = F.array().cast("array<string>")
-    tops = above.select("key", F.lit(0).cast("long").alias("block"), "lefts", "rights") if above is not None else None
+    tops = above.select("key", F.lit(0).cast("long").alias("block"), "subroot", "lefts", "rights") if above is not None else None
     path = None
     for k in range(len(f.trees) - 1, -1, -1):
         last = f.trees[k].where("blocks = 1")
         own = tops.join(last.select("key"), "key") if tops is not None else \
-            last.select("key", "block", none.alias("lefts"), none.alias("rights"))
-        over = own.select("key", "block", "lefts", "rights")
+            last.select("key", "block", F.lit(None).cast("string").alias("subroot"), none.alias("lefts"), none.alias("rights"))
+        over = own.select("key", "block", "subroot", "lefts", "rights")
         if path is not None:
-            over = over.unionByName(path.select("key", "block", "lefts", "rights"))
+            over = over.unionByName(path.select("key", "block", "subroot", "lefts", "rights"))
         path = _descend(f.trees[k], over, f.height, schema if k == 0 else _PATH, rows_of if k == 0 else _hand_on, f"{name}-paths{k}")
     return path
 
@@ -217,7 +223,7 @@ def _proofs(row, base: int, leaves: str, paths) -> list[tuple]:
     for i, path in enumerate(paths):
         leaf = leaves[64 * i:64 * i + 64]
         other = row.others[i]
-        out.append((row.key, row.tags[i], leaf, digest("".join([a + b for a, b in path])), fold(other or leaf, path)))
+        out.append((row.tags[i], leaf, row.subroot, digest("".join([a + b for a, b in path])), fold(other or leaf, path)))
     return out
 
 
@@ -227,10 +233,10 @@ def group_key(group: Column) -> Column:
 
 
 def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, id_col: str = "doc_id", group_col: str = "lang",
-             other: Column | None = None, height: int = HEIGHT) -> tuple[DataFrame, DataFrame]:
-    """(proofs, groups).  proofs, one row per document: key, tag (the id as text), leaf,
-    proof_sha256, folded (from ``other``, a leaf digest or null, in the leaf's place).  groups, one
-    row per group: key, subroot, root."""
+             other: Column | None = None, height: int = HEIGHT) -> tuple[DataFrame, str | None]:
+    """(proofs, root).  proofs, one row per document: tag (the id as text), leaf, subroot (of its
+    group), proof_sha256, folded (from ``other``, a leaf digest or null, in the leaf's place).
+    No document: no root."""
     rows = docs.select(group_key(F.col(group_col)).alias("key"), F.col(id_col).cast("long").alias("id"),
                        leaf_digest([F.col(c) for c in columns]).alias("digest"),
                        (F.lit(None).cast("string") if other is None else other).alias("other"))
@@ -240,13 +246,12 @@ def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, id_col: str = "d
     subroots = lower.roots.select(F.lit("").alias("key"), F.col("root").alias("digest"), F.col("key").alias("tag"),
                                   F.lit(None).cast("string").alias("other"))
     upper = forest(subroots, ["tag"], "merkle-groups", height)
-    above = leaf_paths(upper, None, _PATH, _hand_on, "merkle-groups") \
-        .select(F.col("tag").alias("key"), "lefts", "rights")
-    proofs = leaf_paths(lower, above, "key string, tag string, leaf string, proof_sha256 string, folded string", _proofs,
+    above = leaf_paths(upper, None, _PATH, _groups, "merkle-groups") \
+        .select(F.col("tag").alias("key"), "subroot", "lefts", "rights")
+    proofs = leaf_paths(lower, above, "tag string, leaf string, subroot string, proof_sha256 string, folded string", _proofs,
                         "merkle-docs")
-    root = upper.roots.first()                   # no row if there are no documents
-    groups = lower.roots.select("key", F.col("root").alias("subroot"), F.lit(root and root["root"]).cast("string").alias("root"))
-    return proofs, groups
+    root = upper.roots.first()                   # at most one row
+    return proofs, root and root["root"]
 
 
 def tampered() -> Column:
@@ -257,10 +262,10 @@ def tampered() -> Column:
 
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    proofs, groups = manifest(docs, other=tampered())
-    return proofs.join(groups, "key").select(
-        F.col("tag").cast("long").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256",
-        F.col("folded").alias("folded_root"), (F.col("folded") == F.col("root")).alias("verified"))
+    proofs, root = manifest(docs, other=tampered())
+    root = F.lit(root).cast("string")
+    return proofs.select(F.col("tag").cast("long").alias("doc_id"), "leaf", "subroot", root.alias("root"), "proof_sha256",
+                         F.col("folded").alias("folded_root"), (F.col("folded") == root).alias("verified"))
 
 
 # ------------------------------------------------------------------ the same rows in DuckDB SQL
