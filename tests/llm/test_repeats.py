@@ -47,7 +47,7 @@ def corpus(seed=1):
 
 @pytest.mark.parametrize("local", [3000, 12, 3])
 def test_equals_brute_force(spark, monkeypatch, local, tmp):
-    monkeypatch.setattr(R, "LOCAL_BUCKET", local)
+    monkeypatch.setattr(R, "LOCAL_BYTES", local * R.depth(R.LENGTH).outer)
     rows = corpus(local)
     spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp}/documents.parquet")
     got = R.op9_suffix_repeats(spark, tmp).collect()

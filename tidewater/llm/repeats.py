@@ -15,7 +15,7 @@ first ``LENGTH`` bytes with another suffix: bucket-pointer refinement down to th
   and both halves, keyed by the bucket they came from and the identifier of the bytes
   they gain, are refined again.  At one offset, inner and outer string are the same.
 * The first round runs on identifiers alone as Spark aggregates and joins.  Later rounds
-  compare bytes: a bucket of up to ``LOCAL_BUCKET`` rows is refined to the end in the task
+  compare bytes: a bucket of up to ``LOCAL_BYTES`` bytes is refined to the end in the task
   that holds it, a larger one by further Spark rounds, with the same rows as a result.
 
 Exact copies are merged first: all rounds run on one row per distinct text.  Anchors are
@@ -72,7 +72,7 @@ def depth(length: int) -> Depth:
 
 
 PIECE = 1 << 18               # bytes hashed at a time in a task
-LOCAL_BUCKET = 3000           # rows of a bucket refined inside one task (about 2 MB)
+LOCAL_BYTES = 16 << 20        # contexts of a bucket refined inside one task: a second's work, less than one Spark round
 
 _ANCHOR = "k long, h long, o long, p long, lo int, hi int"
 
@@ -203,18 +203,19 @@ def _halves(rows: DataFrame) -> DataFrame:
         .where("lo <= b AND hi >= a")
 
 
-def _refine_hot(rows: DataFrame, length: int, into: list) -> tuple[DataFrame, DataFrame]:
+def _refine_hot(rows: DataFrame, deep: Depth, into: list) -> tuple[DataFrame, DataFrame]:
     """Rounds of ``_refine`` as Spark aggregates and joins, for buckets of any size: a round
     splits a bucket by the bytes that the halves of its range gain.  Returns what is settled
     (k, p, lo, hi), and the rows of buckets that have become small."""
     found, small = rows.selectExpr("k", "p", "lo", "hi").limit(0), rows.limit(0)
+    length, local = deep.length, LOCAL_BYTES // deep.outer
     # the first round was run on identifiers alone
     rows = stage(_halves(rows), "rep-hot", into=into)
     while not rows.isEmpty():
         keyed = rows.withColumn("i", F.expr(f"xxhash64(h, a, substring(ctx, hi - a + 1, {length} - (b - a)))"))
         keys = stage(keyed.groupBy("i").agg(
             F.expr(f"min({_PLACE})").alias("x"), F.expr(f"max({_PLACE})").alias("y"), F.count("*").alias("n"))
-            .where("x <> y").select("i", (F.col("n") > LOCAL_BUCKET).alias("big")), "rep-in", into=into)
+            .where("x <> y").select("i", (F.col("n") > local).alias("big")), "rep-in", into=into)
         keyed = stage(keyed.drop("h").join(keys, "i").withColumnRenamed("i", "h"), "rep-live", into=into)
         small = small.unionByName(keyed.where("NOT big").drop("big"))
         keyed = keyed.where("big").drop("big").withColumn(
@@ -252,14 +253,14 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                 .join(buckets.select("h"), "h", "left_semi")
                 .select("h", "x.k", "x.p", F.lit(0).alias("lo"), F.lit(deep.span - 1).alias("hi"), F.lit(False).alias("open")))
     rows = stage(undecided.union(partners), "rep-rows", into=held)
-    sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BUCKET).alias("hot")), "rep-sizes", into=held)
+    sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BYTES // deep.outer).alias("hot")), "rep-sizes", into=held)
 
     wanted = stage(rows.join(sizes, "h").groupBy("k").agg(
         F.collect_list(F.struct("h", "p", "lo", "hi", "open", "hot")).alias("marks")), "rep-wanted", into=held)
     near = texts.join(wanted, "k")
     ctx = stage(near.select("k", "t", "marks").mapInPandas(partial(_contexts, length=length), _CONTEXT), "rep-ctx", 100, held)
     ctx = ctx.select("h", "k", "p", "lo", "hi", "open", "ctx", F.lit(0).alias("a"), F.lit(deep.span - 1).alias("b"), "hot")
-    found, small = _refine_hot(ctx.where("hot").drop("hot"), length, held)
+    found, small = _refine_hot(ctx.where("hot").drop("hot"), deep, held)
     local = ctx.where("NOT hot").drop("hot").unionByName(small).repartition("h").sortWithinPartitions("h", "a")
     ranges = settled.union(local.mapInPandas(partial(_refine_local, length=length), _RANGE)).union(found)
     spans = ranges.selectExpr("k", "p - hi AS s", f"p - lo + {length} AS e")
