@@ -249,8 +249,9 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     # what is still open, and one partner for each settled outer string of its bucket
     undecided = marks.where("s IS NULL").select("h", "k", "p", "lo", "hi", F.lit(True).alias("open"))
     buckets = stage(undecided.groupBy("h").agg(F.count("*").alias("n")), "rep-open", into=held)
-    partners = (marks.where("s").groupBy("h", "o").agg(F.min(F.struct("k", "p")).alias("x"))
-                .join(buckets.select("h"), "h", "left_semi")
+    # written out, so that the join meets one row for each string, not one for each place
+    strings = stage(marks.where("s").groupBy("h", "o").agg(F.min(F.struct("k", "p")).alias("x")), "rep-strings", into=held)
+    partners = (strings.join(buckets.select("h"), "h", "left_semi")
                 .select("h", "x.k", "x.p", F.lit(0).alias("lo"), F.lit(deep.span - 1).alias("hi"), F.lit(False).alias("open")))
     rows = stage(undecided.union(partners), "rep-rows", into=held)
     sizes = stage(rows.groupBy("h").agg((F.count("*") > LOCAL_BYTES // deep.outer).alias("hot")), "rep-sizes", into=held)
