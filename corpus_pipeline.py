@@ -40,8 +40,13 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return mixing.mix(docs)
 
 
+#: Words that a worker of the last stage remembers: fewer than by default, since the workers still
+#: hold memory of the stages before.
+CACHED_WORDS = 100_000
+
+
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    encoded = pieces.encode(docs, pieces.default_model())
+    encoded = pieces.encode(docs, pieces.default_model(), cached_words=CACHED_WORDS)
     return encoded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_ids"), "ids")
 
 

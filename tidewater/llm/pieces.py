@@ -174,12 +174,13 @@ class Codec:
 _CODECS: dict[str, Codec] = {}
 
 
-def _codec(model: str, pieces) -> Codec:
+def _codec(model: str, pieces, cached_words: int = CACHED_WORDS) -> Codec:
     """The worker's codec of a model; ``pieces`` is the broadcast list (its size is the model's)."""
-    if model not in _CODECS:
+    key = f"{model} {cached_words}"
+    if key not in _CODECS:
         _CODECS.clear()
-        _CODECS[model] = Codec(pieces.value)
-    return _CODECS[model]
+        _CODECS[key] = Codec(pieces.value, cached_words)
+    return _CODECS[key]
 
 
 def _shared(spark: SparkSession, model_file: str):
@@ -187,12 +188,14 @@ def _shared(spark: SparkSession, model_file: str):
     return hashlib.md5(repr(pieces).encode()).hexdigest(), spark.sparkContext.broadcast(pieces)
 
 
-def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``: id, ids (array of int)."""
+def encode(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text",
+           cached_words: int = CACHED_WORDS) -> DataFrame:
+    """One row per row of ``docs``: id, ids (array of int).  A worker remembers about ``cached_words``
+    words; fewer save memory and cost time."""
     model, pieces = _shared(docs.sparkSession, model_file)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = _codec(model, pieces)
+        codec = _codec(model, pieces, cached_words)
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"], "ids": [codec.encode(t) for t in pdf["text"]]})
     return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")) \
