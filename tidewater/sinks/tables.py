@@ -20,9 +20,9 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 FANOUT = 4                    # generations of a level that are merged into one of the next
@@ -97,11 +97,25 @@ def _batches(spark: SparkSession, path: str, after: int) -> list[int]:
 
 # ------------------------------------------------------------------ writing and reading
 
-def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = ()) -> None:
-    """The rows of one micro-batch; a batch that comes again replaces itself."""
+def write_batch(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str] = (), folder: str = "batches",
+                observed: tuple[Observation, Sequence[Column]] | None = None) -> None:
+    """The rows of one micro-batch; a batch that comes again replaces itself.  ``observed`` metrics are
+    collected by the tasks that write (behind the rebalance: a shuffle that runs again counts nothing twice)."""
     rows = df.hint("rebalance", *partition_cols) if partition_cols else df
+    if observed:
+        rows = rows.observe(observed[0], *observed[1])
     w = rows.write.mode("overwrite")
-    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(f"{path}/batches/batch_id={batch_id}")
+    (w.partitionBy(*partition_cols) if partition_cols else w).parquet(f"{path}/{folder}/batch_id={batch_id}")
+
+
+def move_batch(spark: SparkSession, path: str, batch_id: int, source: str, target: str) -> None:
+    """A batch from one folder of the table to another, in the place of what it left there before."""
+    fs, old = _fs(spark, f"{path}/{source}/batch_id={batch_id}")
+    _, new = _fs(spark, f"{path}/{target}/batch_id={batch_id}")
+    fs.mkdirs(new.getParent())
+    fs.delete(new, True)
+    if not fs.rename(old, new):
+        raise OSError(f"batch {batch_id} of {path} could not be moved from {source} to {target}")
 
 
 def _generation(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame | None:
@@ -158,10 +172,12 @@ def read_table(spark: SparkSession, path: str, key: str | None = None, order_by:
 # ------------------------------------------------------------------ compaction
 
 def compact(spark: SparkSession, path: str, partition_cols: Sequence[str] = (), key: str | None = None,
-            order_by: Sequence[str] = (), fanout: int = FANOUT) -> bool:
+            order_by: Sequence[str] = (), fanout: int = FANOUT,
+            reduce: Callable[[DataFrame], DataFrame] | None = None) -> bool:
     """Merges all batches written so far, and full levels above them; False if there was none.
 
-    Keyed tables are written in key order, so a look-up by key reads few row groups."""
+    ``reduce`` (of a table without a key) makes fewer rows of the merged ones, for partial aggregates;
+    reducing what is reduced must give the same as reducing all at once.  Keyed tables are written in key order, so a look-up by key reads few row groups."""
     now = snapshot(spark, path)
     ids = _batches(spark, path, now["upto"])
     if not ids:
@@ -176,6 +192,8 @@ def compact(spark: SparkSession, path: str, partition_cols: Sequence[str] = (),
     if key is not None:
         rows = _latest(rows, key, order_by)
         rows = rows.repartitionByRange(key).sortWithinPartitions(key) if not partition_cols else rows
+    elif reduce is not None:
+        rows = reduce(rows.drop(BATCH)).withColumn(BATCH, F.lit(ids[-1]).cast("long"))
     if partition_cols:
         rows = rows.hint("rebalance", *partition_cols)
     name = uuid.uuid4().hex

@@ -10,7 +10,10 @@ Per micro-batch the batch is persisted once and unpersisted in ``finally`` (one
 and one parse per batch, not one per action), empty batches are skipped with
 ``isEmpty()``, and both sinks write idempotently keyed on the batch id.  With
 ``serving_key`` they are tables of snapshots (:mod:`tidewater.sinks.tables`): one serving row per
-key, and batches merged every ``compact_every`` ones.  With
+key, and batches merged every ``compact_every`` ones.  ``rollups`` (:mod:`tidewater.streaming.rollups`)
+get the partial aggregates of each batch.  With a ``gate`` (:mod:`tidewater.streaming.gate`) a batch is
+judged while its lake rows are written; one that fails stops the query or is set aside, and reaches
+no table.  With
 ``on_error="raise"`` a failing sink fails the query before the checkpoint commits,
 so a restart replays the batch; ``"isolate"`` writes the failed batch to a
 dead-letter folder and carries on."""
@@ -32,6 +35,8 @@ from tidewater.sinks.tables import compact, write_batch
 from tidewater.sinks.writers import write_lake, write_serving
 from tidewater.sources.messages import read_messages
 from tidewater.streaming.dedupe import GOOD, mark_repeats, state_conf
+from tidewater.streaming.gate import Gate, gated_write
+from tidewater.streaming.rollups import Rollup
 
 log = logging.getLogger(__name__)
 
@@ -52,12 +57,15 @@ def processed_stream(spark: SparkSession, cfg: Config, fields: Sequence[str] = F
 
 
 def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
-              serving_transform: Callable[[DataFrame], DataFrame] | None = None
-              ) -> Callable[[DataFrame, int], None]:
+              serving_transform: Callable[[DataFrame], DataFrame] | None = None,
+              rollups: Sequence[Rollup] = (), gate: Gate | None = None) -> Callable[[DataFrame, int], None]:
     """The ``foreachBatch`` function writing both sinks (and dead letters)."""
+    if gate and not cfg.serving_key:
+        raise ValueError("a gate needs cfg.serving_key: the lake must be a table of snapshots")
 
     def _to_table(df: DataFrame, path: str, batch_id: int, partition_cols: Sequence[str], key: str | None) -> None:
-        write_batch(df, path, batch_id, partition_cols)
+        if not (gate and partition_cols):                   # the gate has put the lake's batch there
+            write_batch(df, path, batch_id, partition_cols)
         if cfg.compact_every and batch_id % cfg.compact_every == cfg.compact_every - 1:
             compact(df.sparkSession, path, partition_cols, key, ["event_timestamp"] if key else ())
 
@@ -89,6 +97,9 @@ def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
                                                       cfg.serving_options, batch_id)),
                     ("lake", lambda: write_lake(good, cfg.lake_path, batch_id=batch_id)),
                 ]
+            sinks += [(f"rollup-{i}", lambda r=r: r.add(good, batch_id, cfg.compact_every)) for i, r in enumerate(rollups)]
+            if gate and not gated_write(good, cfg.lake_path, batch_id, gate, ("date", "hour"))["is_valid"]:
+                sinks = []                                  # set aside
             for name, fn in sinks:
                 try:
                     fn()
@@ -115,6 +126,7 @@ def run_ingest(spark: SparkSession, cfg: Config, *, fields: Sequence[str] = FEAT
                max_per_trigger: int | None = None, dedupe_within: str | None = None,
                serving_cols: Sequence[str] | None = None,
                serving_transform: Callable[[DataFrame], DataFrame] | None = None,
+               rollups: Sequence[Rollup] = (), gate: Gate | None = None,
                query_name: str | None = None) -> StreamingQuery:
     """Start the ingest query (processing-time trigger, or ``availableNow`` for
     backfills/tests).  Each query has its own checkpoint folder."""
@@ -123,7 +135,7 @@ def run_ingest(spark: SparkSession, cfg: Config, *, fields: Sequence[str] = FEAT
     if not cfg.dead_letter_path:
         raise ValueError("cfg.dead_letter_path is required: malformed messages are kept there")
     stream = processed_stream(spark, cfg, fields, int_fields, max_per_trigger, dedupe_within)
-    w = (stream.writeStream.foreachBatch(dual_sink(cfg, serving_cols, serving_transform))
+    w = (stream.writeStream.foreachBatch(dual_sink(cfg, serving_cols, serving_transform, rollups, gate))
          .option("checkpointLocation", cfg.checkpoint_path).outputMode("append"))
     if query_name:
         w = w.queryName(query_name)
