@@ -173,11 +173,14 @@ def read_table(spark: SparkSession, path: str, key: str | None = None, order_by:
 
 def compact(spark: SparkSession, path: str, partition_cols: Sequence[str] = (), key: str | None = None,
             order_by: Sequence[str] = (), fanout: int = FANOUT,
-            reduce: Callable[[DataFrame], DataFrame] | None = None) -> bool:
+            reduce: Callable[[DataFrame], DataFrame] | None = None, cluster_by: Sequence[str] = ()) -> bool:
     """Merges all batches written so far, and full levels above them; False if there was none.
 
     ``reduce`` (of a table without a key) makes fewer rows of the merged ones, for partial aggregates;
-    reducing what is reduced must give the same as reducing all at once.  Keyed tables are written in key order, so a look-up by key reads few row groups."""
+    reducing what is reduced must give the same as reducing all at once.
+
+    ``cluster_by`` puts rows of near values into the same files, so a term filter skips files and row
+    groups by their statistics; a value of very many rows is split by the rows' hash.  Keyed tables are written in key order, so a look-up by key reads few row groups."""
     now = snapshot(spark, path)
     ids = _batches(spark, path, now["upto"])
     if not ids:
@@ -194,7 +197,10 @@ def compact(spark: SparkSession, path: str, partition_cols: Sequence[str] = (),
         rows = rows.repartitionByRange(key).sortWithinPartitions(key) if not partition_cols else rows
     elif reduce is not None:
         rows = reduce(rows.drop(BATCH)).withColumn(BATCH, F.lit(ids[-1]).cast("long"))
-    if partition_cols:
+    if cluster_by:
+        order = [*partition_cols, *cluster_by, F.xxhash64(*rows.columns)]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*partition_cols, *cluster_by)
+    elif partition_cols:
         rows = rows.hint("rebalance", *partition_cols)
     name = uuid.uuid4().hex
     w = rows.write

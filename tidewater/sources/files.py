@@ -40,3 +40,10 @@ def describe_table(df: DataFrame) -> DataFrame:
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly under ``path``, by the file system that Spark reads it with."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
