@@ -74,15 +74,40 @@ def latest_model_uri(spark: SparkSession, root: str, name: str, by: str = "mtime
                .orderBy(F.desc(by), F.desc("model_uri")).limit(1))
 
 
+def model_folder(uri: str) -> str:
+    """The folder that a model has to itself."""
+    return uri.rstrip("/").split("/")[-2]
+
+
+def latest_registered_uri(spark: SparkSession, root: str, name: str, by: str = "mtime") -> str:
+    """URI of the latest model that has its registry row, which is written once the model is saved
+    whole; for readers that run while models are registered."""
+    if by != "mtime":
+        rows = latest_model_uri(spark, root, name, by).collect()
+    else:
+        files = list_objects(spark, f"{root.rstrip('/')}/models/{name}", "part-*").where(F.col("path").contains("/model/metadata/"))
+        saved = files.groupBy(F.regexp_extract("path", r"([^/]+)/model/metadata/", 1).alias("folder")) \
+            .agg(F.max("modificationTime").alias("modified"))
+        reg = registry_table(spark, root).where(F.col("name") == name) \
+            .select("model_uri", F.regexp_extract("model_uri", "([^/]+)/model/?$", 1).alias("folder"))
+        rows = reg.join(saved, "folder").orderBy(F.desc("modified"), F.desc("model_uri")).limit(1).collect()
+    if not rows:
+        raise FileNotFoundError(f"no model registered under {root}/models/{name}")
+    return rows[0]["model_uri"]
+
+
+def load_model(spark: SparkSession, root: str, name: str, uri: str) -> tuple[PipelineModel, Preparation | None]:
+    """A registered model and the preparation saved with it."""
+    saved = registry_table(spark, root).where((F.col("name") == name) & F.col("model_uri").contains(f"/{model_folder(uri)}/")) \
+        .select("preparation").first()
+    prepared = Preparation.from_json(saved["preparation"]) if saved and saved["preparation"] else None
+    return PipelineModel.load(uri.replace("file:", "", 1) if uri.startswith("file:") else uri), prepared
+
+
 def load_latest(spark: SparkSession, root: str, name: str, by: str = "mtime"
                 ) -> tuple[PipelineModel, Preparation | None]:
     """The latest model called ``name`` and the preparation saved with it."""
     rows = latest_model_uri(spark, root, name, by).collect()
     if not rows:
         raise FileNotFoundError(f"no model registered under {root}/models/{name}")
-    path = rows[0]["model_uri"]
-    folder = path.rstrip("/").split("/")[-2]                 # each model has a folder of its own
-    saved = registry_table(spark, root).where((F.col("name") == name) & F.col("model_uri").contains(f"/{folder}/")) \
-        .select("preparation").first()
-    prepared = Preparation.from_json(saved["preparation"]) if saved and saved["preparation"] else None
-    return PipelineModel.load(path.replace("file:", "", 1) if path.startswith("file:") else path), prepared
+    return load_model(spark, root, name, rows[0]["model_uri"])
