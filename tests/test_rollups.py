@@ -25,13 +25,13 @@ def ranked(df):
 
 
 def test_facets_after_each_batch_equal_the_batch_facets(spark, tmp):
-    roll, seen = R.facet_rollup(tmp, FACETS, "w"), None
+    roll, seen = R.facet_rollup(tmp, FACETS, "w", compact_every=2), None
     for b in range(5):
         rows = make(spark, b).withColumn("w", F.coalesce(F.nanvl("v", F.lit(0.0)), F.lit(1.0)))
         seen = rows if seen is None else seen.union(rows)
         for again in ([b, 0] if b == 3 else [b]):                       # batch 0 comes again after it was merged
             first = make(spark, again).withColumn("w", F.coalesce(F.nanvl("v", F.lit(0.0)), F.lit(1.0)))
-            roll.add(first, again, compact_every=2)
+            roll.add(first, again)
         assert ranked(R.read_facets(spark, roll, FACETS, "w", size=3)) == ranked(multi_facet(seen, FACETS, "w", size=3))
     merged = tables._generation(spark, tmp, [g["name"] for g in tables.snapshot(spark, tmp)["generations"]])
     assert merged.groupBy("_batch", "facet", *FACETS).count().where("count > 1").isEmpty()      # reduced, not piled up
@@ -45,11 +45,11 @@ def test_batch_without_any_value(spark, tmp):
 
 
 def test_merged_sketches_keep_their_rank_error(spark, tmp):
-    roll, values = R.quantile_rollup(tmp, ["v"], k=200), []
+    roll, values = R.quantile_rollup(tmp, ["v"], k=200, compact_every=2), []
     for b in range(6):
         rows = make(spark, 10 + b, 2000)
         values += [r["v"] for r in rows.collect() if r["v"] is not None and not math.isnan(r["v"])]
-        roll.add(rows, b, compact_every=2)
+        roll.add(rows, b)
     values.sort()
     ranks = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
     row = roll.read(spark).select("n", *[R.at_rank(q).alias(f"q{i}") for i, q in enumerate(ranks)]).collect()

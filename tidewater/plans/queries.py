@@ -549,6 +549,118 @@ def q_lake_prune(spark, sf_dir):
     return _final_parsed(lake.where(F.col("date") >= F.lit("2024-01-15").cast("date")))
 
 
+# ---------------------------------------------------------------- aggregates, gate and newest rows of a stream
+
+from tidewater.operators.newest import newest_n  # noqa: E402
+from tidewater.streaming import gate as G  # noqa: E402
+from tidewater.streaming import rollups as R  # noqa: E402
+
+SENDS = 4                     # sends of the queries below, each one micro-batch
+ROLLUP_FACETS = ["k", "user_id"]
+
+
+def ingest_sends(spark: SparkSession, name: str, sends: list[DataFrame], **kw) -> Config:
+    """Each send to a topic, and ingested by the same stream into keyed tables."""
+    wd = work_dir(spark, name)
+    cfg = Config(source_format="topic", source_path=f"{wd}/topic", starting_offsets="earliest", lake_path=f"{wd}/lake",
+                 serving_path=f"{wd}/serving", dead_letter_path=f"{wd}/dead", checkpoint_path=f"{wd}/checkpoint",
+                 serving_key="record_id")
+    for n, send in enumerate(sends):
+        write_messages(send, "topic", path=cfg.source_path, txn=f"send-{n}")
+        run_ingest(spark, cfg, fields=S.EVENT_FIELDS, int_fields=S.EVENT_INT_FIELDS, available_now=True, **kw).awaitTermination()
+    return cfg
+
+
+_LIVE_FACETS_SQL = """
+WITH e AS (SELECT user_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, CAST(CAST(value AS FLOAT) AS DOUBLE) AS v FROM events),
+g AS (SELECT 'k' AS facet, k AS typed, count(*) AS doc_count, avg(v) AS a FROM e WHERE k IS NOT NULL GROUP BY k
+      UNION ALL SELECT 'user_id', user_id, count(*), avg(v) FROM e WHERE user_id IS NOT NULL GROUP BY user_id
+      UNION ALL SELECT '_all', NULL, count(*), avg(v) FROM e),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY facet ORDER BY doc_count DESC, typed) AS INTEGER) AS rank FROM g)
+SELECT facet, CAST(typed AS VARCHAR) AS key, doc_count, round(a, 6) AS avg_value, rank FROM r WHERE rank <= 10
+"""
+
+
+@register("live_rollup_facets", _LIVE_FACETS_SQL)
+def q_live_rollup_facets(spark, sf_dir):
+    """Facets and average kept by the ingest stream over three sends of all events, read from the partials."""
+    sent = S.event_messages(spark, sf_dir, keep=("event_id",))
+    roll = R.facet_rollup(f"{work_dir(spark, 'facets')}/facets", ROLLUP_FACETS, "value", compact_every=2)
+    ingest_sends(spark, "rollup", [sent.where(F.col("event_id") % 3 == n) for n in range(3)], rollups=[roll])
+    return R.read_facets(spark, roll, ROLLUP_FACETS, "value").withColumn("avg_value", F.round("avg_value", 6))
+
+
+SKETCHED = ["l_quantity", "l_extendedprice", "l_discount"]
+RANKS = [0.01, 0.25, 0.5, 0.75, 0.99]
+
+
+@register("live_quantiles", " UNION ALL ".join(
+    f"SELECT l_returnflag, '{c}' AS \"column\", q, count({c}) AS n, min(CAST({c} AS DOUBLE)) AS lo, max(CAST({c} AS DOUBLE)) AS hi, true AS within_error "
+    f"FROM lineitem, (VALUES {', '.join(f'(CAST({q} AS DOUBLE))' for q in RANKS)}) t(q) GROUP BY l_returnflag, q" for c in SKETCHED))
+def q_live_quantiles(spark, sf_dir):
+    """Sketches of four micro-batches of all line items, merged twice: count, exact ends, and whether the
+    true ranks of each quantile's value are within the sketch's error of the rank asked for."""
+    li = S.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_returnflag", *SKETCHED)
+    roll = R.quantile_rollup(f"{work_dir(spark, 'sketches')}/sketches", SKETCHED, by=["l_returnflag"], compact_every=2)
+    for n in range(SENDS):
+        roll.add(li.where(F.col("l_orderkey") % SENDS == n), n)
+    got = prep.materialize(roll.read(spark).select("l_returnflag", "column", "n", R.at_rank(0).alias("lo"), R.at_rank(1).alias("hi"),
+                           F.inline(F.array(*[F.struct(F.lit(q).alias("q"), R.at_rank(q).alias("at")) for q in RANKS]))))
+    cells = li.select(F.col("l_returnflag"), F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v")) for c in SKETCHED])))
+    ranks = cells.join(F.broadcast(got), ["l_returnflag", "column"]).groupBy("l_returnflag", "column", "q", "n", "lo", "hi").agg(  # flags x columns x ranks
+        F.avg((F.col("v") < F.col("at")).cast("int")).alias("below"), F.avg((F.col("v") <= F.col("at")).cast("int")).alias("upto"))
+    e = R.rank_error()
+    return ranks.select("l_returnflag", "column", "q", "n", "lo", "hi",
+                        ((F.col("below") - e <= F.col("q")) & (F.col("q") <= F.col("upto") + e)).alias("within_error"))
+
+
+_GATE_SQL = """
+WITH e AS (SELECT event_id % 4 AS b, CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 AS k, user_id,
+                  CASE WHEN event_id % 100 = 1 THEN NULL ELSE value END AS v, event_id FROM events),
+s AS (SELECT * FROM e WHERE NOT (b = 3 AND k = 2 AND event_id % 1000 <> 3)),
+c AS (SELECT b, k, count(*) AS n FROM s WHERE k IS NOT NULL GROUP BY b, k),
+q AS (SELECT s.b, count(*) AS n, CAST(sum((v IS NULL)::INT + (k IS NULL)::INT + (user_id IS NULL)::INT) AS BIGINT) AS m,
+             (SELECT min(n) FROM c WHERE c.b = s.b) AS least FROM s GROUP BY s.b)
+SELECT b AS batch_id, n AS total_records, CAST(2 AS INTEGER) AS total_features, m AS missing_cells, least AS min_class_count,
+       n >= 100 AS min_records, m = 0 AS no_missing, coalesce(least >= 30, false) AS balanced_target,
+       n >= 100 AND m = 0 AND coalesce(least >= 30, false) AS is_valid,
+       CASE WHEN n >= 100 AND m = 0 AND coalesce(least >= 30, false) THEN n ELSE 0 END AS lake_rows,
+       CASE WHEN n >= 100 AND m = 0 AND coalesce(least >= 30, false) THEN 0 ELSE n END AS rows_aside FROM q
+"""
+
+
+@register("ingest_gate", _GATE_SQL)
+def q_ingest_gate(spark, sf_dir):
+    """Four sends through a stream with a gate: the second lacks cells, the fourth has few rows of a
+    class.  The report of each batch, and how many of its rows the lake has and were set aside."""
+    ev = S.table(spark, sf_dir, "events").withColumn("value", F.when(F.col("event_id") % 100 == 1, None).otherwise(F.col("value")))
+    k = S.props_k() % 3
+    ev = ev.where(~((F.col("event_id") % 4 == 3) & (k == 2) & (F.col("event_id") % 1000 != 3)))
+    sent = S.to_envelope(ev, record_id="event_id", timestamp="ts", data={"user_id": F.col("user_id"), "value": F.col("value"), "k": k},
+                         batch_size=10, keep=("event_id",))
+    rule = G.Gate("k", [0, 1, 2], ["user_id", "value"], min_features=2)
+    cfg = ingest_sends(spark, "gate", [sent.where(F.col("event_id") % SENDS == n) for n in range(SENDS)], gate=rule)
+    kept = tables.read_table(spark, cfg.lake_path).groupBy((F.col("record_id") % SENDS).alias("batch_id")).agg(F.count("*").alias("lake_rows"))
+    aside = G.set_aside(spark, cfg.lake_path).groupBy(F.col("batch_id").cast("long").alias("batch_id")).agg(F.count("*").alias("rows_aside"))
+    return G.reports(spark, cfg.lake_path).drop("other_class_count", "min_features").join(kept, "batch_id", "left").join(aside, "batch_id", "left") \
+        .fillna(0, ["lake_rows", "rows_aside"])
+
+
+@register("newest_first", """
+WITH e AS (SELECT event_id AS record_id, ts AS event_timestamp, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events),
+a AS (SELECT 'all' AS "query", * FROM e ORDER BY event_timestamp DESC, record_id DESC LIMIT 25),
+b AS (SELECT 'k = 7' AS "query", * FROM e WHERE k = 7 ORDER BY event_timestamp DESC, record_id DESC LIMIT 5)
+SELECT * FROM a UNION ALL SELECT * FROM b
+""")
+def q_newest_first(spark, sf_dir):
+    """Newest rows, of all and of one term, from the newest hour folders of a lake of all events."""
+    path = f"{work_dir(spark, 'newest')}/lake"
+    write_lake(parsed_events(spark, sf_dir).drop("processed_at"), path)
+    cols = ["record_id", "event_timestamp", "k"]
+    newest = newest_n(spark, path, 25, cols=cols).select(F.lit("all").alias("query"), "*")
+    return newest.union(newest_n(spark, path, 5, F.col("k") == 7, cols=cols).select(F.lit("k = 7").alias("query"), "*"))
+
+
 # ---------------------------------------------------------------- models (rows-only checks)
 
 from tidewater.operators import model as M  # noqa: E402
@@ -657,6 +769,47 @@ def q_score_stream(spark, sf_dir):
     return spark.read.parquet(f"{wd}/out")
 
 
+from tidewater.operators.registry import register_model  # noqa: E402
+from tidewater.streaming.scoring import read_scored, run_live_scoring  # noqa: E402
+
+
+@register("score_live_models", """
+SELECT CASE WHEN l_orderkey % 3 = 0 THEN 3 ELSE 5 END AS n_estimators, count(*) AS scored, true AS beats_majority FROM lineitem GROUP BY 1
+""")
+def q_score_live_models(spark, sf_dir):
+    """All raw line items through one scoring stream in three parts; a second model is registered after
+    the first part.  Rows by the model that scored them, and whether it beats the larger class."""
+    wd, cols = work_dir(spark, "live_models"), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    raw = S.table(spark, sf_dir, "lineitem").select("l_orderkey", *cols, S.lineitem_label().alias("target"))
+    parts = [raw.where(F.col("l_orderkey") % 3 == n) for n in range(3)]
+
+    def put(n: int) -> None:
+        parts[n].write.mode("append").parquet(f"{wd}/in")
+
+    def register_forest(trees: int) -> None:
+        fitted = M.train_forest(parts[0], cols, num_trees=trees, max_depth=5)
+        got = M.evaluate_split(fitted, parts[0], parts[1])
+        register_model(spark, fitted, f"{wd}/models", FOREST, got, {"n_estimators": trees, "max_depth": 5})
+
+    register_forest(3)
+    put(0)
+    q = run_live_scoring(spark.readStream.schema(raw.schema).parquet(f"{wd}/in"), f"{wd}/models", FOREST, f"{wd}/out",
+                         f"{wd}/checkpoint", keep=["target"], trigger_seconds=1)
+    try:
+        q.processAllAvailable()
+        register_forest(5)
+        for n in (1, 2):
+            put(n)
+            q.processAllAvailable()
+    finally:
+        q.stop()
+    reg = registry_table(spark, f"{wd}/models").select(F.regexp_extract("model_uri", "([^/]+)/model$", 1).alias("model_folder"), "hyperparameters.n_estimators")
+    rows = read_scored(spark, f"{wd}/out").join(F.broadcast(reg), "model_folder")       # two registry rows
+    ones = F.avg("target")
+    return rows.groupBy("n_estimators").agg(F.count("prediction").alias("scored"),
+                                            (F.avg((F.col("prediction") == F.col("target")).cast("int")) > F.greatest(ones, 1 - ones)).alias("beats_majority"))
+
+
 def _embedding_frame(spark, sf_dir):
     e = S.table(spark, sf_dir, "embeddings")
     return split.split_hash(M.vector_frame(e, "embedding", "label"), "vec_id", 0.2, 42)

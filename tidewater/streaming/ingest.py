@@ -97,7 +97,7 @@ def dual_sink(cfg: Config, serving_cols: Sequence[str] | None = None,
                                                       cfg.serving_options, batch_id)),
                     ("lake", lambda: write_lake(good, cfg.lake_path, batch_id=batch_id)),
                 ]
-            sinks += [(f"rollup-{i}", lambda r=r: r.add(good, batch_id, cfg.compact_every)) for i, r in enumerate(rollups)]
+            sinks += [(f"rollup-{i}", lambda r=r: r.add(good, batch_id)) for i, r in enumerate(rollups)]
             if gate and not gated_write(good, cfg.lake_path, batch_id, gate, ("date", "hour"))["is_valid"]:
                 sinks = []                                  # set aside
             for name, fn in sinks:

@@ -26,14 +26,16 @@ SKETCH_K = 400                # size of a sketch: about 0.7 % of rank
 
 @dataclass(frozen=True)
 class Rollup:
-    """``partial`` makes the rows a batch leaves, ``merge`` reduces such rows (of merged ones too)."""
+    """``partial`` makes the rows a batch leaves, ``merge`` reduces such rows (of merged ones too);
+    batches are merged after every ``compact_every`` of them (0: by a job that calls ``compact``)."""
     path: str
     partial: Callable[[DataFrame], DataFrame]
     merge: Callable[[DataFrame], DataFrame]
+    compact_every: int = 0
 
-    def add(self, batch: DataFrame, batch_id: int, compact_every: int = 0) -> None:
-        tables.write_batch(self.partial(batch).coalesce(1), self.path, batch_id)
-        if compact_every and batch_id % compact_every == compact_every - 1:
+    def add(self, batch: DataFrame, batch_id: int) -> None:
+        tables.write_batch(self.partial(batch), self.path, batch_id)
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
             self.compact(batch.sparkSession)
 
     def compact(self, spark: SparkSession) -> bool:
@@ -45,7 +47,7 @@ class Rollup:
 
 # ------------------------------------------------------------------ facets
 
-def facet_rollup(path: str, facets: Sequence[str], metric: str | None = None) -> Rollup:
+def facet_rollup(path: str, facets: Sequence[str], metric: str | None = None, compact_every: int = 0) -> Rollup:
     """Rows ``facet, <typed value of each facet>, doc_count[, metric_sum, metric_count]``: one per value of a
     facet, and one (facet ``_all``) for the total."""
     facets = list(facets)
@@ -66,7 +68,7 @@ def facet_rollup(path: str, facets: Sequence[str], metric: str | None = None) ->
         sums = [F.sum(c).alias(c) for c in ("doc_count", "metric_sum", "metric_count") if c in rows.columns]
         return rows.groupBy("facet", *facets).agg(*sums)
 
-    return Rollup(path, partial, merge)
+    return Rollup(path, partial, merge, compact_every)
 
 
 def read_facets(spark: SparkSession, rollup: Rollup, facets: Sequence[str], metric: str | None = None, size: int = 10) -> DataFrame:
@@ -85,7 +87,7 @@ def rank_error(k: int = SKETCH_K) -> float:
     return 2.296 / k ** 0.9723
 
 
-def quantile_rollup(path: str, cols: Sequence[str], by: Sequence[str] = (), k: int = SKETCH_K) -> Rollup:
+def quantile_rollup(path: str, cols: Sequence[str], by: Sequence[str] = (), k: int = SKETCH_K, compact_every: int = 0) -> Rollup:
     """Rows ``<by>, column, n, sketch``; missing cells (NULL, NaN) are in no sketch."""
     by = list(by)
 
@@ -97,7 +99,7 @@ def quantile_rollup(path: str, cols: Sequence[str], by: Sequence[str] = (), k: i
     def merge(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*by, "column").agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", F.lit(k)).alias("sketch"))
 
-    return Rollup(path, partial, merge)
+    return Rollup(path, partial, merge, compact_every)
 
 
 def at_rank(rank: float) -> Column:
