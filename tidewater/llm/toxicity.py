@@ -42,7 +42,6 @@ from pyspark.sql.types import DoubleType
 from ._frames import read, stage
 
 SAMPLE = 6_000                # labelled rows of each label that lexicons are mined from
-MAX_TERMS = 3_000             # terms kept of each kind (words, prefixes)
 WORD_LISTS, PREFIX_LISTS = 8, 6
 PREFIXES = (4, 5, 6, 7)
 EM_ROUNDS = 12
@@ -106,7 +105,8 @@ def sample_labels(labels: DataFrame) -> tuple[list, dict[int, float]]:
 
 
 def mine_lexicon(docs: DataFrame, rows: list) -> list[str]:
-    """Terms that lean toxic in a bounded sample of training labels.  docs: (id, text)."""
+    """All terms that lean toxic in a bounded sample of training labels, so their number is bounded
+    by the sample's words.  docs: (id, text)."""
     sizes = {y: sum(r["toxic"] == y for r in rows) for y in (0, 1)}
     if not all(sizes.values()):
         return []
@@ -121,10 +121,8 @@ def mine_lexicon(docs: DataFrame, rows: list) -> list[str]:
     g = 2 * (a * F.log(a / (n * share)) + F.when(b > 0, b * F.log(b / (n * (1 - share)))).otherwise(0.0))
     lift = ((a + 0.5) / (sizes[1] + 1)) / ((b + 0.5) / (sizes[0] + 1))
     lean = counts.where("toxic > 0").withColumn("lift", lift).where((g >= 24) & (F.col("lift") >= 8))
-    prefix = F.col("term").contains("-")
-    return [r["term"] for kind in (prefix, ~prefix)
-            for r in lean.where(kind).orderBy(F.desc(F.col("toxic") - F.col("clean")), F.desc("lift"), "term")
-            .limit(MAX_TERMS).collect()]
+    order = [F.desc(F.col("term").contains("-")), F.desc(F.col("toxic") - F.col("clean")), F.desc("lift"), "term"]
+    return [r["term"] for r in lean.orderBy(*order).collect()]
 
 
 def _list_of(term: str) -> int:
