@@ -74,3 +74,38 @@ def test_metrics_when_labels_and_predictions_differ(spark):
     assert m.n == 3 and abs(m.accuracy - 1 / 3) < 1e-12 and abs(m.weighted_f1 - (2 / 3) * 0.5) < 1e-12
     none = metrics.classification_metrics(metrics.confusion(df.limit(0))).first()
     assert none.accuracy is None
+
+
+def test_identical_rows_meet_as_one_and_are_numbered_from_one(spark):
+    rows = [(1, -0.0, "a")] * 900 + [(1, 0.0, "a")] * 5 + [(None, float("nan"), None)] * 7 + [(i, 0.5, "b") for i in range(20)]
+    df = spark.createDataFrame(rows, "a int, x double, s string").repartition(6)
+    keyed = split.unique_key(df)
+    plan = keyed._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_count" in plan         # copies are added up before the shuffle
+    got = keyed.collect()
+    assert sorted(str((r.a, r.x, r.s)) for r in got) == sorted(str(r) for r in rows)
+    numbers = {}
+    for r in got:
+        whole, n = r.row_key.rsplit("-", 1)
+        numbers.setdefault((whole, str((r.a, r.x, r.s))), []).append(int(n))
+    assert len(numbers) == 23 and len({w for w, _ in numbers}) == 23
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in numbers.values())
+
+
+def test_many_identical_rows_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(split, "COPIES", 10)
+    df = spark.createDataFrame([(1, "a")] * 35 + [(2, "b")] * 10 + [(3, "c")] * 11, "a int, s string")
+    got = [(r.a, int(r.row_key.rsplit("-", 1)[1])) for r in split.unique_key(df).collect()]
+    assert sorted(got) == [(a, n) for a, k in ((1, 35), (2, 10), (3, 11)) for n in range(1, k + 1)]
+
+
+def test_split_reads_its_table_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(i):
+        seen.add(1)
+        return i
+    df = spark.range(500).select(counted("id").alias("k"), (F.col("id") % 2).alias("t"))
+    assert split.split_exact(df, "t", "k", 0.2, 42).where("is_test").count() == 100
+    assert seen.value == 500

@@ -7,16 +7,22 @@
   (which sorts a whole class in one task), the per-class threshold hash is found by
   the distributed order-statistic search, then a broadcast of one threshold row per
   class marks the rows in a map-only pass.  Keys must be unique, and are checked.
+  The table is written once with its hashes, so the passes read only the columns they need.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidewater.operators.prep import materialize
 from tidewater.operators.quantiles import first_histogram, order_statistics, stats_from
 
 MAX_CLASSES = 10_000          # one threshold row per class is sent to every task
+COPIES = 100_000              # identical rows numbered by one array
+# types whose JSON tells every two values apart, and that can be grouped by
+COUNTABLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType)
 
 
 def _c(x):
@@ -44,8 +50,19 @@ def test_counts(n: int, frac: float) -> int:
 
 def unique_key(df: DataFrame, key: str = "row_key") -> DataFrame:
     """A key for each row: a hash of all values (NULLs are told apart from absent and from
-    text) and a number among identical rows, so it is unique whatever the table holds."""
+    text) and a number among identical rows, so it is unique whatever the table holds.
+
+    Identical rows are counted and come out again numbered, so however many there are, they meet as
+    one row.  Tables with columns of other types than ``COUNTABLE`` number them by a window."""
     whole = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    if all(isinstance(f.dataType, COUNTABLE) for f in df.schema):
+        # grouping would turn -0.0 into 0.0: identical fractions come back by max
+        fractions = [f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))]
+        rows = (df.withColumn("_whole", whole).groupBy("_whole", *[c for c in df.columns if c not in fractions])
+                  .agg(F.count(F.lit(1)).alias("_n"), *[F.max(c).alias(c) for c in fractions])
+                  .withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"), F.lit(COPIES).cast("long"))))
+                  .withColumn("_number", F.explode(F.sequence("_from", F.least("_n", F.col("_from") + (COPIES - 1))))))
+        return rows.select(*df.columns, F.concat_ws("-", "_whole", F.col("_number").cast("string")).alias(key))
     w = Window.partitionBy("_whole").orderBy("_whole")
     return (df.withColumn("_whole", whole)
               .withColumn(key, F.concat_ws("-", F.col("_whole"), F.row_number().over(w).cast("string")))
@@ -56,9 +73,12 @@ def split_exact(df: DataFrame, label: str, key: str, frac: float = 0.2, seed: in
                 out: str = "is_test") -> DataFrame:
     """Raises ``ValueError`` when a key repeats (see :func:`unique_key`) or when there are
     more than ``MAX_CLASSES`` classes.  Rows without a label are never test rows."""
-    spark = df.sparkSession
-    h = df.select(F.col(label).alias("gid"), key_hash60(key, seed).alias("x"), F.col(key).alias("k"))
-    if not h.groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+    spark, columns = df.sparkSession, df.columns
+    df = materialize(df.withColumn("_hash", key_hash60(key, seed)))
+    h = df.select(F.col(label).alias("gid"), F.col("_hash").alias("x"), F.col(key).alias("k"))
+    # a key that repeats has a hash that repeats, and hashes are shorter to shuffle
+    twice = h.groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("x")
+    if not twice.isEmpty() and not h.join(twice, "x").groupBy("k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
         raise ValueError(f"split_exact needs unique keys; {key!r} repeats")
     if h.select("gid").distinct().limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
         raise ValueError(f"split_exact takes at most {MAX_CLASSES} classes")
@@ -68,7 +88,7 @@ def split_exact(df: DataFrame, label: str, key: str, frac: float = 0.2, seed: in
     want = {g: test_counts(n, frac) for g, (n, _, _) in stats_from(first).items()}
     targets = {g: [k - 1] for g, k in want.items() if k > 0}
     if not targets:
-        return df.withColumn(out, F.lit(False))
+        return df.select(*columns, F.lit(False).alias(out))
     got = order_statistics(hx_df, targets, first=first)
     gid_type = h.schema["gid"].dataType.simpleString()
     t_rows = F.broadcast(spark.createDataFrame(             # one row per class
@@ -80,7 +100,7 @@ def split_exact(df: DataFrame, label: str, key: str, frac: float = 0.2, seed: in
     last = (near.where(F.col("x") == F.col("t")).withColumn("rn", rank).join(below, "gid")
                 .where(F.col("rn") == F.col("want") - F.col("below"))
                 .select(F.col("gid").alias("_g"), F.col("t").alias("_t"), F.col("k").alias("_k")))
-    hx = key_hash60(key, seed)
+    hx = F.col("_hash")
     j = df.join(F.broadcast(last), df[label].eqNullSafe(F.col("_g")), "left")
     flag = F.coalesce((hx < F.col("_t")) | ((hx == F.col("_t")) & (F.col(key) <= F.col("_k"))), F.lit(False))
-    return j.select(*[df[c] for c in df.columns], flag.alias(out))
+    return j.select(*[df[c] for c in columns], flag.alias(out))
