@@ -90,6 +90,32 @@ def test_sums_of_many_tasks_are_added_on_spark(spark, monkeypatch):
     assert all(np.allclose(a, b) for a, b in zip(one[3], two[3]))
 
 
+def test_runs_of_batches_equal_a_job_per_batch(spark, monkeypatch):
+    df = table(spark, 130)
+    fits = {}
+    for cells in (1, 6 * 16 * 3, 1 << 20):              # a job per batch, three runs, one run
+        monkeypatch.setattr(P, "RUN_CELLS", cells)
+        rows, n, width = P.batches(df, "embedding", "label", "vec_id", 16)
+        assert (n, P._batches_per_run(130, n, width)) == (9, cells // (15 * 6))
+        fits[cells] = P.fit_batches(rows, n, width, 3, 8, 0.05, 2, 7)
+    (one, history), *others = fits.values()
+    for model, got in others:
+        assert [r[:3] for r in got] == [r[:3] for r in history] and np.allclose([r[3:] for r in got], [r[3:] for r in history])
+        assert model.steps == 18 and all(np.allclose(a, b) for a, b in zip(one.params + one.second, model.params + model.second))
+
+
+def test_small_batches_share_jobs_and_folders(spark):
+    rows, n, width = P.batches(table(spark, 600), "embedding", "label", "vec_id", 4)
+    assert n == 150 and len(rows.inputFiles()) < n
+    spark.sparkContext.setJobGroup("epoch", "epoch")
+    try:
+        P.fit_batches(rows, n, width, 3, 8, 0.05, 1, 7)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("epoch")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(jobs) < 20
+
+
 def test_rows_without_label_or_values_are_left_out(spark):
     df = table(spark, 30).union(spark.createDataFrame([(100, [1.0] * 5 + [None], 1), (101, None, 1), (102, [1.0] * 6, None)],
                                                       "vec_id long, embedding array<double>, label int"))

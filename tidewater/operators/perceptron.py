@@ -1,14 +1,17 @@
 """Mini-batch perceptron with epochs: ReLU, log-softmax, Adam; data-parallel on Spark.
 
 Rows are dealt to batches of exactly ``batch_size`` once, in a random order (a hash of the row's
-key and the seed), and written as one Parquet folder per batch.  An epoch visits the batches in
-an order drawn anew.  A step reads one folder (partition pruning), every task sums the loss and
-the gradients of its rows, and the driver adds one row per task and takes the Adam step: what
-crosses the network is the model's size times the tasks of a batch, never rows.  Above
-``DIRECT_TASKS`` tasks the sums are first added by a second stage.
+key and the seed).  An epoch visits the batches in an order drawn anew.
 
-A step is one Spark job, so on large tables choose a batch that is worth one (millions of
-rows); the small batches of the search space are for small tables.
+A step needs the parameters of the one before it.  So batches that are small beside a run (``RUN_CELLS``
+values, a bounded part of the table) are laid out in the order of the epoch, one folder per run, and
+a task takes the steps of one run; the driver passes the model on to the task of the next.  Spark
+shuffles the rows of each epoch, no task holds more than a run, and a job is worth many steps.
+
+A batch larger than a run is a folder and a job of its own: every task sums the loss and the gradients
+of its rows, and the driver adds one row per task and takes the Adam step.  Above ``DIRECT_TASKS``
+tasks the sums are first added by a second stage.  What crosses the network is the model's size
+times the tasks, never rows.
 
 Parameters and both Adam moments are written after every epoch where ``state_path`` is given; a
 run that finds such a table goes on after its last epoch with the same result.
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 
 from tidewater.operators.model import MAX_TRIALS, PARALLEL_TRIALS, sample_grid
 from tidewater.operators.numbering import numbered
+from tidewater.operators.prep import materialize
 from tidewater.session import work_dir
 
 # --- fixed values: network, epochs and search space of the training job; Adam's usual constants ---
@@ -41,6 +45,7 @@ BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 # --- end fixed values ---
 
 DIRECT_TASKS = 64             # tasks of a step whose sums the driver adds itself
+RUN_CELLS = 8 << 20           # feature values of the batches that one task steps through
 
 HISTORY = "epoch int, steps int, rows long, mean_loss double, accuracy double"
 
@@ -130,25 +135,71 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           "correct": [sum(r["correct"] for r in rows)], "grads": [total.tobytes()]})
 
 
-def batches(df: DataFrame, features: str, label: str, key: str, batch_size: int, seed: int = 42) -> tuple[DataFrame, int, int]:
-    """(rows x, y, batch; batches; width of x): every row in one batch, all but the last of the same size."""
-    spark = df.sparkSession
-    rows = df.select(F.col(features).cast("array<double>").alias("x"), F.col(label).cast("int").alias("y"),
+def _whole_batches(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(x, y) of each batch in turn, from rows in the order of their ``place``."""
+    left = None
+    for b in parts:
+        if not b.num_rows:
+            continue
+        x = b.column("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(b.num_rows, -1)
+        new = (x, b.column("y").to_numpy(), b.column("place").to_numpy())
+        x, y, place = new if left is None else (np.concatenate(c) for c in zip(left, new))
+        cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist()]
+        for i, j in zip(cuts, cuts[1:]):
+            yield x[i:j], y[i:j]
+        left = tuple(c[cuts[-1]:] for c in (x, y, place))
+    if left is not None:
+        yield left[0], left[1]
+
+
+_RUN = "n long, loss double, correct long, steps long, params binary, first binary, second binary"
+
+
+def _run_steps(parts: Iterator[pa.RecordBatch], shared, rate: float) -> Iterator[pa.RecordBatch]:
+    params, first, second, steps = shared.value
+    model = Model(*[[p.copy() for p in ps] for ps in (params, first, second)], steps)     # workers keep what is broadcast
+    n, loss, correct = 0, 0.0, 0
+    for x, y in _whole_batches(parts):
+        own, right, grads = sums(model.params, x, y)
+        model.adam([g / len(y) for g in grads], rate)
+        n, loss, correct = n + len(y), loss + own, correct + right
+    yield pa.RecordBatch.from_pydict({"n": [n], "loss": [loss], "correct": [correct], "steps": [model.steps],
+                                      **{c: [_flat(getattr(model, c)).tobytes()] for c in ("params", "first", "second")}})
+
+
+def dealt(df: DataFrame, features: str, label: str, key: str, seed: int = 42) -> tuple[DataFrame, int, int]:
+    """(rows x, y, pos in a random order; rows; width of x): the rows to train on."""
+    kept = "array<float>" if df.schema[features].dataType.simpleString() == "array<float>" else "array<double>"
+    rows = df.select(F.col(features).cast(kept).alias("x"), F.col(label).cast("int").alias("y"),
                      F.xxhash64(F.lit(seed), key).alias("draw"), F.col(key).alias("key"))
     rows = rows.where("x IS NOT NULL AND y IS NOT NULL AND NOT exists(x, e -> e IS NULL)")
-    rows = numbered(rows, ["draw", "key"]).select("x", "y", F.floor(F.col("pos") / batch_size).cast("int").alias("batch"))
-    path = work_dir(spark, "minibatches")
-    rows.write.partitionBy("batch").parquet(path)
-    try:
-        rows = spark.read.schema("x array<double>, y int, batch int").parquet(path)
-        last, width = rows.agg(F.max("batch"), F.max(F.size("x"))).first()
-    except Exception as e:
-        raise ValueError("no rows to train on") from e
+    rows = materialize(numbered(rows, ["draw", "key"]).select("x", "y", "pos"))
+    last, width = rows.agg(F.max("pos"), F.max(F.size("x"))).first()
     if last is None:
         raise ValueError("no rows to train on")
     return rows, last + 1, width
 
 
+def _batches_per_run(n_rows: int, n_batches: int, width: int) -> int:
+    """0 where a batch is larger than a run."""
+    return RUN_CELLS // (-(-n_rows // n_batches) * max(width, 1))
+
+
+def _batched(rows: DataFrame, n_rows: int, width: int, batch_size: int) -> tuple[DataFrame, int, int]:
+    n = -(-n_rows // batch_size)
+    rows = rows.withColumn("batch", F.floor(F.col("pos") / batch_size).cast("int"))
+    if not _batches_per_run(n_rows, n, width):
+        path = work_dir(rows.sparkSession, "minibatches")
+        rows.write.partitionBy("batch").parquet(path)
+        rows = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    return rows, n, width
+
+
+def batches(df: DataFrame, features: str, label: str, key: str, batch_size: int, seed: int = 42) -> tuple[DataFrame, int, int]:
+    """(rows x, y, pos, batch; batches; width of x): every row in one batch, all but the last of the same size."""
+    return _batched(*dealt(df, features, label, key, seed), batch_size)
+
+
 def _step(batch: DataFrame, params: list[np.ndarray]) -> tuple[int, float, int, list[np.ndarray]]:
     shared = batch.sparkSession.sparkContext.broadcast(params)      # the model
     try:
@@ -162,6 +213,26 @@ def _step(batch: DataFrame, params: list[np.ndarray]) -> tuple[int, float, int,
     return sum(r.n for r in rows), sum(r.loss for r in rows), sum(r.correct for r in rows), _shaped(total, params)
 
 
+def _epoch_in_runs(rows: DataFrame, order: list[int], per_run: int, model: Model, rate: float, path: str) -> tuple[int, float, int]:
+    """Takes a step on each batch in that order; returns rows, summed loss and right answers."""
+    spark = rows.sparkSession
+    places = spark.createDataFrame(pd.DataFrame({"batch": order, "place": range(len(order))}, dtype="int32"), "batch int, place int")
+    laid = rows.join(places, "batch").withColumn("run", F.floor(F.col("place") / per_run).cast("int")).drop("batch")
+    laid.repartition("run").write.mode("overwrite").partitionBy("run").parquet(path)
+    laid, total = spark.read.schema(laid.schema).parquet(path), np.zeros(3)
+    for run in range(-(-len(order) // per_run)):
+        shared = spark.sparkContext.broadcast((model.params, model.first, model.second, model.steps))      # the model
+        try:
+            of_run = laid.where(F.col("run") == run).coalesce(1).sortWithinPartitions("place", "pos")      # RUN_CELLS at most
+            r = of_run.select("x", "y", "place").mapInArrow(partial(_run_steps, shared=shared, rate=rate), _RUN).first()
+        finally:
+            shared.unpersist()
+        like, model.steps = model.params, r.steps
+        model.params, model.first, model.second = (_shaped(np.frombuffer(r[c]), like) for c in ("params", "first", "second"))
+        total += (r.n, r.loss, r.correct)
+    return int(total[0]), float(total[1]), int(total[2])
+
+
 def _save(spark: SparkSession, path: str, epoch: int, model: Model, row: tuple) -> None:
     state = [_flat(x).tobytes() for x in (model.params, model.first, model.second)]
     spark.createDataFrame([(*row, model.steps, *state)], f"{HISTORY}, done int, params binary, first binary, second binary") \
@@ -187,14 +258,18 @@ def fit_batches(rows: DataFrame, n_batches: int, width: int, n_classes: int, hid
     spark = rows.sparkSession
     model = Model.initial(width, hidden, n_classes, seed)
     history = _load(spark, state_path, model) if state_path else []
+    per_run, path = _batches_per_run(rows.count(), n_batches, width), work_dir(spark, "epoch")
     for epoch in range(len(history) + 1, epochs + 1):
         order = list(range(n_batches))
         random.Random(seed * 1_000_003 + epoch).shuffle(order)
         n, loss, correct = 0, 0.0, 0
-        for b in order:
-            rows_of, loss_of, right, grads = _step(rows.where(F.col("batch") == b), model.params)
-            model.adam([g / rows_of for g in grads], learning_rate)
-            n, loss, correct = n + rows_of, loss + loss_of, correct + right
+        if per_run:
+            n, loss, correct = _epoch_in_runs(rows, order, per_run, model, learning_rate, path)
+        else:
+            for b in order:
+                rows_of, loss_of, right, grads = _step(rows.where(F.col("batch") == b), model.params)
+                model.adam([g / rows_of for g in grads], learning_rate)
+                n, loss, correct = n + rows_of, loss + loss_of, correct + right
         history.append((epoch, n_batches, n, loss / n, correct / n))
         if state_path:
             _save(spark, state_path, epoch, model, history[-1])
@@ -235,14 +310,14 @@ def tune_perceptron(df: DataFrame, n_classes: int, features: str = "embedding",
                     space: dict = SEARCH_SPACE, max_trials: int = MAX_TRIALS, parallelism: int = PARALLEL_TRIALS,
                     hidden: int = HIDDEN, epochs: int = EPOCHS, seed: int = 42) -> tuple[DataFrame, dict, Model]:
     """Search learning rate x batch size for the best accuracy of the last epoch, ``parallelism``
-    trials at a time.  Returns (trials, best parameters, best model); rows are dealt once for each
-    batch size."""
+    trials at a time.  Returns (trials, best parameters, best model); rows are dealt once."""
     spark = df.sparkSession
     points = sample_grid(space, max_trials, seed)
-    dealt = {b: batches(df, features, label, key, b, seed) for b in sorted({int(p["batch_size"]) for p in points})}
+    rows = dealt(df, features, label, key, seed)
+    batched = {b: _batched(*rows, b) for b in sorted({int(p["batch_size"]) for p in points})}
 
     def trial(p: dict) -> tuple[Model, list[tuple]]:
-        return fit_batches(*dealt[int(p["batch_size"])], n_classes, hidden, float(p["learning_rate"]), epochs, seed)
+        return fit_batches(*batched[int(p["batch_size"])], n_classes, hidden, float(p["learning_rate"]), epochs, seed)
     with ThreadPoolExecutor(parallelism) as pool:
         done = list(pool.map(inheritable_thread_target(spark)(trial), points))
     rows = [(i, float(p["learning_rate"]), int(p["batch_size"]), *h[-1][1:]) for i, (p, (_, h)) in enumerate(zip(points, done))]
