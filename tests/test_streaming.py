@@ -136,3 +136,25 @@ def test_missing_dead_letter_folder_rejected(spark, tmp):
 def test_missing_checkpoint_rejected(spark, tmp):
     with pytest.raises(ValueError):
         run_ingest(spark, _cfg(tmp, checkpoint_path=None), available_now=True)
+
+
+def test_deduplicated_batches_write_an_hour_in_one_file(spark, tmp):
+    write_messages(S.event_messages(spark, SF001), "text", path=f"{tmp}/topic", num_files=1)
+    cfg = _cfg(tmp)
+    _run(spark, cfg, dedupe_within="1 hour")
+    files = read_lake(spark, cfg.lake_path).select("date", "hour", F.input_file_name().alias("file")).distinct()
+    assert {r["count"] for r in files.groupBy("date", "hour").count().collect()} == {1}
+
+
+def test_keys_of_one_bucket_are_told_apart(spark, tmp, monkeypatch):
+    from tidewater.streaming import dedupe
+    monkeypatch.setattr(dedupe, "BUCKETS", 1)
+    test_late_rows_and_repeats_are_kept(spark, tmp)
+
+
+def test_state_has_partitions_by_cores(spark):
+    from tidewater.session import session_conf
+    from tidewater.streaming import dedupe
+    for asked, got in ((5, 5), (1000, max(32, 2 * spark.sparkContext.defaultParallelism))):
+        with session_conf(spark, {"spark.sql.shuffle.partitions": str(asked)}), dedupe.state_conf(spark):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == str(got)
