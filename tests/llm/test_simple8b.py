@@ -73,3 +73,31 @@ def test_files_read_back_as_documents(spark, tmp):
 def test_empty(spark, tmp):
     spark.createDataFrame([], "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
     assert S.op5_simple8b(spark, tmp).isEmpty()
+
+
+class Counting(S.WordCache):
+    asked = 0
+
+    def get(self, *key):
+        self.asked += 1
+        return super().get(*key)
+
+
+def test_a_batch_looks_up_each_distinct_word_once():
+    bpe = S.ByteBpe(open(S.default_tokenizer(), encoding="utf-8").read())
+    bpe.words, bpe.parts = Counting(1000), Counting(1000)
+    texts = ["one two, three\nfour " * 20 + "five"] * 50
+    lib = bpe.tokenizer.encode(texts[0], add_special_tokens=False).ids
+    for _ in range(2):
+        assert all(ids.tolist() == lib for ids in bpe.encode(texts))
+    assert bpe.words.asked + bpe.parts.asked <= 2 * 2 * 6  # 6 distinct words, two calls, newer and older half
+
+
+def test_white_space_of_every_kind_equals_the_library():
+    from tokenizers import Tokenizer
+    lib = Tokenizer.from_file(S.default_tokenizer())
+    bpe = S.ByteBpe(open(S.default_tokenizer(), encoding="utf-8").read(), 30)
+    texts = [t for x in range(0x3100) if chr(x).isspace() or x < 0x21 or x in (0x180E, 0x200B)
+             for c in [chr(x)] for t in (c, f"a{c}b", f"a {c}b", f"a{c} b", f"a\n{c}b", f"{c}a b", f"a b{c}", f"a{c}{c}b")]
+    for t, ids in zip(texts, bpe.encode(texts)):
+        assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids, repr(t)

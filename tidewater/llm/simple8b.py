@@ -34,6 +34,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,44 +57,64 @@ END = 0
 _COUNTS = np.array([1, *(c for c, _ in WIDTHS), RUN], np.int64)
 
 
-def _runs(at: np.ndarray) -> np.ndarray:
-    """For sorted positions, how many consecutive ones start at each."""
-    last = np.flatnonzero(np.append(np.diff(at) != 1, True))
-    return np.repeat(at[last], np.diff(np.append(-1, last))) - at + 1
-
-
-def _choose(ids: np.ndarray, left: np.ndarray) -> np.ndarray:
-    """For each position the selector of a word that starts there: the one that takes most
-    ids.  left: ids up to the end of the block; a last word may be filled with zeros."""
-    out, at = np.zeros(len(ids), np.int8), np.arange(len(ids))
-    top = int(ids.max()).bit_length() if len(ids) else 0
-    for k in range(len(WIDTHS), 0, -1):  # ever narrower: each keeps a part of the positions
-        count, bits = WIDTHS[k - 1]
-        if bits >= top:
-            out[:] = k
-            continue
-        at = at[ids[at] >> np.uint64(bits) == 0]
-        if not len(at):
-            return out
-        out[at[_runs(at) >= np.minimum(count, left[at])]] = k
-    at = at[ids[at] == 0]
-    if len(at):
-        out[at[np.minimum(_runs(at), left[at]) >= RUN]] = 15
+_LIMITS = np.array([0, *((1 << bits) - 1 for _, bits in WIDTHS)], np.uint64)
+_RANKS = np.searchsorted(_LIMITS, np.arange(1 << 16, dtype=np.uint64)).astype(np.uint8)
+
+
+def _ranks(ids: np.ndarray) -> np.ndarray:
+    """For each id the selector of least width that holds it; 0 for a zero, 15 for an escape."""
+    if len(ids) and int(ids.max()) < len(_RANKS):
+        return _RANKS[ids]
+    return np.searchsorted(_LIMITS, ids).astype(np.uint8)
+
+
+def _choose(ids: np.ndarray) -> np.ndarray:
+    """For each position the selector of a word that starts there, the one that takes most ids: a
+    row a block.  A last word may be filled with zeros, so what follows a block counts as zeros."""
+    blocks = -(-len(ids) // BLOCK)
+    filled = np.zeros(blocks * BLOCK, np.uint8)
+    filled[: len(ids)] = _ranks(ids)
+    rank = np.zeros((blocks, BLOCK + RUN), np.uint8)
+    rank[:, :BLOCK] = filled.reshape(blocks, BLOCK)
+    out = np.zeros((blocks, BLOCK), np.uint8)
+    most, m = rank, 1                     # the highest rank of the m ids from each position on
+    for k in range(len(WIDTHS), 0, -1):   # ever narrower, so the last that fits takes most ids
+        count = WIDTHS[k - 1][0]
+        while 2 * m <= count:
+            most, m = np.maximum(most[:, :-m], most[:, m:]), 2 * m
+        window = np.maximum(most[:, :BLOCK], most[:, count - m: count - m + BLOCK])
+        np.copyto(out, k, where=window <= k)
+    # a run of zeros is never filled up
+    run = np.maximum(window[:, : BLOCK - RUN + 1], window[:, RUN // 2: BLOCK - RUN // 2 + 1]) == 0
+    run[blocks - 1:, max(0, len(ids) - (blocks - 1) * BLOCK - RUN + 1):] = False
+    np.copyto(out[:, : BLOCK - RUN + 1], 15, where=run)
     return out
 
 
+def _starts(step: np.ndarray) -> np.ndarray:
+    """The positions where words start, all blocks a word at a time.  step: a row a block, the ids
+    that a word at each position takes."""
+    blocks = len(step)
+    flat, at, ends = step.reshape(-1), np.arange(blocks) * BLOCK, np.arange(1, blocks + 1) * BLOCK
+    mark = np.zeros(blocks * BLOCK, bool)
+    while len(at):
+        mark[at] = True
+        at = at + flat[at]
+        live = at < ends
+        if not live.all():
+            at, ends = at[live], ends[live]
+    return np.flatnonzero(mark)
+
+
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of all blocks of ``ids`` (uint64), and the first word of each block."""
     n = len(ids)
     left = BLOCK - np.arange(n) % BLOCK
     left = np.minimum(left, n - np.arange(n))
-    pick = _choose(ids, left)
-    starts, at, step = [], 0, np.minimum(_COUNTS[pick], left).tolist()
-    while at < n:
-        starts.append(at)
-        at += step[at]
-    starts = np.array(starts, np.int64)
-    sel = pick[starts]
+    pick = _choose(ids)
+    starts = _starts(_COUNTS[pick])
+    starts = starts[starts < n]
+    sel = pick.reshape(-1)[starts]
     size = np.where(sel == 0, 2, 1)
     place = np.cumsum(size) - size
     words = np.zeros(int(size.sum()), np.uint64)
@@ -184,12 +206,15 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
 class ByteBpe:
     """The tokenizers library behind a bounded cache of words.
 
-    The file's pre-tokenizer always cuts before a blank between two other characters, before
-    and after a line feed between two others, and between letters and punctuation marks, so
-    a text's ids are those of its words, each with the blank before it.  Texts with any other
-    white space, or with a special token's string, go to the library whole."""
+    The file's pre-tokenizer always cuts before a blank between two other characters, and
+    before and after a line feed between two others, so a text's ids are those of its words,
+    each with the blank or line feed before it.  Texts are split, and the ids of their words put
+    together, as Arrow columns; only distinct words are looked up one by one.  Texts with any
+    other white space, or with a special token's string, go to the library whole."""
 
-    _marks = ".,;:!?*&%$#|"
+    # blanks and line feeds at an end or next to each other, and all other white space
+    _other = ("\\A[ \n]|[ \n]\\z|[ \n][ \n]|"
+              "[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
     def __init__(self, tokenizer_json: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
@@ -200,90 +225,72 @@ class ByteBpe:
         vocabulary = self.tokenizer.get_vocab()
         self.blank = np.zeros(max(vocabulary.values()) + 1, bool)
         self.blank[[i for t, i in vocabulary.items() if t.startswith("\u0120")]] = True  # the byte of a blank
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.cuts = len(line) == 1        # else words cannot be told apart by a line feed's id
+        self.line = np.zeros(len(self.blank), bool)
+        self.line[line] = True
+        # words after a blank, without it; words after a line feed, with it
         self.words, self.parts = WordCache(cached_words), WordCache(3 * cached_words // 5)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _library_words(self, parts: list[str]) -> dict[str, bytes]:
-        """Parts that are a blank and other characters go to the library as one text: it cuts
-        before every blank, so a word's ids start at each id whose token starts with a blank."""
-        words = [p for p in parts if p[0] == " " and len(p) > 1]
+    def _library_words(self, words: list[str], mark: str, marks: np.ndarray) -> dict[str, bytes]:
+        """Words that follow a blank or line feed go to the library as one text: it cuts there,
+        so a word's ids start at each id whose token starts with that mark."""
         found = {}
         for at in range(0, len(words), 20_000):
             some = words[at: at + 20_000]
-            ids = np.frombuffer(self._library(["".join(some)])[0], np.uint32)
-            first = np.flatnonzero(self.blank[ids])
+            ids = np.frombuffer(self._library(["".join([mark + w for w in some])])[0], np.uint32)
+            first = np.flatnonzero(marks[ids])
             if len(first) != len(some):
-                raise RuntimeError("the tokenizer file does not cut before blanks")
+                raise RuntimeError("the tokenizer file does not cut before blanks and line feeds")
             ends, raw = np.append(first[1:], len(ids)).tolist(), ids.tobytes()
             found.update({w: raw[4 * a: 4 * b] for w, a, b in zip(some, first.tolist(), ends)})
-        rest = [p for p in parts if p not in found]
-        found.update(zip(rest, self._library(rest)))
         return found
 
-    def _split(self, word: str) -> list[str]:
-        """The strings that a word's ids are made of.  A word after a line feed starts with
-        it; the first of a text starts with a carriage return, which is taken off; all others
-        have a blank put in front."""
-        if word[:1] == "\n":
-            return ["\n", *self._split("\r" + word[1:])] if len(word) > 1 else ["\n"]
-        text = word[1:] if word[:1] == "\r" else " " + word
-        core = text.rstrip(self._marks)
-        if core != text and core.lstrip(" ").isalpha():
-            return [core, text[len(core):]]
-        return [text] if text else []
-
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of words that the cache's newer half does not hold."""
-        out, new, parts, lost = {}, {}, {}, []
-        old, cache, known, split = self.words.old.get, self.words, self.parts.find, self._split
-        for w in words:
-            ids = old(w)
-            if ids is not None:
-                out[w] = ids
-                cache.keep(w, ids)
-                continue
-            new[w] = own = split(w)
-            for p in own:
-                if p not in parts:
-                    parts[p] = ids = known(p)
-                    if ids is None:
-                        lost.append(p)
-        if lost:
-            found = self._library_words(lost)
-            self.parts.put(found)
-            parts.update(found)
-        made = {w: parts[own[0]] if len(own) == 1 else b"".join([parts[p] for p in own]) for w, own in new.items()}
-        cache.put(made)
-        out.update(made)
-        return out
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of distinct words, with those of the blank or line feed before them."""
+        ids = list(map(self.words.get, words))
+        apart, after = [], []
+        for i, w in enumerate(words):
+            if ids[i] is None:
+                line = w[0] == "\n"
+                ids[i] = (self.parts if line else self.words).find(w)
+                if ids[i] is None:
+                    (after if line else apart).append(w)
+        new = self._library_words(apart, " ", self.blank)
+        self.words.put(new)
+        lines = self._library_words(after, "", self.line)
+        self.parts.put(lines)
+        new.update(lines)
+        return [new[w] if x is None else x for w, x in zip(words, ids)]
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
-        out, whole, wait, lost, known = [b""] * len(texts), [], {}, set(), self.words.get
-        for i, t in enumerate(texts):
-            if not t:
-                continue
-            words = t.replace("\n", " \n").split(" ")
-            # other white space, two of them together, or a special token
-            if len(t.split()) != len(words) or any(x in t for x in self.special):
-                whole.append(i)
-                continue
-            words[0] = "\r" + words[0]
-            ids = list(map(known, words))
-            if None in ids:
-                lost.update([w for w, x in zip(words, ids) if x is None])
-                wait[i] = words, ids
-            else:
-                out[i] = b"".join(ids)
+        column = pa.array([t or "" for t in texts], pa.large_string())
+        rest = pc.match_substring_regex(column, self._other)
+        for x in self.special:
+            rest = pc.or_(rest, pc.match_substring(column, x))
+        rest = rest.to_numpy(zero_copy_only=False) | (not self.cuts)
+        filled = pc.not_equal(column, "").to_numpy(zero_copy_only=False)
+        out = [np.empty(0, np.uint32)] * len(texts)
+        whole, split = np.flatnonzero(filled & rest).tolist(), np.flatnonzero(filled & ~rest).tolist()
         for i, ids in zip(whole, self._library([texts[i] for i in whole])):
-            out[i] = ids
-        learnt = self._learn(lost)
-        for i, (words, ids) in wait.items():
-            out[i] = b"".join([learnt[w] if x is None else x for w, x in zip(words, ids)])
-        return [np.frombuffer(x, np.uint32) for x in out]
+            out[i] = np.frombuffer(ids, np.uint32)
+        if not split:
+            return out
+        # a text is given a line feed in front, so that its first word has a mark, too
+        lines = pc.replace_substring(column.take(pa.array(split)), "\n", " \n")
+        words = pc.split_pattern(pc.binary_replace_slice(lines, 0, 0, "\n"), " ")
+        coded = words.flatten().dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        raw = np.frombuffer(ids.buffers()[2], np.uint32)
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[words.offsets.to_numpy()] // 4
+        for i, a, b in zip(split, ends[:-1].tolist(), ends[1:].tolist()):
+            out[i] = raw[a + 1: b]
+        return out
 
 
 _TOKENIZERS: dict[str, ByteBpe] = {}
