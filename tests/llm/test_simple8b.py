@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidewater.llm import simple8b as S
@@ -75,22 +76,29 @@ def test_empty(spark, tmp):
     assert S.op5_simple8b(spark, tmp).isEmpty()
 
 
-class Counting(S.WordCache):
-    asked = 0
-
-    def get(self, *key):
-        self.asked += 1
-        return super().get(*key)
-
-
-def test_a_batch_looks_up_each_distinct_word_once():
+def test_a_batch_looks_up_each_distinct_word_once(monkeypatch):
     bpe = S.ByteBpe(open(S.default_tokenizer(), encoding="utf-8").read())
-    bpe.words, bpe.parts = Counting(1000), Counting(1000)
+    asked, find = [], S.WordTable.find
+    monkeypatch.setattr(S.WordTable, "find", lambda self, words: asked.extend(words.to_pylist()) or find(self, words))
     texts = ["one two, three\nfour " * 20 + "five"] * 50
     lib = bpe.tokenizer.encode(texts[0], add_special_tokens=False).ids
-    for _ in range(2):
-        assert all(ids.tolist() == lib for ids in bpe.encode(texts))
-    assert bpe.words.asked + bpe.parts.asked <= 2 * 2 * 6  # 6 distinct words, two calls, newer and older half
+    assert all(ids.tolist() == lib for ids in bpe.encode(texts))
+    assert sorted(asked) == sorted(["\none", "one", "two,", "three", "\nfour", "five"])
+    monkeypatch.setattr(bpe, "_library", lambda texts: [] if not texts else 1 / 0)  # all is known now
+    assert all(ids.tolist() == lib for ids in bpe.encode(texts))
+
+
+def test_word_table_is_bounded_and_finds_what_it_has():
+    table, words = S.WordTable(50), [f"w{i}" for i in range(500)] + ["x" * 65]
+    for at in range(0, 501, 20):
+        some = words[at: at + 20]
+        table.keep(pa.array(some, pa.large_string()), pa.array([w.encode() for w in some], pa.large_binary()))
+        assert len(table) <= 50 and len(table.old) <= 50
+    got = table.find(pa.array(words, pa.large_string())).to_pylist()
+    assert got[-1] is None and got[0] is None and got[499] == b"w499"
+    assert all(x in (None, w.encode()) for w, x in zip(words, got)) and 50 < 501 - got.count(None) <= 100
+    table.keep(pa.array(["a", "b"], pa.large_string()), pa.array([bytes(50 * S.WORD_BYTES), b"b"], pa.large_binary()))
+    assert "a" not in list(table) and table.size <= 50 * S.WORD_BYTES
 
 
 def test_white_space_of_every_kind_equals_the_library():

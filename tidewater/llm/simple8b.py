@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from tidewater.session import work_dir
 
-from ._cache import WordCache
+from ._cache import LONGEST, WORD_BYTES
 from ._frames import ordered, read, stage
 
 WIDTHS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15),
@@ -50,7 +50,7 @@ RUN = 120                                 # zeros of selector 15
 BLOCK = 4096                              # ids of a block
 FILE_IDS = 1 << 20                        # ids after which a file ends
 MAGIC = b"S8B1"
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000                    # a look-up of a batch passes over the whole table
 END = 0
 
 
@@ -203,14 +203,66 @@ def read_file(data: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if x else int(d) for d, x in zip(docs, null)], ends, unpack(words, first, n_ids) if n_ids else words
 
 
+_NO_WORDS, _NO_IDS = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+
+class WordTable:
+    """Words and their ids as Arrow columns, bounded as ``_cache.WordCache`` is: ``limit`` words, or
+    ``limit`` times ``WORD_BYTES`` bytes, make a generation, and the one before it is kept."""
+
+    def __init__(self, limit: int, generations: int = 2):
+        self.limit, self.size, self.words, self.ids = limit, 0, _NO_WORDS, _NO_IDS
+        self.old = WordTable(limit, generations - 1) if generations > 1 else None
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.words.to_pylist())
+
+    def items(self) -> Iterator[tuple[str, bytes]]:
+        return zip(self.words.to_pylist(), self.ids.to_pylist())
+
+    def find(self, words: pa.Array) -> pa.Array:
+        """Ids of each word, null where they are not known; what only the older generation has
+        moves to the newer."""
+        at = pc.index_in(words, value_set=self.words)
+        ids = self.ids.take(at)
+        if at.null_count and self.old is not None and len(self.old):
+            rest = words.filter(at.is_null())
+            old = pc.index_in(rest, value_set=self.old.words)
+            place = np.arange(len(words))
+            place[at.is_null().to_numpy(zero_copy_only=False)] = len(words) + np.arange(len(rest))
+            moved = self.old.ids.take(old)
+            ids = pa.concat_arrays([ids, moved]).take(pa.array(place))
+            self.keep(rest.filter(old.is_valid()), moved.filter(old.is_valid()))
+        return ids
+
+    def keep(self, words: pa.Array, ids: pa.Array) -> None:
+        """Take in words that the newer generation has not."""
+        short = pc.less_equal(pc.utf8_length(words), LONGEST)
+        words, ids = words.filter(short), ids.filter(short)
+        sizes = np.cumsum(pc.binary_length(words).to_numpy() + pc.binary_length(ids).to_numpy() + 16)
+        room = self.limit * WORD_BYTES
+        n = min(self.limit, int(np.searchsorted(sizes, room, side="right")))
+        if not n:
+            return
+        words, ids, size = words[:n], ids[:n], int(sizes[n - 1])
+        if len(self) + n > self.limit or self.size + size > room:
+            self.old.words, self.old.ids = self.words, self.ids
+            self.words, self.ids, self.size = _NO_WORDS, _NO_IDS, 0
+        self.words, self.ids = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids])
+        self.size += size
+
+
 class ByteBpe:
     """The tokenizers library behind a bounded cache of words.
 
     The file's pre-tokenizer always cuts before a blank between two other characters, and
     before and after a line feed between two others, so a text's ids are those of its words,
     each with the blank or line feed before it.  Texts are split, and the ids of their words put
-    together, as Arrow columns; only distinct words are looked up one by one.  Texts with any
-    other white space, or with a special token's string, go to the library whole."""
+    together, as Arrow columns; only distinct words are looked up.  Texts with any other white
+    space, or with a special token's string, go to the library whole."""
 
     # blanks and line feeds at an end or next to each other, and all other white space
     _other = ("\\A[ \n]|[ \n]\\z|[ \n][ \n]|"
@@ -230,42 +282,48 @@ class ByteBpe:
         self.line = np.zeros(len(self.blank), bool)
         self.line[line] = True
         # words after a blank, without it; words after a line feed, with it
-        self.words, self.parts = WordCache(cached_words), WordCache(3 * cached_words // 5)
+        self.words, self.parts = WordTable(cached_words), WordTable(3 * cached_words // 5)
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
 
-    def _library_words(self, words: list[str], mark: str, marks: np.ndarray) -> dict[str, bytes]:
+    def _library_words(self, words: pa.Array, mark: str, marks: np.ndarray) -> pa.Array:
         """Words that follow a blank or line feed go to the library as one text: it cuts there,
         so a word's ids start at each id whose token starts with that mark."""
-        found = {}
-        for at in range(0, len(words), 20_000):
-            some = words[at: at + 20_000]
-            ids = np.frombuffer(self._library(["".join([mark + w for w in some])])[0], np.uint32)
+        if not len(words):
+            return _NO_IDS
+        _, at, data = pc.binary_replace_slice(words, 0, 0, mark).buffers()
+        at, data = np.frombuffer(at, np.int64)[: len(words) + 1], memoryview(data)
+        found, sizes = [], [[0]]
+        for i in range(0, len(words), 20_000):
+            j = min(i + 20_000, len(words))
+            ids = np.frombuffer(self._library([str(data[at[i]: at[j]], "utf-8")])[0], np.uint32)
             first = np.flatnonzero(marks[ids])
-            if len(first) != len(some):
+            if len(first) != j - i:
                 raise RuntimeError("the tokenizer file does not cut before blanks and line feeds")
-            ends, raw = np.append(first[1:], len(ids)).tolist(), ids.tobytes()
-            found.update({w: raw[4 * a: 4 * b] for w, a, b in zip(some, first.tolist(), ends)})
-        return found
-
-    def _ids(self, words: list[str]) -> list[bytes]:
+            found.append(ids)
+            sizes.append(np.diff(first, append=len(ids)))
+        ends = 4 * np.cumsum(np.concatenate(sizes).astype(np.int64))
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(ends), pa.py_buffer(np.concatenate(found))])
+
+    def _known(self, table: WordTable, words: pa.Array, mark: str, marks: np.ndarray) -> pa.Array:
+        ids = table.find(words)
+        lost = ids.is_null()
+        at = np.arange(len(words))
+        new = np.flatnonzero(lost.to_numpy(zero_copy_only=False))
+        at[new] = len(words) + np.arange(len(new))
+        learnt, words = self._library_words(words.filter(lost), mark, marks), words.filter(lost)
+        table.keep(words, learnt)
+        return pa.concat_arrays([ids, learnt]).take(pa.array(at))
+
+    def _ids(self, words: pa.Array) -> pa.Array:
         """Ids of distinct words, with those of the blank or line feed before them."""
-        ids = list(map(self.words.get, words))
-        apart, after = [], []
-        for i, w in enumerate(words):
-            if ids[i] is None:
-                line = w[0] == "\n"
-                ids[i] = (self.parts if line else self.words).find(w)
-                if ids[i] is None:
-                    (after if line else apart).append(w)
-        new = self._library_words(apart, " ", self.blank)
-        self.words.put(new)
-        lines = self._library_words(after, "", self.line)
-        self.parts.put(lines)
-        new.update(lines)
-        return [new[w] if x is None else x for w, x in zip(words, ids)]
+        lines = pc.starts_with(words, "\n").to_numpy(zero_copy_only=False)
+        apart, after = np.flatnonzero(~lines), np.flatnonzero(lines)
+        ids = pa.concat_arrays([self._known(self.words, words.take(pa.array(apart)), " ", self.blank),
+                                self._known(self.parts, words.take(pa.array(after)), "", self.line)])
+        return ids.take(pa.array(np.argsort(np.concatenate([apart, after]))))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids (uint32) of each text."""
@@ -285,7 +343,7 @@ class ByteBpe:
         lines = pc.replace_substring(column.take(pa.array(split)), "\n", " \n")
         words = pc.split_pattern(pc.binary_replace_slice(lines, 0, 0, "\n"), " ")
         coded = words.flatten().dictionary_encode()
-        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ids = self._ids(coded.dictionary).take(coded.indices)
         raw = np.frombuffer(ids.buffers()[2], np.uint32)
         ends = np.frombuffer(ids.buffers()[1], np.int64)[words.offsets.to_numpy()] // 4
         for i, a, b in zip(split, ends[:-1].tolist(), ends[1:].tolist()):
