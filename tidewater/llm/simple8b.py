@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.session import work_dir
+from tidewater.session import session_conf, work_dir
 
 from ._cache import LONGEST, WORD_BYTES
 from ._frames import ordered, read, stage
@@ -49,6 +49,7 @@ WIDTHS = ((60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8),
 RUN = 120                                 # zeros of selector 15
 BLOCK = 4096                              # ids of a block
 FILE_IDS = 1 << 20                        # ids after which a file ends
+OPEN_COST = 1 << 18                       # bytes that a file counts for beside its own when files are dealt to tasks
 MAGIC = b"S8B1"
 CACHED_WORDS = 100_000                    # a look-up of a batch passes over the whole table
 END = 0
@@ -109,11 +110,10 @@ def _starts(step: np.ndarray) -> np.ndarray:
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Words of all blocks of ``ids`` (uint64), and the first word of each block."""
     n = len(ids)
-    left = BLOCK - np.arange(n) % BLOCK
-    left = np.minimum(left, n - np.arange(n))
     pick = _choose(ids)
     starts = _starts(_COUNTS[pick])
     starts = starts[starts < n]
+    left = np.minimum(BLOCK - starts % BLOCK, n - starts)  # ids up to the end of the block
     sel = pick.reshape(-1)[starts]
     size = np.where(sel == 0, 2, 1)
     place = np.cumsum(size) - size
@@ -128,11 +128,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             words[to] = 15
         else:
             count, bits = WIDTHS[k - 1]
-            value, last = np.full(len(at), k, np.uint64), np.flatnonzero(left[at] < count)
+            value, space = np.full(len(at), k, np.uint64), left[own]
+            last = np.flatnonzero(space < count)
             for j in range(count):
                 part = padded[at + j]
                 if len(last):
-                    part[last] *= left[at[last]] > j  # a block's last word is filled with zeros
+                    part[last] *= space[last] > j  # a block's last word is filled with zeros
                 value |= part << np.uint64(4 + j * bits)
             words[to] = value
     return words, place[starts % BLOCK == 0]
@@ -168,8 +169,11 @@ def unpack(words: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
         elif k < 15:
             count, bits = WIDTHS[k - 1]
             shifts = np.arange(count, dtype=np.uint64) * np.uint64(bits) + np.uint64(4)
-            to = start[own][:, None] + np.arange(count)
-            out[np.where(to < end[own][:, None], to, n)] = (words[lead[own]][:, None] >> shifts) & np.uint64((1 << bits) - 1)
+            at, own = start[own], np.flatnonzero(own)
+            to = at[:, None] + np.arange(count)
+            last = np.flatnonzero(at + count > end[own])
+            to[last] = np.where(to[last] < end[own[last]][:, None], to[last], n)
+            out[to] = (words[lead[own]][:, None] >> shifts) & np.uint64((1 << bits) - 1)
     return out[:n]
 
 
@@ -461,7 +465,9 @@ def op5_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     starts = ordered(files, [F.asc("file")], "n_ids", "s8b-order").select("file", F.col("before").alias("first"))
-    docs = stage(_binary(spark, folder).mapInPandas(
-        _digest, "file string, doc_id long, ids_before long, n_tokens long, ids_crc32 long"), "s8b-docs", 1)  # a row is a file
+    # files of some 150 KB: counted as 4 MB each, as Spark does, they make a task of every few
+    with session_conf(spark, {"spark.sql.files.openCostInBytes": str(OPEN_COST)}):
+        docs = stage(_binary(spark, folder).mapInPandas(
+            _digest, "file string, doc_id long, ids_before long, n_tokens long, ids_crc32 long"), "s8b-docs", 1)  # a row is a file
     return docs.join(starts, "file").select("doc_id", (F.col("first") + F.col("ids_before")).alias("start"),
                                             "n_tokens", "ids_crc32")
