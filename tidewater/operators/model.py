@@ -37,14 +37,18 @@ def train_forest(df: DataFrame, features: Sequence[str], label: str = "target",
                  seed: int = 42, max_bins: int = 32, subsampling_rate: float = 1.0) -> PipelineModel:
     """Assemble features and fit a random forest (``featureSubsetStrategy='auto'``,
     sqrt of the feature count for classification).  MLlib has no minimum-split-size
-    parameter; ``min_instances_per_node`` bounds leaf size instead."""
+    parameter; ``min_instances_per_node`` bounds leaf size instead.  The model comes
+    without MLlib's training summary: of two classes it holds the session, which cannot
+    go to the tasks that predict once the session has used an ``Observation``."""
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances_per_node,
                                 seed=seed, maxBins=max_bins, subsamplingRate=subsampling_rate,
                                 featureSubsetStrategy="auto")
     pipe = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
                                             handleInvalid="keep"), rf])
-    return pipe.fit(_with_label(df, label))
+    fitted = pipe.fit(_with_label(df, label))
+    fitted.stages[-1] = fitted.stages[-1].copy()
+    return fitted
 
 
 def predict(model: PipelineModel, df: DataFrame, label: str | None = "target") -> DataFrame:
