@@ -3,7 +3,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.operators import metrics, split
+from tidewater.operators import metrics, prep, split
 from tidewater.operators.split import key_hash60
 
 from tests.paths import SF01
@@ -109,3 +109,31 @@ def test_split_reads_its_table_once(spark):
     df = spark.range(500).select(counted("id").alias("k"), (F.col("id") % 2).alias("t"))
     assert split.split_exact(df, "t", "k", 0.2, 42).where("is_test").count() == 100
     assert seen.value == 500
+
+
+def test_split_without_its_key_is_the_same(spark, monkeypatch):
+    rows = [(i, float(i % 50), i % 3) for i in range(300)] + [(7, 7.0, 1)] * 40 + [(1, 1.0, None)] * 5
+    keyed = split.unique_key(spark.createDataFrame(rows, "a int, x double, t int"))
+
+    def both(n_tables):
+        written = []
+        write = prep.write_table
+        monkeypatch.setattr(split, "write_table", lambda d: written.append(d.columns) or write(d))
+        got = [split.split_exact(keyed, "t", "row_key", 0.2, 42, keep_key=k).select("a", "x", "t", "is_test") for k in (True, False)]
+        assert [sorted(map(str, g.collect())) for g in got][0] == sorted(map(str, got[1].collect()))
+        assert len(written) == n_tables and "row_key" in written[0] and "row_key" not in written[1]
+        assert got[1].where("is_test").count() == 61 + 7
+
+    both(2)
+    few = split.key_hash60
+    monkeypatch.setattr(split, "key_hash60", lambda k, seed: few(k, seed) % 25)     # hashes that several keys share
+    both(3)
+
+
+def test_unique_keys_are_the_hash_of_the_row_and_a_number(spark):
+    df = spark.createDataFrame([(1, -0.0, 1.5), (1, 0.0, -0.0), (2, float("nan"), None), (2, float("nan"), None)], "a int, x double, y float")
+    whole = F.sha2(F.to_json(F.struct("a", "x", "y"), {"ignoreNullFields": "false"}), 256)
+    want = {(r.h, r.s) for r in df.select(whole.alias("h"), F.to_json(F.struct("a", "x", "y")).alias("s")).collect()}
+    got = split.unique_key(df).withColumn("h", F.split("row_key", "-")[0]).select("h", "row_key", F.to_json(F.struct("a", "x", "y")).alias("s")).collect()
+    assert {(r.h, r.s) for r in got} == want and len({r.row_key for r in got}) == 4
+    assert [r.row_key[-2:] for r in got if '"a":2' in r.s] in (["-1", "-2"], ["-2", "-1"])

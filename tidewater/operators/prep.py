@@ -8,17 +8,21 @@ stage, no join).  NaN counts as missing, like pandas."""
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import asdict, dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewater.operators.quantiles import quantiles
 from tidewater.schemas import CLIP_COLUMNS, FEATURES, LABEL
-from tidewater.session import work_dir
+from tidewater.session import DROP_SHUFFLES, delete_dir, session_conf, work_dir
+
+_WRITTEN: ContextVar[list | None] = ContextVar("written", default=None)       # tables of the ``steps`` under way
 
 
 def _fractional(df: DataFrame, c: str) -> bool:
@@ -134,6 +138,40 @@ def standardize(df: DataFrame, cols: Sequence[str], stats: dict | DataFrame | No
     return df.select(*out)
 
 
+def write_table(df: DataFrame) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet under the shared ``spark.checkpoint.dir``, and its folder."""
+    spark, path = df.sparkSession, work_dir(df.sparkSession, "table")
+    with session_conf(spark, DROP_SHUFFLES):
+        df.write.parquet(path)
+    if (written := _WRITTEN.get()) is not None:
+        written.append(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+@contextmanager
+def steps(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables written inside the block are deleted at its end, but for those written by the
+    function it gives: they are the block's results."""
+    before, kept = _WRITTEN.get(), []
+
+    def keep(df: DataFrame) -> DataFrame:
+        table, path = write_table(df)
+        kept.append(path)
+        return table
+
+    token = _WRITTEN.set([])
+    try:
+        yield keep
+    finally:
+        written = _WRITTEN.get()
+        _WRITTEN.reset(token)
+        for path in written:
+            if path not in kept:
+                delete_dir(spark, path)
+        if before is not None:
+            before.extend(kept)
+
+
 def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     """Cut lineage before a table is re-read by several statistics passes.
 
@@ -141,9 +179,7 @@ def materialize(df: DataFrame, how: str = "checkpoint") -> DataFrame:
     executor loss, and later passes read only their columns); ``persist`` keeps blocks on
     executors (recomputed from lineage if lost)."""
     if how == "checkpoint":
-        path = work_dir(df.sparkSession, "table")
-        df.write.parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
+        return write_table(df)[0]
     if how == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df
@@ -163,8 +199,9 @@ def curate(df: DataFrame, features: Sequence[str] = FEATURES[:-1], label: str =
 
     ``fit_on`` adds columns to the table before it is scaled and among them a boolean
     ``is_test``; the scaler is then fitted on the other rows only, and the added columns
-    are returned too.  ``return_preparation`` also returns the fitted :class:`Preparation`,
-    which prepares raw rows in the same way at scoring time."""
+    are returned too.  What it gives is read twice, not written: a split writes its table itself.
+    ``return_preparation`` also returns the fitted :class:`Preparation`, which prepares raw
+    rows in the same way at scoring time."""
     base = df.select(*features, label)
     to_fill = list(features) + ([label] if impute_label else [])
     med = medians(base, to_fill, method)
@@ -173,7 +210,7 @@ def curate(df: DataFrame, features: Sequence[str] = FEATURES[:-1], label: str =
     fe = add_features(clip(dd, bounds), product, ratio, derived)
     feat_cols = list(features) + list(derived)
     if fit_on is not None:
-        fe = materialize(fit_on(fe), materialize_as)
+        fe = fit_on(fe)
     stats = scaler_stats(fe.where(~F.col("is_test")) if fit_on is not None else fe, feat_cols).first().asDict()
     extra = [c for c in fe.columns if c not in feat_cols and c != label]
     out = standardize(fe, feat_cols, stats).select(*feat_cols, label, *extra)

@@ -44,12 +44,14 @@ def run_training(spark: SparkSession, raw: DataFrame, spec: TrainSpec = TrainSpe
 
     Returns a dict with the model, its preparation, metrics, importances (DataFrame) and,
     when ``model_root`` is given, the registry row."""
-    ks, prepared = prep.curate(
-        raw, features=spec.features, label=spec.label, clip_cols=spec.clip_cols, k=spec.k, product=spec.product,
-        ratio=spec.ratio, derived=spec.derived, return_preparation=True,
-        fit_on=lambda t: split.split_exact(split.unique_key(t), spec.label, "row_key", spec.test_frac, spec.seed))
+    with prep.steps(spark) as keep:
+        ks, prepared = prep.curate(
+            raw, features=spec.features, label=spec.label, clip_cols=spec.clip_cols, k=spec.k, product=spec.product,
+            ratio=spec.ratio, derived=spec.derived, return_preparation=True,
+            fit_on=lambda t: split.split_exact(split.unique_key(t), spec.label, "row_key", spec.test_frac, spec.seed,
+                                               keep_key=False))
+        ks = keep(ks)
     feat_cols = prepared.feature_columns
-    ks = prep.materialize(ks, "checkpoint")
     quality.quality_gate(ks.select(*feat_cols, spec.label), label=spec.label, min_records=spec.min_records,
                          min_features=spec.min_features, min_class=spec.min_class)
     mdl = M.train_forest(ks.where(~F.col("is_test")), feat_cols, spec.label, spec.num_trees, spec.max_depth,
