@@ -3,23 +3,38 @@ hyper-parameter search, feature importances, evaluation.
 
 Training is distributed by MLlib (per-node histogram aggregation for the forest,
 per-partition gradients for the MLP); the only driver-side objects are the fitted
-models and small parameter/importance tables."""
+models and small parameter/importance tables.
+
+MLlib's forest sees a row only as the bins of its features, but keeps and visits each row
+by itself, with a count for every tree.  Of a large table whose binned rows repeat, the
+forest is therefore trained on the distinct binned rows: a row drawn Poisson(1) times for a
+tree, n times over, is drawn Poisson(n) times in all, and this is the weight of the binned
+row in that tree."""
 
 from __future__ import annotations
 
+import math
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import TaskContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import MultilayerPerceptronClassifier, RandomForestClassifier
+from pyspark.ml.classification import (
+    MultilayerPerceptronClassifier,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.operators.metrics import classification_metrics, confusion
+from tidewater.operators.prep import write_table
+from tidewater.session import delete_dir
 
 # --- fixed values: default forest and search space of the training job ---
 SEARCH_SPACE = {"learning_rate": (0.001, 0.1, 0.001), "hidden": (16, 128, 16)}
@@ -27,6 +42,10 @@ MAX_TRIALS = 10
 PARALLEL_TRIALS = 2
 # --- end fixed values ---
 
+MERGE_FROM = 1_000_000        # rows from which a forest looks for equal binned rows,
+MERGE_GAIN = 4                # and rows to each distinct one that make it train on those
+MERGED_ROWS_A_TASK = 50_000   # trees are fitted side by side, so a tree takes few tasks
+
 
 def _with_label(df: DataFrame, label: str) -> DataFrame:
     return df.withColumn("label", F.col(label).cast("double"))
@@ -34,23 +53,114 @@ def _with_label(df: DataFrame, label: str) -> DataFrame:
 
 def train_forest(df: DataFrame, features: Sequence[str], label: str = "target",
                  num_trees: int = 100, max_depth: int = 10, min_instances_per_node: int = 2,
-                 seed: int = 42, max_bins: int = 32, subsampling_rate: float = 1.0) -> PipelineModel:
+                 seed: int = 42, max_bins: int = 32, subsampling_rate: float = 1.0,
+                 merge_from: int = MERGE_FROM) -> PipelineModel:
     """Assemble features and fit a random forest (``featureSubsetStrategy='auto'``,
     sqrt of the feature count for classification).  MLlib has no minimum-split-size
     parameter; ``min_instances_per_node`` bounds leaf size instead.  The model comes
     without MLlib's training summary: of two classes it holds the session, which cannot
-    go to the tasks that predict once the session has used an ``Observation``."""
+    go to the tasks that predict once the session has used an ``Observation``.
+
+    From ``merge_from`` rows on, if there are ``MERGE_GAIN`` rows or more to each distinct
+    binned row, the trees are fitted on the distinct ones (see :func:`_merged_forest`)."""
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances_per_node,
                                 seed=seed, maxBins=max_bins, subsamplingRate=subsampling_rate,
                                 featureSubsetStrategy="auto")
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features",
+    d, features = _with_label(df, label), list(features)
+    rows = d.count()
+    if rows >= merge_from:
+        bins = _binning(d, features, max_bins)
+        # MLlib refuses to train on missing or infinite values, so they get no bin here
+        binned = bins.transform(d).select(*[F.when(F.abs(F.col(c)) < math.inf, F.col(b)).alias(b)
+                                            for c, b in zip(features, bins.getOutputCols())], "label")
+        distinct = binned.agg(F.approx_count_distinct(F.struct(*binned.columns))).first()[0]
+        if distinct * MERGE_GAIN <= rows:
+            return _merged_forest(rf, bins, binned)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features",
                                             handleInvalid="keep"), rf])
-    fitted = pipe.fit(_with_label(df, label))
+    fitted = pipe.fit(d)
     fitted.stages[-1] = fitted.stages[-1].copy()
     return fitted
 
 
+def _binning(df: DataFrame, features: Sequence[str], max_bins: int) -> Bucketizer:
+    """The bins that MLlib's forest would make: one for each value where there are at most
+    ``max_bins``, cut half way between them, else about equally full ones (of all rows, by a
+    quantile sketch; MLlib takes a sample).  NaN comes after the last bin."""
+    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in features}
+    shares = [i / max_bins for i in range(1, max_bins)]
+    seen = df.agg(*[F.approx_count_distinct(v).alias(f"{c}__values") for c, v in values.items()],
+                  *[F.percentile_approx(v, shares, 10_000).alias(f"{c}__cuts") for c, v in values.items()]).first()
+    few = [c for c in features if seen[f"{c}__values"] <= 2 * max_bins]
+    found = df.agg(F.lit(0), *[F.sort_array(F.collect_set(values[c])).alias(c) for c in few]).first()
+    cuts = {c: seen[f"{c}__cuts"] or [] for c in features}
+    cuts |= {c: [lo + (hi - lo) / 2 for lo, hi in zip(found[c], found[c][1:])] for c in few if len(found[c]) <= max_bins}
+    splits = []
+    for c in features:
+        inner = sorted({x for x in cuts[c] if math.isfinite(x)}) or [0.0]
+        splits.append([-math.inf, *inner, math.inf])
+    return Bucketizer(splitsArray=splits, inputCols=list(features), outputCols=[f"_bin_{c}" for c in features],
+                      handleInvalid="keep")
+
+
+def _draws(trees: Sequence[str], rate: float, seed: int):
+    """Adds to each binned row, for every tree, how often its rows are drawn."""
+    def draw(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pandas as pd
+
+        rng = np.random.default_rng([seed % 2 ** 63, TaskContext.get().partitionId()])
+        for b in batches:
+            drawn = rng.poisson(b["_n"].to_numpy()[:, None] * rate, (len(b), len(trees)))
+            yield pd.concat([b.drop(columns="_n"), pd.DataFrame(drawn, columns=list(trees), index=b.index)], axis=1)
+    return draw
+
+
+def _merged_forest(rf: RandomForestClassifier, bins: Bucketizer, binned: DataFrame) -> PipelineModel:
+    """The forest of ``rf`` from distinct binned rows, weighted for each tree by the draws of
+    their rows.  A tree is a fit of its own, since MLlib takes one weight for all trees of a
+    fit; the trees then make up one forest model behind the binning.  A node's rows are
+    counted by their weights: these are whole numbers, so half a row less than the minimum
+    is the same bound and safe from rounding."""
+    spark, cols, names = binned.sparkSession, bins.getOutputCols(), [f"_draws_{t}" for t in range(rf.getNumTrees())]
+    numbers = random.Random(rf.getSeed())
+    groups = binned.groupBy(*cols, "label").agg(F.count(F.lit(1)).alias("_n")).sortWithinPartitions(*cols, "label")
+    drawn = groups.mapInPandas(_draws(names, rf.getSubsamplingRate(), rf.getSeed()),
+                               ", ".join([*(f"`{c}` double" for c in cols), "label double", *(f"{t} long" for t in names)]))
+    assembler = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep")
+    table, path = write_table(assembler.transform(drawn).select("features", "label", *names))
+    try:
+        facts = table.agg(F.count(F.lit(1)).alias("n"), F.max("label").alias("top"), *[F.sum(t).alias(t) for t in names]).first()
+        classes = int(facts["top"]) + 1
+        label = F.col("label").alias("label", metadata={"ml_attr": {"type": "nominal", "name": "label", "num_vals": classes}})
+        # MLlib looks for cuts in a sample of maxBins^2 rows: all of them, so that no bin is lost
+        size = max(rf.getMaxBins() + 2, math.isqrt(facts["n"]) + 2)
+        subset = "all" if len(names) == 1 else "sqrt"
+        tasks = -(-facts["n"] // MERGED_ROWS_A_TASK)
+        at_once = min(len(names), max(4, min(16, spark.sparkContext.defaultParallelism)))
+
+        def fit(tree: str, seed: int):
+            least = (rf.getMinInstancesPerNode() - 0.5) / max(facts[tree], 1)
+            one = rf.copy({rf.numTrees: 1, rf.bootstrap: False, rf.subsamplingRate: 1.0, rf.featureSubsetStrategy: subset,
+                           rf.maxBins: size, rf.minInstancesPerNode: 1, rf.seed: seed,
+                           rf.minWeightFractionPerNode: min(least, 0.499), rf.weightCol: tree})
+            return one.fit(table.where(F.col(tree) > 0).select("features", label, tree).coalesce(tasks))._java_obj.trees()[0]
+
+        fits = [inheritable_thread_target(spark)(lambda t=t, s=numbers.getrandbits(62): fit(t, s)) for t in names]
+        with ThreadPool(at_once) as pool:
+            trees = pool.map(lambda f: f(), fits, chunksize=1)
+    finally:
+        delete_dir(spark, path)
+    of = spark._jvm.org.apache.spark.ml.classification
+    held = spark.sparkContext._gateway.new_array(of.DecisionTreeClassificationModel, len(trees))
+    for i, tree in enumerate(trees):
+        held[i] = tree
+    forest = rf._copyValues(RandomForestClassificationModel(of.RandomForestClassificationModel(rf.uid, held, len(cols), classes)))
+    forest._transfer_params_to_java()
+    return PipelineModel([bins, assembler, forest])
+
+
 def predict(model: PipelineModel, df: DataFrame, label: str | None = "target") -> DataFrame:
     d = _with_label(df, label) if label and label in df.columns else df
     return model.transform(d)
@@ -71,10 +181,16 @@ def evaluate_flagged(model: PipelineModel, df: DataFrame, flag: str = "is_test",
                      label: str = "target") -> dict:
     """``evaluate_split`` for a table whose rows carry a test flag: one prediction
     pass over both sides, one confusion table keyed by the flag (at most
-    2 x classes^2 rows, cached while both sides' metrics are read from it)."""
-    conf = (predict(model, df, label)
-            .groupBy(F.col(flag).alias("_test"), F.col("label"), F.col("prediction"))
-            .agg(F.count(F.lit(1)).alias("count"))).cache()
+    2 x classes^2 rows, cached while both sides' metrics are read from it).  A forest of
+    binned rows predicts each distinct one once."""
+    d = _with_label(df, label).withColumn("_test", F.col(flag))
+    if isinstance(model.stages[0], Bucketizer):
+        bins = model.stages[0]
+        d = bins.transform(d).groupBy(*bins.getOutputCols(), "label", "_test").agg(F.count(F.lit(1)).alias("_n"))
+        model = PipelineModel(model.stages[1:])
+    else:
+        d = d.withColumn("_n", F.lit(1).cast("long"))
+    conf = model.transform(d).groupBy("_test", "label", "prediction").agg(F.sum("_n").alias("count")).cache()
     try:
         tr = classification_metrics(conf.where(~F.col("_test")).drop("_test")).first()
         te = classification_metrics(conf.where(F.col("_test")).drop("_test")).first()
